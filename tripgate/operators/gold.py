@@ -95,3 +95,40 @@ def dim_date(daily: DataFrame) -> DataFrame:
         F.weekofyear("date").alias("iso_week"),
         F.date_format("date", "yyyy-MM").alias("year_month"),
     )
+
+
+def candidate_rollup(clean: DataFrame) -> DataFrame:
+    """One pass over Silver at (date, zone) grain: every Gold candidate is a re-aggregate.
+
+    The result has at most days x zones rows, whatever the Silver size, and carries the
+    exact decimal revenue plus the sums and counts behind each average.
+    """
+    zone = F.coalesce(F.col("pickup_community_area").cast("string"), F.lit(UNKNOWN_ZONE))
+    return clean.groupBy("trip_date", zone.alias("pickup_zone")).agg(
+        F.count("trip_id").alias("n"),
+        F.sum("trip_total_usd").alias("revenue"),
+        F.sum("duration_seconds").alias("duration_sum"),
+        F.count("duration_seconds").alias("duration_n"),
+        F.sum("trip_miles").alias("miles_sum"),
+        F.count("trip_miles").alias("miles_n"),
+    )
+
+
+def tables_from_rollup(rollup: DataFrame, k: int = TOP_ZONES) -> dict[str, DataFrame]:
+    daily = rollup.groupBy("trip_date").agg(
+        F.sum("n").alias("trip_count"),
+        _revenue("revenue").alias("total_revenue_usd"),
+        F.round(F.try_divide(F.sum("duration_sum"), F.sum("duration_n")) / 60, 2).alias("avg_duration_min"),
+        F.round(F.try_divide(F.sum("miles_sum"), F.sum("miles_n")), 2).alias("avg_trip_miles"),
+    )
+    zones = rollup.groupBy("pickup_zone").agg(
+        F.sum("n").alias("trip_count"), _revenue("revenue").alias("total_revenue_usd"))
+    order = [F.col("trip_count").desc(), F.col("pickup_zone").asc()]
+    top = (zones.orderBy(*order).limit(k)
+           .withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+           .select("rank", "pickup_zone", "trip_count", "total_revenue_usd"))
+    return {
+        "daily_revenue": daily.select("trip_date", "trip_count", "total_revenue_usd"),
+        "daily_trip_metrics": daily.select("trip_date", "trip_count", "avg_duration_min", "avg_trip_miles"),
+        "top_pickup_zones": top,
+    }

@@ -37,13 +37,22 @@ _ROW_JSON = " , ".join([
 ])
 
 
-def silver_ctes(batched: bool = False) -> str:
-    """raw -> parsed -> typed -> classified -> hashed -> ranked -> clean / dups."""
+DAY_BATCH = "strftime(ts, '%Y-%m-%d')"
+
+
+def silver_ctes(batch_expr: str | None = None, where: str | None = None) -> str:
+    """raw -> parsed -> typed -> classified -> hashed -> ranked -> clean / dups.
+
+    ``batch_expr`` (SQL over ``events``) adds a ``batch_id`` that scopes the dedup;
+    ``where`` restricts the events read.
+    """
+    batched = batch_expr is not None
     b = "batch_id, " if batched else ""
     part = "batch_id, trip_id" if batched else "trip_id"
-    raw_batch = "strftime(ts, '%Y-%m-%d') AS batch_id, " if batched else ""
+    raw_batch = f"{batch_expr} AS batch_id, " if batched else ""
+    cond = f" WHERE {where}" if where else ""
     return f"""
-raw AS (SELECT {raw_batch}{ADAPTER_SELECT} FROM events),
+raw AS (SELECT {raw_batch}{ADAPTER_SELECT} FROM events{cond}),
 parsed AS (
   SELECT {b}trim(trip_id, ' ') AS trip_id,
          TRY_CAST(trip_start_timestamp AS TIMESTAMP) AS trip_start_ts,
@@ -89,6 +98,7 @@ dups AS (SELECT {b}{SILVER_COLS}, 'duplicate_trip_id' AS reject_reason FROM rank
 
 
 def gold_ctes(batched: bool = False) -> str:
+    """daily (both daily tables), zones, top_zones over ``clean``."""
     b = "batch_id, " if batched else ""
     rank_part = "PARTITION BY batch_id " if batched else ""
     return f""",
@@ -113,9 +123,10 @@ def _with(*parts: str) -> str:
     return "WITH " + "".join(parts).lstrip()
 
 
-_SILVER = _with(silver_ctes())
-_GOLD = _with(silver_ctes(), gold_ctes())
-_HIST = _with(silver_ctes(True), gold_ctes(True), """,
+def history_ctes(batch_expr: str, where: str | None, extracted_sql: str, recorded_sql: str,
+                 now_ts: str, checked_at: str, max_age_hours: float) -> str:
+    """Per-batch metrics, validation, manifest and the gate, as in the relational gate."""
+    return _with(silver_ctes(batch_expr, where), gold_ctes(True), f""",
 m_raw AS (SELECT batch_id, count(*) AS raw_rows,
                  count(*) FILTER (WHERE reject_reason <> '') AS rejected_rows
           FROM classified GROUP BY batch_id),
@@ -139,10 +150,9 @@ validation AS (
          gold_daily_rows, gold_top_zones_rows, null_zone_ranks
   FROM v_silver FULL JOIN v_daily USING (batch_id) FULL JOIN v_zones USING (batch_id)),
 manifest AS (
-  SELECT strftime(ts, '%Y-%m-%d') AS batch_id,
-         max(strftime(CAST(ts AS DATE) + INTERVAL 1 DAY, '%Y-%m-%dT01:00:00+00:00')) AS extracted_at_utc,
-         max(strftime(CAST(ts AS DATE) + INTERVAL 1 DAY, '%Y-%m-%dT01:30:00+00:00')) AS recorded_at_utc
-  FROM events GROUP BY 1),
+  SELECT {batch_expr} AS batch_id, max({extracted_sql}) AS extracted_at_utc,
+         max({recorded_sql}) AS recorded_at_utc
+  FROM events{f" WHERE {where}" if where else ""} GROUP BY 1),
 joined AS (
   SELECT m.*, v.batch_id AS validation_batch_id, v.silver_rows, v.daily_count_sum, v.metrics_count_sum,
          v.revenue_matches, v.gold_daily_rows, v.gold_top_zones_rows, v.null_zone_ranks,
@@ -150,7 +160,7 @@ joined AS (
          m.raw_rows - m.clean_rows - m.rejected_rows - m.duplicate_valid_rows AS reconciliation_delta,
          CASE WHEN m.raw_rows <> 0 THEN m.rejected_rows / m.raw_rows ELSE 1.0 END AS reject_rate,
          CASE WHEN m.raw_rows <> 0 THEN m.duplicate_valid_rows / m.raw_rows ELSE 1.0 END AS duplicate_rate,
-         (epoch(TIMESTAMP '2024-02-01 00:00:00')
+         (epoch(TIMESTAMP '{now_ts}')
           - epoch(TRY_CAST(replace(substr(f.extracted_at_utc, 1, 19), 'T', ' ') AS TIMESTAMP))) / 3600.0
            AS extract_age_hours
   FROM metrics m LEFT JOIN validation v ON m.batch_id = v.batch_id
@@ -164,7 +174,7 @@ gate AS (
     CASE WHEN clean_rows <= 0 THEN 'empty_clean_dataset' END,
     CASE WHEN reject_rate > 0.10 THEN 'reject_rate_exceeded' END,
     CASE WHEN duplicate_rate > 0.10 THEN 'duplicate_rate_exceeded' END,
-    CASE WHEN extract_age_hours < 0 OR extract_age_hours > 72 THEN 'stale_or_future_extraction' END,
+    CASE WHEN extract_age_hours < 0 OR extract_age_hours > {max_age_hours} THEN 'stale_or_future_extraction' END,
     CASE WHEN extract_age_hours IS NULL THEN 'invalid_extraction_timestamp' END,
     CASE WHEN coalesce(silver_rows, -1) <> clean_rows THEN 'silver_materialization_mismatch' END,
     CASE WHEN coalesce(daily_count_sum, -1) <> clean_rows THEN 'daily_revenue_count_mismatch' END,
@@ -172,10 +182,19 @@ gate AS (
     CASE WHEN NOT coalesce(revenue_matches, false) THEN 'revenue_reconciliation' END,
     CASE WHEN coalesce(gold_top_zones_rows, 0) NOT BETWEEN 1 AND 10 THEN 'top_zones_cardinality' END,
     CASE WHEN coalesce(null_zone_ranks, 1) <> 0 THEN 'null_zone_rank' END) AS violations,
-    '2024-02-01T00:00:00+00:00' AS checked_at_utc
+    '{checked_at}' AS checked_at_utc
   FROM joined)""")
 
 
+_SILVER = _with(silver_ctes())
+_GOLD = _with(silver_ctes(), gold_ctes())
+_HIST = history_ctes(
+    DAY_BATCH, None,
+    extracted_sql="strftime(CAST(ts AS DATE) + INTERVAL 1 DAY, '%Y-%m-%dT01:00:00+00:00')",
+    recorded_sql="strftime(CAST(ts AS DATE) + INTERVAL 1 DAY, '%Y-%m-%dT01:30:00+00:00')",
+    now_ts="2024-02-01 00:00:00", checked_at="2024-02-01T00:00:00+00:00", max_age_hours=72)
+
+
 def _q(prefix: str, body: str) -> str:
     return f"{prefix}\n{body.strip()}"
 
@@ -231,3 +250,90 @@ SELECT batch_id, reject_reason, count(*) AS reject_count
 FROM (SELECT batch_id, reject_reason FROM invalid UNION ALL SELECT batch_id, reject_reason FROM dups)
 GROUP BY batch_id, reject_reason"""),
 }
+
+
+# ---- Bronze: the whole events range landed as pages of 1,000 rows --------------------------
+
+_RAW_NAMES = ("trip_id", "trip_start_timestamp", "trip_end_timestamp", "trip_seconds", "trip_miles",
+              "trip_total", "pickup_community_area")
+_CSV_LINE = "concat_ws(',', " + ", ".join(f"coalesce({c}, '')" for c in _RAW_NAMES) + ")"
+_CSV_HEADER = ",".join(_RAW_NAMES)
+
+
+def bronze_ctes(start: str, end: str, page_size: int, max_rows: int) -> str:
+    return f"""WITH
+ext AS (SELECT * FROM events WHERE ts >= TIMESTAMP '{start} 00:00:00' AND ts < TIMESTAMP '{end} 00:00:00'),
+num AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS rn FROM ext QUALIFY rn <= {max_rows}),
+paged AS (SELECT *, CAST((rn - 1) // {page_size} AS INTEGER) AS page,
+                 CAST((rn - 1) % {page_size} AS INTEGER) AS page_row FROM num),
+adapted AS (SELECT rn, page, {ADAPTER_SELECT} FROM paged),
+pages AS (
+  SELECT lpad(CAST(page AS VARCHAR), 5, '0') AS page, count(*) AS rows,
+         count(*) FILTER (WHERE coalesce({", ".join(_RAW_NAMES)}) IS NULL) AS blank_rows,
+         '{_CSV_HEADER}' || chr(10) || string_agg({_CSV_LINE}, chr(10) ORDER BY rn) || chr(10) AS body
+  FROM adapted GROUP BY page)"""
+
+
+def lake_batch_expr(windows) -> str:
+    whens = " ".join(f"WHEN ts < TIMESTAMP '{end} 00:00:00' THEN '{b}'" for b, _s, end in windows)
+    return f"CASE {whens} END"
+
+
+def lake_where(start: str, end: str) -> str:
+    return f"ts >= TIMESTAMP '{start} 00:00:00' AND ts < TIMESTAMP '{end} 00:00:00'"
+
+
+def _bronze_sql() -> dict[str, str]:
+    from tripgate.plans.queries import (BRONZE_END, BRONZE_MAX_ROWS, BRONZE_PAGE_SIZE, BRONZE_START,
+                                        EXTRACT_END, EXTRACT_START)
+
+    ctes = bronze_ctes(BRONZE_START, BRONZE_END, BRONZE_PAGE_SIZE, BRONZE_MAX_ROWS)
+    return {
+        "extract_window": f"SELECT * FROM events WHERE {lake_where(EXTRACT_START, EXTRACT_END)}",
+        "extract_pages": _q(ctes, "SELECT event_id, ts, rn, page, page_row FROM paged"),
+        "page_manifest": _q(ctes, "SELECT page, rows, strlen(body) AS bytes, sha256(body) AS sha256 FROM pages"),
+        "page_validation": _q(ctes, "SELECT page, true AS header_ok, rows, 0 AS malformed_rows, blank_rows FROM pages"),
+        "bronze_csv_scan": _q(ctes, f"SELECT {', '.join(_RAW_NAMES)} FROM adapted"),
+        "bronze_integrity": _q(ctes, """
+SELECT page, rows, rows AS scanned_rows, true AS present, true AS bytes_ok, true AS sha256_ok,
+       true AS manifest_consistent
+FROM pages"""),
+    }
+
+
+def _lake_sql() -> dict[str, str]:
+    from tripgate.plans.lake import LAKE_CLOCK, LAKE_WINDOWS
+
+    _b, last_start, last_end = LAKE_WINDOWS[-1]
+    first_start = LAKE_WINDOWS[0][1]
+    clock_iso = LAKE_CLOCK.isoformat()
+    gold_last = _with(silver_ctes(None, lake_where(last_start, last_end)), gold_ctes())
+    hist = history_ctes(lake_batch_expr(LAKE_WINDOWS), lake_where(first_start, last_end),
+                        extracted_sql=f"'{clock_iso}'", recorded_sql=f"'{clock_iso}'",
+                        now_ts=LAKE_CLOCK.strftime("%Y-%m-%d %H:%M:%S"), checked_at=clock_iso,
+                        max_age_hours=24)
+    rejects = "(SELECT batch_id, reject_reason, 'invalid' AS reject_type FROM invalid UNION ALL " \
+              "SELECT batch_id, reject_reason, 'duplicate' AS reject_type FROM dups)"
+    return {
+        "publish_roundtrip": _q(gold_last, "SELECT trip_date, trip_count, total_revenue_usd FROM daily"),
+        "kpi_daily_revenue": _q(gold_last, "SELECT trip_date, trip_count, total_revenue_usd FROM daily"),
+        "kpi_daily_metrics": _q(gold_last, "SELECT trip_date, trip_count, avg_duration_min, avg_trip_miles FROM daily"),
+        "kpi_top_zones": _q(gold_last, "SELECT rank, pickup_zone, trip_count, total_revenue_usd FROM top_zones"),
+        "ops_metrics_sample": _q(gold_last, """
+SELECT trip_date, trip_count, avg_duration_min, avg_trip_miles FROM daily ORDER BY trip_date LIMIT 20"""),
+        "quality_history": _q(hist, f"""
+SELECT batch_id, reject_reason, count(*) AS reject_count FROM {rejects} GROUP BY batch_id, reject_reason"""),
+        "ops_rejects_by_batch": _q(hist, f"""
+SELECT batch_id, reject_type, reject_reason, count(*) AS rows_n FROM {rejects}
+GROUP BY batch_id, reject_type, reject_reason"""),
+        "ops_rejects": _q(hist, f"""
+SELECT reject_reason, reject_type, count(*) AS records FROM {rejects} GROUP BY reject_reason, reject_type"""),
+        "ops_gate_history": _q(hist, """
+SELECT batch_id, CASE WHEN violations = '' THEN 'PASS' ELSE 'FAIL' END AS gate_status,
+       reject_rate, duplicate_rate, violations
+FROM gate"""),
+    }
+
+
+ORACLE_SQL.update(_bronze_sql())
+ORACLE_SQL.update(_lake_sql())

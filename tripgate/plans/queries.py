@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripgate.config import PipelineConfig
 from tripgate.operators import gold, quality, silver
 from tripgate.plans import history
 from tripgate.session import zoned_session
@@ -142,3 +143,149 @@ SILVER_GOLD_QUERIES: dict[str, Query] = {
     "quality_reasons": quality_reasons,
     "dim_date": dim_date,
 }
+
+
+# ---- Bronze: one landing of the whole events range per application and input ----------------
+
+BRONZE_START, BRONZE_END = "2024-01-01", "2024-01-31"
+BRONZE_PAGE_SIZE = 1000
+BRONZE_MAX_ROWS = 1_000_000_000  # no cap binds: every event in the range is landed
+EXTRACT_START, EXTRACT_END = "2024-01-03", "2024-01-24"
+
+_LANDINGS: dict = {}
+
+
+def bronze_config(root: str = "") -> PipelineConfig:
+    return PipelineConfig(start_date=BRONZE_START, end_date=BRONZE_END, page_size=BRONZE_PAGE_SIZE,
+                          max_rows=BRONZE_MAX_ROWS, root=root)
+
+
+def bronze_landing(spark: SparkSession, sf_dir: str) -> dict:
+    """Run the ingest step once (pages + manifest) and remember where it landed."""
+    from tripgate.plans.lake import LAKE_CLOCK
+    from tripgate.plans.pipeline import ingest
+    from tripgate.session import scratch_dir
+    from tripgate.sources.adapters import read_table
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDINGS:
+        cfg = bronze_config(scratch_dir(spark, "bronze"))
+        info = ingest(spark, cfg, read_table(spark, sf_dir, "events"), batch_id="b0",
+                      clock=lambda: LAKE_CLOCK)
+        _LANDINGS[key] = {**info, "cfg": cfg}
+    return _LANDINGS[key]
+
+
+def extract_window(spark, sf_dir):
+    from tripgate.sources import bronze
+    from tripgate.sources.adapters import read_table
+
+    cfg = PipelineConfig(start_date=EXTRACT_START, end_date=EXTRACT_END)
+    return bronze.extract_window(read_table(spark, sf_dir, "events"), cfg)
+
+
+def extract_pages(spark, sf_dir):
+    from tripgate.sources import bronze
+    from tripgate.sources.adapters import read_table
+
+    paged = bronze.bounded_extract(read_table(spark, sf_dir, "events"), bronze_config())
+    return paged.select("event_id", "ts", F.col("_rn").alias("rn"), "page", "page_row")
+
+
+def _pages_root(landing: dict) -> str:
+    return landing["cfg"].bronze_prefix(landing["batch_id"])
+
+
+def page_manifest(spark, sf_dir):
+    from tripgate.sources import bronze
+
+    landing = bronze_landing(spark, sf_dir)
+    manifest = bronze.read_manifest(spark, landing["manifest_key"])
+    pages = manifest.select(F.inline("pages"))
+    return pages.select(F.regexp_extract("key", r"/page=(\d+)/", 1).alias("page"), "rows", "bytes", "sha256")
+
+
+def page_validation(spark, sf_dir):
+    from tripgate.sources import bronze
+
+    landing = bronze_landing(spark, sf_dir)
+    prefix = _pages_root(landing)
+    paths = f"{prefix}/page=*/*.csv"
+    checks = bronze.validate_pages(spark, paths, bronze.first_header(spark, paths))
+    return checks.select(F.regexp_extract("key", r"/page=(\d+)/", 1).alias("page"),
+                         "header_ok", "rows", "malformed_rows", "blank_rows")
+
+
+def bronze_csv_scan(spark, sf_dir):
+    from tripgate.functions.parsing import RAW_COLUMNS
+    from tripgate.sources import bronze, documents
+
+    landing = bronze_landing(spark, sf_dir)
+    manifest = documents.load_json(spark, landing["manifest_key"])
+    return bronze.read_pages(spark, [p["key"] for p in manifest["pages"]], RAW_COLUMNS)
+
+
+def bronze_integrity(spark, sf_dir):
+    """S3-S5 + S7: the manifest read back, each page checked against storage and the scan."""
+    from tripgate.functions.parsing import RAW_COLUMNS
+    from tripgate.sources import bronze, documents
+
+    landing = bronze_landing(spark, sf_dir)
+    manifest_df = bronze.read_manifest(spark, landing["manifest_key"])
+    keys = [p["key"] for p in documents.load_json(spark, landing["manifest_key"])["pages"]]
+    scanned = (bronze.read_pages(spark, keys, RAW_COLUMNS)
+               .groupBy(F.col("_metadata.file_path").alias("key"))
+               .agg(F.count(F.lit(1)).alias("scanned_rows")))
+    checks = bronze.verify_pages(spark, manifest_df)
+    return (checks.join(scanned, "key", "left")
+            .select(F.regexp_extract("key", r"/page=(\d+)/", 1).alias("page"), "rows",
+                    F.coalesce("scanned_rows", F.lit(0)).alias("scanned_rows"),
+                    "present", "bytes_ok", "sha256_ok", "manifest_consistent"))
+
+
+# ---- Publication, history, KPI and operations over the pipeline-built lake -------------------
+
+def publish_roundtrip(spark, sf_dir):
+    from tripgate.plans.lake import demo_lake
+    from tripgate.plans.publish import read_published, verify_publication
+
+    cfg = demo_lake(spark, sf_dir)
+    verify_publication(spark, cfg)
+    return read_published(zoned_session(spark), cfg, "daily_revenue")
+
+
+def quality_history(spark, sf_dir):
+    from tripgate.plans.kpi import read_quality
+    from tripgate.plans.lake import demo_lake
+
+    return read_quality(spark, demo_lake(spark, sf_dir), "quality_reasons").select(
+        "batch_id", "reject_reason", "reject_count")
+
+
+def _kpi(name: str) -> Query:
+    def run(spark, sf_dir):
+        from tripgate.plans import kpi
+        from tripgate.plans.lake import demo_lake
+
+        return kpi.run(spark, demo_lake(spark, sf_dir), name)
+
+    run.__name__ = name
+    return run
+
+
+BRONZE_QUERIES: dict[str, Query] = {
+    "extract_window": extract_window,
+    "extract_pages": extract_pages,
+    "page_manifest": page_manifest,
+    "page_validation": page_validation,
+    "bronze_csv_scan": bronze_csv_scan,
+    "bronze_integrity": bronze_integrity,
+}
+
+LAKE_QUERIES: dict[str, Query] = {
+    "publish_roundtrip": publish_roundtrip,
+    "quality_history": quality_history,
+    **{name: _kpi(name) for name in ("kpi_daily_revenue", "kpi_daily_metrics", "kpi_top_zones",
+                                     "ops_rejects", "ops_rejects_by_batch", "ops_gate_history",
+                                     "ops_metrics_sample")},
+}
