@@ -90,33 +90,41 @@ def validation_metrics(silver_clean: DataFrame, daily_revenue: DataFrame, daily_
                        top_zones: DataFrame, by: Sequence[str] = ("batch_id",)) -> DataFrame:
     """Re-read checks of Silver and the three Gold candidates, per batch.
 
-    One aggregate per table; the per-batch rows are joined on the batch key. Revenue is
-    compared exactly as decimals and NULL equals NULL (``<=>``).
+    The four tables are tagged and unioned, then judged by one aggregate (one shuffle,
+    no joins). Revenue is compared exactly as decimals and NULL equals NULL (``<=>``); a
+    sum over no rows is NULL, as a missing value.
     """
-    s = silver_clean.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("silver_rows"),
-        F.sum("trip_total_usd").alias("_silver_revenue"),
-    )
-    rev = daily_revenue.groupBy(*by).agg(
-        F.sum("trip_count").alias("daily_count_sum"),
-        F.sum("total_revenue_usd").alias("_gold_revenue"),
-        F.count(F.lit(1)).alias("gold_daily_rows"),
+    money = "decimal(38,2)"
+
+    def part(df: DataFrame, tag: str, count=None, revenue=None, rank=None) -> DataFrame:
+        return df.select(
+            *by, F.lit(tag).alias("_t"),
+            (count if count is not None else F.lit(None)).cast("long").alias("_count"),
+            (revenue if revenue is not None else F.lit(None)).cast(money).alias("_revenue"),
+            (rank if rank is not None else F.lit(None)).cast("int").alias("_rank"),
+        )
+
+    tagged = (
+        part(silver_clean, "silver", revenue=F.col("trip_total_usd"))
+        .unionByName(part(daily_revenue, "daily", F.col("trip_count"), F.col("total_revenue_usd")))
+        .unionByName(part(daily_metrics, "metrics", F.col("trip_count")))
+        .unionByName(part(top_zones, "zones", rank=F.col("rank")))
     )
-    met = daily_metrics.groupBy(*by).agg(F.sum("trip_count").alias("metrics_count_sum"))
-    zones = top_zones.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("gold_top_zones_rows"),
-        F.count_if(F.col("rank").isNull()).alias("null_zone_ranks"),
+    t = F.col("_t")
+    agg = tagged.groupBy(*by).agg(
+        F.count_if(t == "silver").alias("silver_rows"),
+        F.sum(F.when(t == "silver", F.col("_revenue"))).alias("_silver_revenue"),
+        F.sum(F.when(t == "daily", F.col("_count"))).alias("daily_count_sum"),
+        F.sum(F.when(t == "daily", F.col("_revenue"))).alias("_gold_revenue"),
+        F.count_if(t == "daily").alias("gold_daily_rows"),
+        F.sum(F.when(t == "metrics", F.col("_count"))).alias("metrics_count_sum"),
+        F.count_if(t == "zones").alias("gold_top_zones_rows"),
+        F.count_if((t == "zones") & F.col("_rank").isNull()).alias("null_zone_ranks"),
     )
-    joined = s.join(rev, list(by), "full").join(met, list(by), "full").join(zones, list(by), "full")
-    return joined.select(
-        *by,
-        F.coalesce("silver_rows", F.lit(0)).alias("silver_rows"),
-        "daily_count_sum",
-        "metrics_count_sum",
+    return agg.select(
+        *by, "silver_rows", "daily_count_sum", "metrics_count_sum",
         F.col("_silver_revenue").eqNullSafe(F.col("_gold_revenue")).alias("revenue_matches"),
-        F.coalesce("gold_daily_rows", F.lit(0)).alias("gold_daily_rows"),
-        F.coalesce("gold_top_zones_rows", F.lit(0)).alias("gold_top_zones_rows"),
-        F.coalesce("null_zone_ranks", F.lit(0)).alias("null_zone_ranks"),
+        "gold_daily_rows", "gold_top_zones_rows", "null_zone_ranks",
         F.col("_gold_revenue").cast("string").alias("revenue_usd"),
     )
 

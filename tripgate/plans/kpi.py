@@ -7,39 +7,12 @@ three batch-keyed quality tables. Queries are plain Spark SQL; Catalyst plans th
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from tripgate.config import PipelineConfig
-from tripgate.functions.parsing import SILVER_COLUMNS
 from tripgate.operators.gold import GOLD_TABLES
 from tripgate.plans.publish import QUALITY_TABLES, read_published
 from tripgate.session import zoned_session
-
-_SILVER_TYPES = {
-    "trip_id": T.StringType(), "trip_start_ts": T.TimestampType(), "trip_end_ts": T.TimestampType(),
-    "trip_seconds": T.DoubleType(), "trip_miles": T.DoubleType(), "trip_total_usd": T.DecimalType(18, 2),
-    "pickup_community_area": T.IntegerType(), "trip_date": T.DateType(), "duration_seconds": T.DoubleType(),
-}
-
-
-def _fields(spec: list[tuple[str, T.DataType]]) -> T.StructType:
-    return T.StructType([T.StructField(n, t) for n, t in spec])
-
-
-# Explicit schemas: the batch id partition column is always read back as a string.
-HISTORY_SCHEMAS = {
-    "rejected_records": _fields([*[(c, _SILVER_TYPES[c]) for c in SILVER_COLUMNS],
-                                 ("reject_reason", T.StringType()), ("reject_type", T.StringType()),
-                                 ("batch_id", T.StringType())]),
-    "quality_batch": _fields([
-        ("recorded_at_utc", T.StringType()), ("checked_at_utc", T.StringType()), ("gate_status", T.StringType()),
-        *[(c, T.LongType()) for c in ("raw_rows", "clean_rows", "rejected_rows", "duplicate_valid_rows",
-                                       "reconciliation_delta", "gold_daily_rows", "gold_top_zones_rows")],
-        ("reject_rate", T.DoubleType()), ("duplicate_rate", T.DoubleType()),
-        ("extract_age_hours", T.DoubleType()), ("violations", T.StringType()), ("batch_id", T.StringType())]),
-    "quality_reasons": _fields([("reject_reason", T.StringType()), ("reject_count", T.LongType()),
-                                ("batch_id", T.StringType())]),
-}
+from tripgate.sources import schemas
 
 # The KPI script (one statement per KPI) and the documented operations checks.
 KPI_SCRIPT = """
@@ -88,7 +61,7 @@ KPI_SQL = dict(zip(("kpi_daily_revenue", "kpi_daily_metrics", "kpi_top_zones"),
 
 
 def read_quality(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
-    return spark.read.schema(HISTORY_SCHEMAS[table]).parquet(f"{cfg.quality_root()}/{table}")
+    return schemas.read(spark, f"{cfg.quality_root()}/{table}", schemas.HISTORY[table])
 
 
 def register_views(spark: SparkSession, cfg: PipelineConfig) -> SparkSession:

@@ -1,8 +1,8 @@
-"""A lake built by the real pipeline over ``events``: four weekly batches, then two retries.
+"""A lake built by the real pipeline over ``events``: two half-month batches, then two retries.
 
 The publication, history, KPI and operations keys read this lake. Batch ids and the
 clock are fixed so results are reproducible: the batches are judged at the instant they
-were extracted (age 0 h). After the four runs, the gate step of the first batch is retried
+were extracted (age 0 h). Together the windows cover every event. After both runs, the gate step of the first batch is retried
 (its history rows are rewritten, not doubled) and the live batch is published again (a
 no-op). The lake is built once per Spark application and input folder.
 """
@@ -22,10 +22,8 @@ from tripgate.sources.adapters import read_table
 
 # Fixed query parameters: the weekly windows (end exclusive) and the pipeline clock.
 LAKE_WINDOWS = (
-    ("w01", "2024-01-01", "2024-01-08"),
-    ("w02", "2024-01-08", "2024-01-15"),
-    ("w03", "2024-01-15", "2024-01-22"),
-    ("w04", "2024-01-22", "2024-01-29"),
+    ("w01", "2024-01-01", "2024-01-16"),
+    ("w02", "2024-01-16", "2024-01-31"),
 )
 LAKE_CLOCK = datetime(2024, 2, 1, 6, 0, tzinfo=timezone.utc)
 

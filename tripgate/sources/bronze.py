@@ -219,12 +219,14 @@ class IngestResult:
     manifest: dict
 
 
-def page_audit(spark: SparkSession, prefix: str) -> DataFrame:
-    """``key, page, bytes, sha256, header_ok, rows, malformed_rows`` per written page."""
+def page_audit(spark: SparkSession, prefix: str, header: list[str] | None = None) -> DataFrame:
+    """``key, page, bytes, sha256, header_ok, rows, malformed_rows`` per written page.
+
+    ``header`` is the expected header (what the writer wrote); by default the first page's.
+    """
     files = page_files(spark, prefix)
     paths = f"{prefix.rstrip('/')}/page=*/*.csv"
-    header = first_header(spark, paths)
-    checks = validate_pages(spark, paths, header)
+    checks = validate_pages(spark, paths, header or first_header(spark, paths))
     return files.join(checks, "key", "left")
 
 
@@ -263,7 +265,7 @@ def read_manifest(spark: SparkSession, key: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).option("multiLine", "true").json(key)
 
 
-def verify_pages(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+def verify_pages(spark: SparkSession, manifest: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """S4 + S5: per manifest page, observed bytes / hash against the recorded ones.
 
     Output ``key, rows, bytes_ok, sha256_ok, present, manifest_consistent``; a page
@@ -275,7 +277,8 @@ def verify_pages(spark: SparkSession, manifest: DataFrame) -> DataFrame:
         .alias("manifest_consistent"),
         F.inline("pages"),
     )
-    keys = [r["key"] for r in listed.select("key").collect()]
+    if keys is None:  # manifest-listed pages only, never a wildcard
+        keys = [r["key"] for r in listed.select("key").collect()]
     observed = (
         spark.read.format("binaryFile").load(keys)
         .select(F.col("path").alias("key"), F.col("length").alias("_bytes"),
