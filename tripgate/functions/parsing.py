@@ -41,12 +41,18 @@ _LEGACY_INT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]*)$"
 
 def legacy_int(col: Column) -> Column:
     """String -> int with the legacy (non-ANSI) cast rules: ``'8.7'`` -> 8, ``'.5'`` -> 0,
-    ``' 7 '`` -> 7, ``'1e3'`` / ``'x'`` / overflow -> NULL."""
+    ``' 7 '`` -> 7, ``'1e3'`` / ``'x'`` / overflow -> NULL.
+
+    Plain integers take the strict cast, which gives the same value whenever it
+    succeeds; only strings it rejects go through the (costlier) pattern path.
+    """
+    fast = col.try_cast("int")
     s = F.regexp_replace(col, _EDGE, "")
     sign = F.regexp_extract(s, r"^([+-]?)", 1)
     digits = F.regexp_extract(s, r"^[+-]?([0-9]*)", 1)
     integral = F.concat(sign, F.when(digits == "", F.lit("0")).otherwise(digits))
-    return F.when(s.rlike(_LEGACY_INT), integral.try_cast("int"))
+    slow = F.when(s.rlike(_LEGACY_INT), integral.try_cast("int"))
+    return F.when(fast.isNotNull(), fast).when(col.isNotNull(), slow)
 
 
 def parsed_columns() -> list[Column]:

@@ -41,18 +41,22 @@ def trip_rules(limits: TripLimits = TripLimits()) -> list[Rule]:
     trip_id, start, end = F.col("trip_id"), F.col("trip_start_ts"), F.col("trip_end_ts")
     total, duration = F.col("trip_total_usd"), F.col("duration_seconds")
     miles, area = F.col("trip_miles"), F.col("pickup_community_area")
+    # Each predicate references an expensive parsed column once: when Catalyst inlines
+    # the parse into a filter, every reference is evaluated again. ``coalesce(p, d)``
+    # states the NULL case explicitly (d = what a NULL input means for the rule).
+    no, yes = F.lit(False), F.lit(True)
     predicates = [
-        trip_id.isNull() | (trip_id == ""),
+        F.coalesce(trip_id == "", yes),                        # NULL or empty id
         start.isNull(),
-        total.isNull() | (total < 0),
-        duration.isNull() | (duration < 0),
-        miles.isNotNull() & (miles < 0),
-        end.isNotNull() & start.isNotNull() & (end < start),
+        F.coalesce(total < 0, yes),                            # NULL or negative
+        F.coalesce(duration < 0, yes),                         # NULL or negative
+        F.coalesce(miles < 0, no),                             # present and negative
+        F.coalesce(end < start, no),                           # both present, end first
         # Spark orders NaN above every number: a NaN distance / duration is implausible.
         miles > F.lit(float(limits.max_trip_miles)),
         duration > F.lit(float(limits.max_trip_duration_seconds)),
         total > F.lit(float(limits.max_trip_total_usd)),
-        area.isNotNull() & ~area.between(PICKUP_AREA_MIN, PICKUP_AREA_MAX),
+        ~F.coalesce(area.isin(list(range(PICKUP_AREA_MIN, PICKUP_AREA_MAX + 1))), yes),  # present, outside
     ]
     return [Rule(code, pred) for code, pred in zip(REASON_CODES, predicates)]
 

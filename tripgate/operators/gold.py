@@ -59,18 +59,7 @@ def top_zones(clean: DataFrame, by: Sequence[str] = (), k: int = TOP_ZONES) -> D
 
     Order: trips desc, then zone name as a *string* asc, so exactly ``k`` rows per group.
     """
-    totals = zone_totals(clean, by)
-    order = [F.col("trip_count").desc(), F.col("pickup_zone").asc()]
-    if by:
-        # Catalyst turns ``row_number() <= k`` into a partial + final WindowGroupLimit.
-        w = Window.partitionBy(*by).orderBy(*order)
-        ranked = totals.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    else:
-        # Global top-k: TakeOrderedAndProject keeps k rows per task; the rank is then
-        # numbered over those k rows only.
-        w = Window.orderBy(*order)
-        ranked = totals.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(w))
-    return ranked.select(*by, "rank", "pickup_zone", "trip_count", "total_revenue_usd")
+    return _rank_zones(zone_totals(clean, by), by, k)
 
 
 def gold_tables(clean: DataFrame, by: Sequence[str] = ()) -> dict[str, DataFrame]:
@@ -97,14 +86,14 @@ def dim_date(daily: DataFrame) -> DataFrame:
     )
 
 
-def candidate_rollup(clean: DataFrame) -> DataFrame:
+def candidate_rollup(clean: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One pass over Silver at (date, zone) grain: every Gold candidate is a re-aggregate.
 
-    The result has at most days x zones rows, whatever the Silver size, and carries the
-    exact decimal revenue plus the sums and counts behind each average.
+    The result has at most days x zones rows per batch, whatever the Silver size, and
+    carries the exact decimal revenue plus the sums and counts behind each average.
     """
     zone = F.coalesce(F.col("pickup_community_area").cast("string"), F.lit(UNKNOWN_ZONE))
-    return clean.groupBy("trip_date", zone.alias("pickup_zone")).agg(
+    return clean.groupBy(*by, "trip_date", zone.alias("pickup_zone")).agg(
         F.count("trip_id").alias("n"),
         F.sum("trip_total_usd").alias("revenue"),
         F.sum("duration_seconds").alias("duration_sum"),
@@ -114,21 +103,31 @@ def candidate_rollup(clean: DataFrame) -> DataFrame:
     )
 
 
-def tables_from_rollup(rollup: DataFrame, k: int = TOP_ZONES) -> dict[str, DataFrame]:
-    daily = rollup.groupBy("trip_date").agg(
+def tables_from_rollup(rollup: DataFrame, by: Sequence[str] = (), k: int = TOP_ZONES) -> dict[str, DataFrame]:
+    """The three Gold tables re-aggregated from :func:`candidate_rollup`."""
+    daily = rollup.groupBy(*by, "trip_date").agg(
         F.sum("n").alias("trip_count"),
         _revenue("revenue").alias("total_revenue_usd"),
         F.round(F.try_divide(F.sum("duration_sum"), F.sum("duration_n")) / 60, 2).alias("avg_duration_min"),
         F.round(F.try_divide(F.sum("miles_sum"), F.sum("miles_n")), 2).alias("avg_trip_miles"),
     )
-    zones = rollup.groupBy("pickup_zone").agg(
+    zones = rollup.groupBy(*by, "pickup_zone").agg(
         F.sum("n").alias("trip_count"), _revenue("revenue").alias("total_revenue_usd"))
-    order = [F.col("trip_count").desc(), F.col("pickup_zone").asc()]
-    top = (zones.orderBy(*order).limit(k)
-           .withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-           .select("rank", "pickup_zone", "trip_count", "total_revenue_usd"))
     return {
-        "daily_revenue": daily.select("trip_date", "trip_count", "total_revenue_usd"),
-        "daily_trip_metrics": daily.select("trip_date", "trip_count", "avg_duration_min", "avg_trip_miles"),
-        "top_pickup_zones": top,
+        "daily_revenue": daily.select(*by, "trip_date", "trip_count", "total_revenue_usd"),
+        "daily_trip_metrics": daily.select(*by, "trip_date", "trip_count", "avg_duration_min", "avg_trip_miles"),
+        "top_pickup_zones": _rank_zones(zones, by, k),
     }
+
+
+def _rank_zones(totals: DataFrame, by: Sequence[str], k: int) -> DataFrame:
+    order = [F.col("trip_count").desc(), F.col("pickup_zone").asc()]
+    if by:
+        # Catalyst turns ``row_number() <= k`` into a partial + final WindowGroupLimit.
+        w = Window.partitionBy(*by).orderBy(*order)
+        ranked = totals.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    else:
+        # Global top-k: TakeOrderedAndProject keeps k rows per task; the rank is then
+        # numbered over those k rows only.
+        ranked = totals.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    return ranked.select(*by, "rank", "pickup_zone", "trip_count", "total_revenue_usd")

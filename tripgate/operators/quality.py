@@ -87,12 +87,14 @@ def disposition_metrics(silver, by: Sequence[str] = ("batch_id",)) -> DataFrame:
 
 
 def validation_metrics(silver_clean: DataFrame, daily_revenue: DataFrame, daily_metrics: DataFrame,
-                       top_zones: DataFrame, by: Sequence[str] = ("batch_id",)) -> DataFrame:
+                       top_zones: DataFrame, by: Sequence[str] = ("batch_id",),
+                       silver_rows: Column | None = None, silver_revenue: Column | None = None) -> DataFrame:
     """Re-read checks of Silver and the three Gold candidates, per batch.
 
     The four tables are tagged and unioned, then judged by one aggregate (one shuffle,
     no joins). Revenue is compared exactly as decimals and NULL equals NULL (``<=>``); a
-    sum over no rows is NULL, as a missing value.
+    sum over no rows is NULL, as a missing value. ``silver_clean`` may be the Silver rows
+    (default) or any pre-aggregate of them given ``silver_rows`` / ``silver_revenue``.
     """
     money = "decimal(38,2)"
 
@@ -105,14 +107,15 @@ def validation_metrics(silver_clean: DataFrame, daily_revenue: DataFrame, daily_
         )
 
     tagged = (
-        part(silver_clean, "silver", revenue=F.col("trip_total_usd"))
+        part(silver_clean, "silver", silver_rows if silver_rows is not None else F.lit(1),
+             silver_revenue if silver_revenue is not None else F.col("trip_total_usd"))
         .unionByName(part(daily_revenue, "daily", F.col("trip_count"), F.col("total_revenue_usd")))
         .unionByName(part(daily_metrics, "metrics", F.col("trip_count")))
         .unionByName(part(top_zones, "zones", rank=F.col("rank")))
     )
     t = F.col("_t")
     agg = tagged.groupBy(*by).agg(
-        F.count_if(t == "silver").alias("silver_rows"),
+        F.coalesce(F.sum(F.when(t == "silver", F.col("_count"))), F.lit(0)).alias("silver_rows"),
         F.sum(F.when(t == "silver", F.col("_revenue"))).alias("_silver_revenue"),
         F.sum(F.when(t == "daily", F.col("_count"))).alias("daily_count_sum"),
         F.sum(F.when(t == "daily", F.col("_revenue"))).alias("_gold_revenue"),

@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tripgate.config import TripLimits
@@ -31,12 +31,17 @@ REJECTION_COLUMNS = (*SILVER_COLUMNS, "reject_reason")
 
 @dataclass(frozen=True)
 class SilverResult:
-    """The three dispositions of a raw batch; ``classified`` is every row with its reason."""
+    """The three dispositions of a raw batch; ``classified`` is every row with its reason.
+
+    ``observation`` holds ``raw_rows`` and ``invalid_rows``, counted in the same pass as
+    the classification, once an action has run over ``classified``.
+    """
 
     clean: DataFrame
     invalid: DataFrame
     duplicate: DataFrame
     classified: DataFrame
+    observation: Observation | None = None
 
 
 def require_columns(raw: DataFrame, required=RAW_COLUMNS, what: str = "source") -> None:
@@ -57,6 +62,22 @@ def classify(parsed: DataFrame, limits: TripLimits = TripLimits()) -> DataFrame:
     return parsed.withColumn("reject_reason", reject_reason(trip_rules(limits)))
 
 
+def observe_dispositions(classified: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count raw and invalid rows while classifying (no extra pass).
+
+    The observation node is also a plan boundary: without it, Catalyst pushes the
+    ``reject_reason`` split filters below the classification and inlines every rule and
+    every parse expression into them, so each row is parsed several times over.
+    """
+    seen = Observation()
+    observed = classified.observe(
+        seen,
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if(F.col("reject_reason") != "").alias("invalid_rows"),
+    )
+    return observed, seen
+
+
 def split(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows without the reason column, invalid rows with it)."""
     valid = classified.filter(F.col("reject_reason") == "").drop("reject_reason")
@@ -108,10 +129,10 @@ def refine(raw: DataFrame, limits: TripLimits = TripLimits(), by: Sequence[str]
 
     ``by`` names columns (e.g. ``batch_id``) that are carried through and scope the dedup.
     """
-    classified = classify(parse(raw, by), limits)
+    classified, seen = observe_dispositions(classify(parse(raw, by), limits))
     valid, invalid = split(classified)
     clean, duplicate = dedup(valid, by)
-    return SilverResult(clean, invalid, duplicate, classified)
+    return SilverResult(clean, invalid, duplicate, classified, seen)
 
 
 def refine_pair(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

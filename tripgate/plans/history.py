@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tripgate.config import GatePolicy, TripLimits
 from tripgate.operators import gold, quality, silver
-from tripgate.session import zoned_session
+from tripgate.session import checkpoint_dir, zoned_session
+from tripgate.functions.rules import DUPLICATE_REASON
 from tripgate.sources.adapters import TRIP_ADAPTER_COLUMNS, read_table
 
 BY = ("batch_id",)
@@ -37,7 +38,7 @@ class BatchHistory:
     validation: DataFrame
     manifest: DataFrame
     gated: DataFrame
-    rejected: DataFrame
+    reasons: DataFrame
 
 
 def batched_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,13 +61,41 @@ def batch_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_history(spark: SparkSession, sf_dir: str, limits: TripLimits = TripLimits(),
                   policy: GatePolicy = HISTORY_POLICY, now: datetime = HISTORY_NOW) -> BatchHistory:
+    """Silver, Gold, metrics and the gate for every batch in one plan.
+
+    Two aggregates carry all the work: rows per (batch, reason) over the classified rows
+    (raw, invalid and valid counts and the reason breakdown), and one (batch, date, zone)
+    rollup of the deduplicated rows (clean counts, Silver totals, all Gold tables). The
+    rollup holds at most batches x days x zones rows; it is checkpointed once to the
+    shared checkpoint folder so its five consumers do not each re-run the dedup.
+    Duplicates per batch are the valid rows the dedup did not keep.
+    """
     s = zoned_session(spark)
+    checkpoint_dir(s)
     result = silver.refine(batched_raw(s, sf_dir), limits, by=BY)
-    tables = gold.gold_tables(result.clean, by=BY)
-    metrics = quality.disposition_metrics(result, by=BY)
-    validation = quality.validation_metrics(result.clean, tables["daily_revenue"],
-                                            tables["daily_trip_metrics"], tables["top_pickup_zones"], by=BY)
+    by_reason = result.classified.groupBy(*BY, "reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    rollup = gold.candidate_rollup(result.clean, by=BY).checkpoint(eager=True)
+    tables = gold.tables_from_rollup(rollup, by=BY)
+    reason = F.col("reject_reason")
+    counts = by_reason.groupBy(*BY).agg(
+        F.sum("n").alias("raw_rows"),
+        F.coalesce(F.sum(F.when(reason != "", F.col("n"))), F.lit(0)).alias("rejected_rows"),
+        F.coalesce(F.sum(F.when(reason == "", F.col("n"))), F.lit(0)).alias("_valid_rows"),
+    )
+    kept = rollup.groupBy(*BY).agg(F.sum("n").alias("clean_rows"))
+    metrics = counts.join(kept, list(BY), "left").select(
+        *BY, "raw_rows",
+        F.coalesce("clean_rows", F.lit(0)).alias("clean_rows"),
+        "rejected_rows",
+        (F.col("_valid_rows") - F.coalesce("clean_rows", F.lit(0))).alias("duplicate_valid_rows"),
+    )
+    validation = quality.validation_metrics(
+        rollup, tables["daily_revenue"], tables["daily_trip_metrics"], tables["top_pickup_zones"], by=BY,
+        silver_rows=F.col("n"), silver_revenue=F.col("revenue"))
     manifest = batch_manifests(s, sf_dir)
     gated = quality.evaluate_gate(quality.gate_input(metrics, validation, manifest), policy, now)
-    rejected = silver.rejections(result.invalid, result.duplicate)
-    return BatchHistory(result, tables, metrics, validation, manifest, gated, rejected)
+    dup_reasons = metrics.filter(F.col("duplicate_valid_rows") > 0).select(
+        *BY, F.lit(DUPLICATE_REASON).alias("reject_reason"), F.col("duplicate_valid_rows").alias("reject_count"))
+    reasons = (by_reason.filter(reason != "").select(*BY, "reject_reason", F.col("n").alias("reject_count"))
+               .unionByName(dup_reasons))
+    return BatchHistory(result, tables, metrics, validation, manifest, gated, reasons)

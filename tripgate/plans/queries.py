@@ -121,7 +121,7 @@ def quality_batch(spark, sf_dir):
 
 def quality_reasons(spark, sf_dir):
     h = history.batch_history(spark, sf_dir)
-    return quality.quality_reasons(h.rejected)
+    return h.reasons.select(F.col("batch_id").cast("string"), "reject_reason", "reject_count")
 
 
 SILVER_GOLD_QUERIES: dict[str, Query] = {
