@@ -110,23 +110,20 @@ def test_page_validation(spark, scratch):
                         b"def,2023-01-01T00:00:00.000,12.00\n")
     _write(spark, quoted, b'trip_id,trip_start_timestamp,trip_total\n"id\npart",2023-01-01T00:00:00.000,10\n')
     _write(spark, short, b"trip_id,trip_start_timestamp,trip_total\na,b\nc,d,e\nf,g,h,i\n")
-    header = ["trip_id", "trip_start_timestamp", "trip_total"]
-    out = {r.key.rsplit("/", 2)[-2]: r for r in
-           bronze.validate_pages(spark, f"{scratch}/p/page=*/*.csv", header).collect()}
-    assert (out["page=00000"].rows, out["page=00000"].malformed_rows) == (2, 0)
-    assert (out["page=00001"].rows, out["page=00001"].malformed_rows) == (1, 0)
-    assert out["page=00002"].malformed_rows == 2
+    out = {r.page: r for r in bronze.page_audit(spark, f"{scratch}/p").collect()}
+    assert (out["00000"].rows, out["00000"].malformed_rows) == (2, 0)
+    assert (out["00001"].rows, out["00001"].malformed_rows) == (1, 0)
+    assert out["00002"].malformed_rows == 2
     assert all(r.header_ok for r in out.values())
+    assert all(len(r.sha256) == 64 and r.bytes > 0 for r in out.values())
 
 
 def test_non_csv_payload_fails_header(spark, scratch):
     _write(spark, f"{scratch}/q/page=00000/a.csv", b'{"error":"rate limit"}\n')
-    row = bronze.validate_pages(spark, f"{scratch}/q/page=*/*.csv", ["trip_id", "trip_start_timestamp",
-                                                                     "trip_total"]).first()
+    row = bronze.page_audit(spark, f"{scratch}/q", ["trip_id", "trip_start_timestamp", "trip_total"]).first()
     assert not row.header_ok
     with pytest.raises(ValueError, match="header"):
-        bronze.build_manifest([dict(row.asDict(), page="00000", bytes=1, sha256="x")], cfg_for(""), "b", "s",
-                              "o", "t")
+        bronze.build_manifest([row.asDict()], cfg_for(""), "b", "s", "o", "t")
 
 
 def test_malformed_page_rejected_by_manifest(spark):

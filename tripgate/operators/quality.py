@@ -65,27 +65,6 @@ _MICRO = datetime(1970, 1, 1, 0, 0, 0, 1) - datetime(1970, 1, 1)
 
 # ---- metric inputs ---------------------------------------------------------------
 
-def disposition_metrics(silver, by: Sequence[str] = ("batch_id",)) -> DataFrame:
-    """Silver metrics per batch: raw / clean / invalid / duplicate rows (A4 per batch).
-
-    ``silver`` is a :class:`~tripgate.operators.silver.SilverResult` whose frames carry
-    the ``by`` columns. Four tagged branches, one aggregate.
-    """
-    tag = "_disposition"
-    tagged = (
-        silver.classified.select(*by, F.lit("raw").alias(tag))
-        .unionByName(silver.clean.select(*by, F.lit("clean").alias(tag)))
-        .unionByName(silver.invalid.select(*by, F.lit("invalid").alias(tag)))
-        .unionByName(silver.duplicate.select(*by, F.lit("duplicate").alias(tag)))
-    )
-    return tagged.groupBy(*by).agg(
-        F.count_if(F.col(tag) == "raw").alias("raw_rows"),
-        F.count_if(F.col(tag) == "clean").alias("clean_rows"),
-        F.count_if(F.col(tag) == "invalid").alias("rejected_rows"),
-        F.count_if(F.col(tag) == "duplicate").alias("duplicate_valid_rows"),
-    )
-
-
 def validation_metrics(silver_clean: DataFrame, daily_revenue: DataFrame, daily_metrics: DataFrame,
                        top_zones: DataFrame, by: Sequence[str] = ("batch_id",),
                        silver_rows: Column | None = None, silver_revenue: Column | None = None) -> DataFrame:

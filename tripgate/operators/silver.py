@@ -158,6 +158,22 @@ def reject_breakdown(rejected: DataFrame) -> DataFrame:
     return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("reject_count"))
 
 
+def breakdown_from_classified(classified: DataFrame) -> DataFrame:
+    """A5 in one aggregate over the classified rows: invalid rows per exact reason, plus
+    ``duplicate_trip_id`` = valid rows minus distinct valid ids (what the dedup drops).
+
+    Distinct ids are counted by a two-level aggregate keyed on (reason, id), so the many
+    rows sharing an empty id collapse map-side.
+    """
+    per_reason = classified.groupBy("reject_reason").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("trip_id").alias("ids"))
+    reason = F.col("reject_reason")
+    return per_reason.select(
+        F.when(reason == "", F.lit(DUPLICATE_REASON)).otherwise(reason).alias("reject_reason"),
+        F.when(reason == "", F.col("n") - F.col("ids")).otherwise(F.col("n")).alias("reject_count"),
+    ).filter(F.col("reject_count") > 0)
+
+
 def reconciliation(raw: DataFrame, result: SilverResult) -> DataFrame:
     """A4: one row ``raw, clean, invalid, duplicate, delta, reconciled``.
 

@@ -15,10 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripgate.config import PipelineConfig
+from tripgate.functions.parsing import RAW_COLUMNS
 from tripgate.operators import gold, quality, silver
-from tripgate.plans import history
-from tripgate.session import zoned_session
-from tripgate.sources.adapters import raw_trips
+from tripgate.plans import history, kpi
+from tripgate.plans.lake import LAKE_CLOCK, demo_lake
+from tripgate.plans.pipeline import ingest
+from tripgate.plans.publish import read_published, verify_publication
+from tripgate.session import scratch_dir, zoned_session
+from tripgate.sources import bronze, documents
+from tripgate.sources.adapters import raw_trips, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,8 +71,7 @@ def silver_rejections(spark, sf_dir):
 
 
 def reject_breakdown(spark, sf_dir):
-    r = _silver(spark, sf_dir)
-    return silver.reject_breakdown(silver.rejections(r.invalid, r.duplicate, "all"))
+    return silver.breakdown_from_classified(_silver(spark, sf_dir).classified)
 
 
 def silver_reconciliation(spark, sf_dir):
@@ -162,11 +166,6 @@ def bronze_config(root: str = "") -> PipelineConfig:
 
 def bronze_landing(spark: SparkSession, sf_dir: str) -> dict:
     """Run the ingest step once (pages + manifest) and remember where it landed."""
-    from tripgate.plans.lake import LAKE_CLOCK
-    from tripgate.plans.pipeline import ingest
-    from tripgate.session import scratch_dir
-    from tripgate.sources.adapters import read_table
-
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDINGS:
         cfg = bronze_config(scratch_dir(spark, "bronze"))
@@ -177,17 +176,11 @@ def bronze_landing(spark: SparkSession, sf_dir: str) -> dict:
 
 
 def extract_window(spark, sf_dir):
-    from tripgate.sources import bronze
-    from tripgate.sources.adapters import read_table
-
     cfg = PipelineConfig(start_date=EXTRACT_START, end_date=EXTRACT_END)
     return bronze.extract_window(read_table(spark, sf_dir, "events"), cfg)
 
 
 def extract_pages(spark, sf_dir):
-    from tripgate.sources import bronze
-    from tripgate.sources.adapters import read_table
-
     paged = bronze.bounded_extract(read_table(spark, sf_dir, "events"), bronze_config())
     return paged.select("event_id", "ts", F.col("_rn").alias("rn"), "page", "page_row")
 
@@ -197,8 +190,6 @@ def _pages_root(landing: dict) -> str:
 
 
 def page_manifest(spark, sf_dir):
-    from tripgate.sources import bronze
-
     landing = bronze_landing(spark, sf_dir)
     manifest = bronze.read_manifest(spark, landing["manifest_key"])
     pages = manifest.select(F.inline("pages"))
@@ -206,20 +197,12 @@ def page_manifest(spark, sf_dir):
 
 
 def page_validation(spark, sf_dir):
-    from tripgate.sources import bronze
-
     landing = bronze_landing(spark, sf_dir)
-    prefix = _pages_root(landing)
-    paths = f"{prefix}/page=*/*.csv"
-    checks = bronze.validate_pages(spark, paths, bronze.first_header(spark, paths))
-    return checks.select(F.regexp_extract("key", r"/page=(\d+)/", 1).alias("page"),
-                         "header_ok", "rows", "malformed_rows", "blank_rows")
+    checks = bronze.page_audit(spark, _pages_root(landing))
+    return checks.select("page", "header_ok", "rows", "malformed_rows", "blank_rows")
 
 
 def bronze_csv_scan(spark, sf_dir):
-    from tripgate.functions.parsing import RAW_COLUMNS
-    from tripgate.sources import bronze, documents
-
     landing = bronze_landing(spark, sf_dir)
     manifest = documents.load_json(spark, landing["manifest_key"])
     return bronze.read_pages(spark, [p["key"] for p in manifest["pages"]], RAW_COLUMNS)
@@ -227,9 +210,6 @@ def bronze_csv_scan(spark, sf_dir):
 
 def bronze_integrity(spark, sf_dir):
     """S3-S5 + S7: the manifest read back, each page checked against storage and the scan."""
-    from tripgate.functions.parsing import RAW_COLUMNS
-    from tripgate.sources import bronze, documents
-
     landing = bronze_landing(spark, sf_dir)
     manifest_df = bronze.read_manifest(spark, landing["manifest_key"])
     keys = [p["key"] for p in documents.load_json(spark, landing["manifest_key"])["pages"]]
@@ -246,27 +226,18 @@ def bronze_integrity(spark, sf_dir):
 # ---- Publication, history, KPI and operations over the pipeline-built lake -------------------
 
 def publish_roundtrip(spark, sf_dir):
-    from tripgate.plans.lake import demo_lake
-    from tripgate.plans.publish import read_published, verify_publication
-
     cfg = demo_lake(spark, sf_dir)
     verify_publication(spark, cfg)
     return read_published(zoned_session(spark), cfg, "daily_revenue")
 
 
 def quality_history(spark, sf_dir):
-    from tripgate.plans.kpi import read_quality
-    from tripgate.plans.lake import demo_lake
-
-    return read_quality(spark, demo_lake(spark, sf_dir), "quality_reasons").select(
+    return kpi.read_quality(spark, demo_lake(spark, sf_dir), "quality_reasons").select(
         "batch_id", "reject_reason", "reject_count")
 
 
 def _kpi(name: str) -> Query:
     def run(spark, sf_dir):
-        from tripgate.plans import kpi
-        from tripgate.plans.lake import demo_lake
-
         return kpi.run(spark, demo_lake(spark, sf_dir), name)
 
     run.__name__ = name

@@ -148,40 +148,37 @@ def write_pages(paged: DataFrame, columns: list[str | Column], prefix: str,
     )
 
 
-def page_files(spark: SparkSession, prefix: str) -> DataFrame:
-    """S5 observation: ``key, page, bytes, sha256`` of every page file (a Spark job)."""
+def _header(content):
+    """First line of a page, BOM / CR / quotes removed, split on commas."""
+    first = F.substring_index(F.decode(content, "UTF-8"), "\n", 1)
+    return F.split(F.regexp_replace(F.regexp_replace(first, "^\ufeff|\r$", ""), '"', ""), ",")
+
+
+def page_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """S5 / S10 observation in one read of each file: ``key, page, bytes, sha256, header``."""
     return (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", "false")
-        .load(f"{prefix.rstrip('/')}/page=*")
+        spark.read.format("binaryFile").load(paths)
         .select(
             F.col("path").alias("key"),
             F.regexp_extract("path", r"/page=(\d+)/", 1).alias("page"),
             F.col("length").alias("bytes"),
             F.sha2(F.col("content"), 256).alias("sha256"),
+            _header(F.col("content")).alias("header"),
         )
     )
 
 
 # ---- S10: page validation --------------------------------------------------------------------
 
-def page_headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """First line of each page, BOM / CR / quotes removed, split on commas."""
-    files = spark.read.format("binaryFile").load(paths)
-    first = F.substring_index(F.decode(F.col("content"), "UTF-8"), "\n", 1)
-    cleaned = F.regexp_replace(F.regexp_replace(first, "^\ufeff|\r$", ""), '"', "")
-    return files.select(F.col("path").alias("key"), F.split(cleaned, ",").alias("header"))
-
-
-def validate_pages(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
-    """Per page: ``key, header_ok, rows, malformed_rows, blank_rows``.
+def validate_pages(spark: SparkSession, paths: list[str] | str, header: list[str]) -> DataFrame:
+    """Per page: ``key, rows, malformed_rows, blank_rows`` from one multiLine CSV read.
 
     Logical rows are counted by a multiLine CSV read (quoted newlines stay inside one
     record); a record whose width differs from the header is counted as malformed.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
                           + [T.StructField("_corrupt_record", T.StringType())])
-    rows = (
+    return (
         spark.read.schema(schema)
         .option("header", "true").option("multiLine", "true").option("mode", "PERMISSIVE")
         # The header line is only skipped here; it is checked on its own (``header_ok``),
@@ -194,20 +191,14 @@ def validate_pages(spark: SparkSession, paths: list[str], header: list[str]) ->
              # References every data column, so pruning cannot hide a width error.
              F.count_if(F.coalesce(*[F.col(c) for c in header]).isNull()).alias("blank_rows"))
     )
-    headers = page_headers(spark, paths).select(
-        "key", F.forall(F.array(*[F.lit(c) for c in HEADER_REQUIRED]),
-                        lambda c: F.array_contains(F.col("header"), c)).alias("header_ok"))
-    return (
-        headers.join(rows, "key", "left")
-        .select("key", "header_ok",
-                F.coalesce("rows", F.lit(0)).alias("rows"),
-                F.coalesce("malformed_rows", F.lit(0)).alias("malformed_rows"),
-                F.coalesce("blank_rows", F.lit(0)).alias("blank_rows"))
-    )
 
 
-def first_header(spark: SparkSession, path: str) -> list[str]:
-    return page_headers(spark, path).first()["header"]
+def header_ok(header: Column) -> Column:
+    return F.forall(F.array(*[F.lit(c) for c in HEADER_REQUIRED]), lambda c: F.array_contains(header, c))
+
+
+def first_header(spark: SparkSession, paths: list[str] | str) -> list[str]:
+    return page_files(spark, paths).select("header").first()["header"]
 
 
 # ---- S11: manifest ---------------------------------------------------------------------------
@@ -222,14 +213,21 @@ class IngestResult:
 
 
 def page_audit(spark: SparkSession, prefix: str, header: list[str] | None = None) -> DataFrame:
-    """``key, page, bytes, sha256, header_ok, rows, malformed_rows`` per written page.
+    """``key, page, bytes, sha256, header_ok, rows, malformed_rows, blank_rows`` per page.
 
+    One binary read per page (bytes, hash, header) and one CSV read (rows, widths).
     ``header`` is the expected header (what the writer wrote); by default the first page's.
     """
-    files = page_files(spark, prefix)
     paths = f"{prefix.rstrip('/')}/page=*/*.csv"
+    files = page_files(spark, paths)
     checks = validate_pages(spark, paths, header or first_header(spark, paths))
-    return files.join(checks, "key", "left")
+    return (
+        files.join(checks, "key", "left")
+        .select("key", "page", "bytes", "sha256", header_ok(F.col("header")).alias("header_ok"),
+                F.coalesce("rows", F.lit(0)).alias("rows"),
+                F.coalesce("malformed_rows", F.lit(0)).alias("malformed_rows"),
+                F.coalesce("blank_rows", F.lit(0)).alias("blank_rows"))
+    )
 
 
 def build_manifest(audit_rows: list, cfg: PipelineConfig, batch_id: str, source_url: str,
