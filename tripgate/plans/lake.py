@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from tripgate.config import PipelineConfig
 from tripgate.plans import pipeline
 from tripgate.plans.publish import publish
-from tripgate.session import scratch_dir
+from tripgate.session import scratch_dir, zoned_session
 from tripgate.sources.adapters import read_table
 
 # Fixed query parameters: the weekly windows (end exclusive) and the pipeline clock.
@@ -49,7 +49,7 @@ def demo_lake(spark: SparkSession, sf_dir: str) -> PipelineConfig:
         if key in _LAKES:
             return _LAKES[key]
         root = scratch_dir(spark, "lake")
-        events = read_table(spark, sf_dir, "events")
+        events = read_table(zoned_session(spark), sf_dir, "events")
         runs, cfg = {}, None
         for batch, start, end in LAKE_WINDOWS:
             cfg = window_config(root, start, end)

@@ -169,18 +169,20 @@ def bronze_landing(spark: SparkSession, sf_dir: str) -> dict:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDINGS:
         cfg = bronze_config(scratch_dir(spark, "bronze"))
-        info = ingest(spark, cfg, read_table(spark, sf_dir, "events"), batch_id="b0",
+        info = ingest(spark, cfg, read_table(zoned_session(spark), sf_dir, "events"), batch_id="b0",
                       clock=lambda: LAKE_CLOCK)
         _LANDINGS[key] = {**info, "cfg": cfg}
     return _LANDINGS[key]
 
 
 def extract_window(spark, sf_dir):
+    spark = zoned_session(spark)
     cfg = PipelineConfig(start_date=EXTRACT_START, end_date=EXTRACT_END)
     return bronze.extract_window(read_table(spark, sf_dir, "events"), cfg)
 
 
 def extract_pages(spark, sf_dir):
+    spark = zoned_session(spark)
     paged = bronze.bounded_extract(read_table(spark, sf_dir, "events"), bronze_config())
     return paged.select("event_id", "ts", F.col("_rn").alias("rn"), "page", "page_row")
 
@@ -190,6 +192,7 @@ def _pages_root(landing: dict) -> str:
 
 
 def page_manifest(spark, sf_dir):
+    spark = zoned_session(spark)
     landing = bronze_landing(spark, sf_dir)
     manifest = bronze.read_manifest(spark, landing["manifest_key"])
     pages = manifest.select(F.inline("pages"))
@@ -197,12 +200,14 @@ def page_manifest(spark, sf_dir):
 
 
 def page_validation(spark, sf_dir):
+    spark = zoned_session(spark)
     landing = bronze_landing(spark, sf_dir)
     checks = bronze.page_audit(spark, _pages_root(landing))
     return checks.select("page", "header_ok", "rows", "malformed_rows", "blank_rows")
 
 
 def bronze_csv_scan(spark, sf_dir):
+    spark = zoned_session(spark)
     landing = bronze_landing(spark, sf_dir)
     manifest = documents.load_json(spark, landing["manifest_key"])
     return bronze.read_pages(spark, [p["key"] for p in manifest["pages"]], RAW_COLUMNS)
@@ -210,6 +215,7 @@ def bronze_csv_scan(spark, sf_dir):
 
 def bronze_integrity(spark, sf_dir):
     """S3-S5 + S7: the manifest read back, each page checked against storage and the scan."""
+    spark = zoned_session(spark)
     landing = bronze_landing(spark, sf_dir)
     manifest_df = bronze.read_manifest(spark, landing["manifest_key"])
     keys = [p["key"] for p in documents.load_json(spark, landing["manifest_key"])["pages"]]
@@ -226,12 +232,14 @@ def bronze_integrity(spark, sf_dir):
 # ---- Publication, history, KPI and operations over the pipeline-built lake -------------------
 
 def publish_roundtrip(spark, sf_dir):
+    spark = zoned_session(spark)
     cfg = demo_lake(spark, sf_dir)
     verify_publication(spark, cfg)
-    return read_published(zoned_session(spark), cfg, "daily_revenue")
+    return read_published(spark, cfg, "daily_revenue")
 
 
 def quality_history(spark, sf_dir):
+    spark = zoned_session(spark)
     return kpi.read_quality(spark, demo_lake(spark, sf_dir), "quality_reasons").select(
         "batch_id", "reject_reason", "reject_count")
 

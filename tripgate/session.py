@@ -12,17 +12,35 @@ from tripgate.config import DEFAULT_TIME_ZONE
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+# Session settings of the pipeline's child session. Broadcasts are decided only by AQE
+# from *measured* shuffle sizes; the planner's size *estimates* never trigger one (an
+# aggregate with one row per trip id can be estimated far too small).
+PIPELINE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+}
+DEFAULT_ADAPTIVE_BROADCAST = "10MB"
+
+
 def zoned_session(spark: SparkSession, time_zone: str = DEFAULT_TIME_ZONE) -> SparkSession:
-    """A child session whose session zone is ``time_zone``.
+    """A child session pinned to ``time_zone`` with the pipeline's planner settings.
 
-    Timestamp parsing, ``to_date`` and ``to_json`` depend on the session zone; a child
+    Timestamp parsing, ``to_date`` and ``to_json`` depend on the session zone; the child
     session pins it without touching the caller's configuration. Shuffle partition
-    counts are left to AQE (coalescing + skew-join handling), never fixed here.
+    counts are left to AQE (coalescing + skew-join handling), never fixed here. A session
+    that is already such a child is returned as is.
     """
-    if spark.conf.get("spark.sql.session.timeZone") == time_zone:
+    if spark.conf.get("spark.sql.session.timeZone") == time_zone and all(
+            spark.conf.get(k, None) == v for k, v in PIPELINE_CONF.items()):
         return spark
+    adaptive = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
     child = spark.newSession()
     child.conf.set("spark.sql.session.timeZone", time_zone)
+    for key, value in PIPELINE_CONF.items():
+        child.conf.set(key, value)
+    child.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", adaptive or DEFAULT_ADAPTIVE_BROADCAST)
     return child
 
 
