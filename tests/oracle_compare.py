@@ -55,6 +55,21 @@ def _rows(cols, rows):
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+def duck_type(t) -> str:
+    """The DuckDB type name a Spark column type corresponds to."""
+    from pyspark.sql import types as T
+
+    simple = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE",
+              T.StringType: "VARCHAR", T.BooleanType: "BOOLEAN", T.DateType: "DATE",
+              T.TimestampNTZType: "TIMESTAMP", T.TimestampType: "TIMESTAMP WITH TIME ZONE"}
+    for cls, name in simple.items():
+        if isinstance(t, cls):
+            return name
+    if isinstance(t, T.DecimalType):
+        return f"DECIMAL({t.precision},{t.scale})"
+    return t.simpleString()
+
+
 def compare(spark, key: str, fn, sql: str, sf_dir: str, con=None) -> dict:
     con = con or duck(sf_dir)
     t0 = time.time()
@@ -62,21 +77,29 @@ def compare(spark, key: str, fn, sql: str, sf_dir: str, con=None) -> dict:
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, map(str, rel.types)))
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
+    s_types = {f.name: duck_type(f.dataType) for f in sdf.schema.fields}
     out = {"key": key, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
            "spark_sec": round(t1 - t0, 2)}
     out["columns_match"] = sorted(s_cols) == sorted(d_cols)
     if not out["columns_match"]:
         out["spark_cols"], out["oracle_cols"] = sorted(s_cols), sorted(d_cols)
+    out["types_match"] = s_types == d_types
+    if not out["types_match"]:
+        out["type_diffs"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                             if s_types.get(c) != d_types.get(c)}
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     out["values_match"] = a == b
     if not out["values_match"]:
         sa, sb = set(a), set(b)
         out["only_spark"] = sorted(sa - sb, key=str)[:3]
         out["only_oracle"] = sorted(sb - sa, key=str)[:3]
-    out["ok"] = out["columns_match"] and out["values_match"] and len(s_rows) == len(d_rows)
+    out["ok"] = (out["columns_match"] and out["types_match"] and out["values_match"]
+                 and len(s_rows) == len(d_rows))
     return out
 
 

@@ -138,7 +138,8 @@ metrics AS (SELECT m_raw.batch_id, raw_rows, coalesce(clean_rows, 0) AS clean_ro
             FROM m_raw LEFT JOIN m_dedup USING (batch_id)),
 v_silver AS (SELECT batch_id, count(*) AS silver_rows, sum(trip_total_usd) AS silver_revenue
              FROM clean GROUP BY batch_id),
-v_daily AS (SELECT batch_id, sum(trip_count) AS daily_count_sum, sum(trip_count) AS metrics_count_sum,
+v_daily AS (SELECT batch_id, CAST(sum(trip_count) AS BIGINT) AS daily_count_sum,
+                   CAST(sum(trip_count) AS BIGINT) AS metrics_count_sum,
                    sum(total_revenue_usd) AS gold_revenue, count(*) AS gold_daily_rows
             FROM daily GROUP BY batch_id),
 v_zones AS (SELECT batch_id, count(*) AS gold_top_zones_rows,
@@ -224,8 +225,9 @@ FROM (SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM clean
     "gold_zone_totals": _q(_GOLD, "SELECT pickup_zone, trip_count, total_revenue_usd FROM zones"),
     "gold_top_pickup_zones": _q(_GOLD, "SELECT rank, pickup_zone, trip_count, total_revenue_usd FROM top_zones"),
     "dim_date": _q(_GOLD, """
-SELECT CAST(d AS DATE) AS date, year(d) AS year, quarter(d) AS quarter, month(d) AS month,
-       day(d) AS day, isodow(d) AS iso_day_of_week, weekofyear(d) AS iso_week,
+SELECT CAST(d AS DATE) AS date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+       CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
+       CAST(isodow(d) AS INTEGER) AS iso_day_of_week, CAST(weekofyear(d) AS INTEGER) AS iso_week,
        strftime(d, '%Y-%m') AS year_month
 FROM (SELECT unnest(generate_series(min(trip_date)::TIMESTAMP, max(trip_date)::TIMESTAMP, INTERVAL 1 DAY)) AS d
       FROM daily)"""),
@@ -292,7 +294,7 @@ def _bronze_sql() -> dict[str, str]:
         "extract_window": f"SELECT * FROM events WHERE {lake_where(EXTRACT_START, EXTRACT_END)}",
         "extract_pages": _q(ctes, "SELECT event_id, ts, rn, page, page_row FROM paged"),
         "page_manifest": _q(ctes, "SELECT page, rows, strlen(body) AS bytes, sha256(body) AS sha256 FROM pages"),
-        "page_validation": _q(ctes, "SELECT page, true AS header_ok, rows, 0 AS malformed_rows, blank_rows FROM pages"),
+        "page_validation": _q(ctes, "SELECT page, true AS header_ok, rows, CAST(0 AS BIGINT) AS malformed_rows, blank_rows FROM pages"),
         "bronze_csv_scan": _q(ctes, f"SELECT {', '.join(_RAW_NAMES)} FROM adapted"),
         "bronze_integrity": _q(ctes, """
 SELECT page, rows, rows AS scanned_rows, true AS present, true AS bytes_ok, true AS sha256_ok,

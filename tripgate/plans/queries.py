@@ -8,6 +8,7 @@ engines regardless of the reader's zone.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -157,6 +158,7 @@ BRONZE_MAX_ROWS = 1_000_000_000  # no cap binds: every event in the range is lan
 EXTRACT_START, EXTRACT_END = "2024-01-03", "2024-01-24"
 
 _LANDINGS: dict = {}
+_LANDING_LOCK = threading.Lock()
 
 
 def bronze_config(root: str = "") -> PipelineConfig:
@@ -167,6 +169,11 @@ def bronze_config(root: str = "") -> PipelineConfig:
 def bronze_landing(spark: SparkSession, sf_dir: str) -> dict:
     """Run the ingest step once (pages + manifest) and remember where it landed."""
     key = (spark.sparkContext.applicationId, sf_dir)
+    with _LANDING_LOCK:
+        return _landing(spark, sf_dir, key)
+
+
+def _landing(spark: SparkSession, sf_dir: str, key) -> dict:
     if key not in _LANDINGS:
         cfg = bronze_config(scratch_dir(spark, "bronze"))
         info = ingest(spark, cfg, read_table(zoned_session(spark), sf_dir, "events"), batch_id="b0",
