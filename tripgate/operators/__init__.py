@@ -1,0 +1 @@
+"""DataFrame operators: Silver (parse, rules, dedup), Gold (aggregates, top-k), quality gate."""

@@ -1,0 +1 @@
+"""Whole plans: the batch pipeline, publication, SQL views, the registered query keys."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tripgate.config import GatePolicy, TripLimits
 from tripgate.operators import gold, quality, silver
-from tripgate.session import checkpoint_dir, zoned_session
+from tripgate.session import materialize, zoned_session
 from tripgate.functions.rules import DUPLICATE_REASON
 from tripgate.sources.adapters import TRIP_ADAPTER_COLUMNS, read_table
 
@@ -66,15 +66,14 @@ def batch_history(spark: SparkSession, sf_dir: str, limits: TripLimits = TripLim
     Two aggregates carry all the work: rows per (batch, reason) over the classified rows
     (raw, invalid and valid counts and the reason breakdown), and one (batch, date, zone)
     rollup of the deduplicated rows (clean counts, Silver totals, all Gold tables). The
-    rollup holds at most batches x days x zones rows; it is checkpointed once to the
-    shared checkpoint folder so its five consumers do not each re-run the dedup.
+    rollup holds at most batches x days x zones rows; it is written once to the shared
+    checkpoint folder so its five consumers do not each re-run the dedup.
     Duplicates per batch are the valid rows the dedup did not keep.
     """
     s = zoned_session(spark)
-    checkpoint_dir(s)
     result = silver.refine(batched_raw(s, sf_dir), limits, by=BY)
     by_reason = result.classified.groupBy(*BY, "reject_reason").agg(F.count(F.lit(1)).alias("n"))
-    rollup = gold.candidate_rollup(result.clean, by=BY).checkpoint(eager=True)
+    rollup = materialize(gold.candidate_rollup(result.clean, by=BY), "rollup")
     tables = gold.tables_from_rollup(rollup, by=BY)
     reason = F.col("reject_reason")
     counts = by_reason.groupBy(*BY).agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tripgate.config import DEFAULT_TIME_ZONE
 
@@ -64,3 +64,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared checkpoint location."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tripgate-{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage like ``checkpoint()``, but computes the plan a single time (an eager
+    checkpoint of an unpersisted plan runs it twice: once to count, once to write) and
+    survives executor loss, since the files live on the shared file system.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

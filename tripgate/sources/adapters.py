@@ -32,9 +32,6 @@ TRIP_ADAPTER_COLUMNS = (
 ADAPTER_SELECT = ",\n  ".join(TRIP_ADAPTER_COLUMNS)
 ADAPTER_SQL = f"SELECT {ADAPTER_SELECT}\nFROM events"
 
-EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value")
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -14,13 +14,12 @@ audited every page on the driver. Here the same contract is a Spark plan over a
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripgate.config import PipelineConfig
+from tripgate.session import materialize
 
 # Above this cap the extract is numbered by a distributed sort instead of a top-k heap.
 TOPK_MAX_ROWS = 1_000_000
@@ -67,20 +66,18 @@ def number_rows(df: DataFrame, order_cols: list[str], partitions: int | None = N
 
     Range partitioning spreads the sort over the cluster; each row's number is the sum
     of the sizes of the partitions before it plus its position inside its partition.
-    The sorted, tagged rows are checkpointed once so the size pass and the numbering pass
-    read identical partitions (the range sampler is not replayed).
+    The partition index and in-partition id are written once to the shared checkpoint
+    folder, so the size pass and the numbering pass read the same stored values (the
+    range sampler is never replayed).
     """
     spark = df.sparkSession
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    from tripgate.session import checkpoint_dir
-
-    checkpoint_dir(spark)
-    tagged = (
+    tagged = materialize(
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_part", F.spark_partition_id())
-        .withColumn("_mono", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("_mono", F.monotonically_increasing_id()),
+        "numbered",
     )
     sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -203,15 +200,6 @@ def first_header(spark: SparkSession, paths: list[str] | str) -> list[str]:
 
 # ---- S11: manifest ---------------------------------------------------------------------------
 
-@dataclass(frozen=True)
-class IngestResult:
-    batch_id: str
-    manifest_key: str
-    rows_downloaded: int
-    pages: int
-    manifest: dict
-
-
 def page_audit(spark: SparkSession, prefix: str, header: list[str] | None = None) -> DataFrame:
     """``key, page, bytes, sha256, header_ok, rows, malformed_rows, blank_rows`` per page.
 
