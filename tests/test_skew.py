@@ -32,10 +32,15 @@ def test_hot_key_and_copies_dedup_exactly(spark):
     assert hot.first().end.minute == 30  # the latest end wins
 
 
-def test_dedup_plan_pre_aggregates_and_never_windows(spark):
-    result = silver.refine(skewed(spark))
-    for df in (result.clean, result.duplicate):
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "Window" not in plan
-    plan = result.clean._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min" in plan  # map-side combine before the shuffle on trip_id
+def test_dedup_plan_limits_before_shuffle_and_losers_never_window(spark):
+    from tripgate.session import zoned_session
+
+    result = silver.refine(skewed(zoned_session(spark)))
+    clean_plan = result.clean._jdf.queryExecution().executedPlan().toString()
+    # The partial WindowGroupLimit sits below the shuffle on trip_id (map-side top-1).
+    below_exchange = clean_plan.split("Exchange hashpartitioning(trip_id", 1)[1]
+    assert "WindowGroupLimit" in below_exchange
+    dup_plan = result.duplicate._jdf.queryExecution().executedPlan().toString()
+    # Losers: an anti-join on the row id, the only window being the limited winner pick.
+    assert "LeftAnti" in dup_plan
+    assert "Exchange hashpartitioning(_rid" in dup_plan

@@ -3,9 +3,9 @@
 Skew design. A trip id, or one group of exact copies, may hold a large share of all
 rows, so the dedup never sends a whole key group through one task:
 
-* the winner of every id is found by a ``min`` over a struct ordering key; Spark runs
-  it as a partial (map-side) aggregate, so a hot id shrinks to one row per map task
-  before the shuffle;
+* the winner of every id is ``row_number() = 1`` under a total order; Catalyst plans a
+  partial WindowGroupLimit before the shuffle, so a hot id shrinks to one row per map
+  task;
 * the losing versions are found by an anti-join on a per-row id, which is uniformly
   distributed whatever the key skew (copies of one row all get distinct ids).
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tripgate.config import TripLimits
@@ -85,35 +85,39 @@ def split(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, invalid
 
 
-def _order_fields() -> list[Column]:
-    """Ascending struct order == completeness desc, end desc nulls last, row hash asc."""
-    end = F.col("trip_end_ts")
-    return [
-        (F.lit(3) - completeness()).alias("k_completeness"),
-        end.isNull().alias("k_end_missing"),
-        (-F.unix_micros(end)).alias("k_end"),
-        row_hash().alias("k_hash"),
-    ]
+def _with_row_id(valid: DataFrame) -> DataFrame:
+    """``_rid``: a per-row id assigned right above the scan-rooted input, so a retried task
+    sees the same ids (same file split, same row order). Copies of one row get distinct ids."""
+    return valid.withColumn("_rid", F.monotonically_increasing_id())
+
+
+def _winners(keyed: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The best version of every trip id: completeness desc, end desc nulls last, row hash
+    asc, then the row id (a total order, so the choice is deterministic).
+
+    ``row_number() = 1`` is planned as a partial WindowGroupLimit before the shuffle: a
+    hot id reaches the shuffle as at most one row per map task.
+    """
+    order = [completeness().desc(), F.col("trip_end_ts").desc_nulls_last(), row_hash().asc(),
+             F.col("_rid").asc()]
+    w = Window.partitionBy(*by, "trip_id").orderBy(*order)
+    return keyed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def keep_best(valid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per ``trip_id``: the most complete, latest-ending, lowest-hash version."""
-    best = F.min(F.struct(*_order_fields(), F.struct(*SILVER_COLUMNS).alias("row")))
-    return valid.groupBy(*by, "trip_id").agg(best.alias("best")).select(*by, "best.row.*")
+    return _winners(_with_row_id(valid), by).select(*by, *SILVER_COLUMNS)
 
 
 def losing_versions(valid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Every valid row except one best version per ``trip_id``, reason ``duplicate_trip_id``.
+    """Every valid row except the best version of its ``trip_id``, reason ``duplicate_trip_id``.
 
-    ``_rid`` is assigned right above the scan-rooted input, so a retried task sees the
-    same ids (same file split, same row order).
+    An anti-join on the row id: uniformly distributed whatever the key skew, whereas a
+    window over ``trip_id`` would send every version of a hot id to one task.
     """
-    keyed = valid.withColumn("_rid", F.monotonically_increasing_id())
-    winners = keyed.groupBy(*by, "trip_id").agg(
-        F.min(F.struct(*_order_fields(), F.col("_rid").alias("k_rid"))).getField("k_rid").alias("_rid")
-    )
+    keyed = _with_row_id(valid)
     return (
-        keyed.join(winners.select("_rid"), on="_rid", how="left_anti")
+        keyed.join(_winners(keyed, by).select("_rid"), on="_rid", how="left_anti")
         .select(*by, *SILVER_COLUMNS)
         .withColumn("reject_reason", F.lit(DUPLICATE_REASON))
     )
