@@ -34,6 +34,10 @@ SCENARIOS = {
     "bad_ts": dict(extracted_at_utc="oops"),
     "naive_ts": dict(extracted_at_utc="2026-09-17T09:57:00"),
     "zulu": dict(extracted_at_utc="2026-09-17T09:57:00Z"),
+    "compact_offset": dict(extracted_at_utc="2026-09-17T09:57:00+0000"),
+    "hour_offset": dict(extracted_at_utc="2026-09-17T15:27:00.5+05:30"),
+    "minutes_only": dict(extracted_at_utc="2026-09-17T09:57Z"),
+    "date_only": dict(extracted_at_utc="2026-09-17"),
     "age_zero": dict(extracted_at_utc=NOW.isoformat()),
     "age_limit": dict(extracted_at_utc=(NOW - timedelta(hours=24)).isoformat()),
     "age_over": dict(extracted_at_utc=(NOW - timedelta(hours=24, seconds=1)).isoformat()),
@@ -101,6 +105,13 @@ def test_inclusive_age_limits(judged):
     assert judged["zulu"].status == "PASS"
 
 
+def test_offset_forms(judged):
+    for name in ("compact_offset", "minutes_only"):
+        assert judged[name].status == "PASS" and abs(judged[name].extract_age_hours - 0.05) < 1e-12
+    assert abs(judged["hour_offset"].extract_age_hours - 179.5 / 3600) < 1e-9  # 09:57:00.5 UTC
+    assert judged["date_only"].violations == ["invalid_extraction_timestamp"]
+
+
 def test_invalid_timestamp_has_no_age(judged):
     assert judged["bad_ts"].extract_age_hours is None
     assert judged["naive_ts"].extract_age_hours is None

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,11 +13,13 @@ from tripgate.functions.parsing import SILVER_COLUMNS
 COMPLETENESS_FIELDS = ("trip_end_ts", "trip_miles", "pickup_community_area")
 
 
+@functools.cache
 def completeness() -> Column:
     """0..3: how many of the optional fields are present."""
     return sum((F.col(c).isNotNull().cast("int") for c in COMPLETENESS_FIELDS), F.lit(0))
 
 
+@functools.cache
 def row_hash() -> Column:
     """SHA-256 of the row's JSON (NULL fields omitted, timestamps with the session offset).
 

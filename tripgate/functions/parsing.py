@@ -7,6 +7,8 @@ is NULL for dirty input whatever the caller's ANSI setting is.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,10 +59,17 @@ def legacy_int(col: Column) -> Column:
 
 def parsed_columns() -> list[Column]:
     """The nine typed Silver columns, in order, from the seven raw string columns."""
+    return list(_parsed_columns())
+
+
+@functools.cache
+def _parsed_columns() -> tuple[Column, ...]:
+    # Column expressions are session-independent: build them once per process (each
+    # builder call is a round trip to the JVM).
     start = F.try_to_timestamp(F.col("trip_start_timestamp"))
     end = F.try_to_timestamp(F.col("trip_end_timestamp"))
     seconds = F.col("trip_seconds").try_cast("double")
-    return [
+    return (
         F.trim(F.col("trip_id")).alias("trip_id"),
         start.alias("trip_start_ts"),
         end.alias("trip_end_ts"),
@@ -73,4 +82,4 @@ def parsed_columns() -> list[Column]:
         # absolute-time difference of the two timestamps in whole seconds.
         F.coalesce(seconds, (F.unix_timestamp(end) - F.unix_timestamp(start)).cast("double"))
         .alias("duration_seconds"),
-    ]
+    )

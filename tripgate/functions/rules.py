@@ -7,6 +7,8 @@ an empty reason marks a valid row.
 
 from __future__ import annotations
 
+import functools
+
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -64,3 +66,9 @@ def trip_rules(limits: TripLimits = TripLimits()) -> list[Rule]:
 def reject_reason(rules: list[Rule]) -> Column:
     """``;``-joined codes of every firing rule, ``''`` when none fires."""
     return F.concat_ws(";", *[F.when(r.predicate, F.lit(r.code)) for r in rules])
+
+
+@functools.lru_cache(maxsize=64)
+def reason_column(limits: TripLimits = TripLimits()) -> Column:
+    """The reason expression for ``limits``, built once per process and limits."""
+    return reject_reason(trip_rules(limits))

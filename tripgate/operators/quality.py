@@ -33,8 +33,9 @@ GATE_CODES = (
 PASS, FAIL = "PASS", "FAIL"
 TOP_ZONES_MIN, TOP_ZONES_MAX = 1, 10
 
-# ISO-8601 extended date-time that carries an explicit UTC offset (or Z).
-_ISO_WITH_OFFSET = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})$"
+# ISO-8601 extended date-time that carries an explicit UTC offset (Z, +hh, +hhmm, +hh:mm).
+_ISO_WITH_OFFSET = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}(:?\d{2})?)$"
+_MINUTES_ONLY = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(Z|[+-].*)$"
 
 METRIC_COLUMNS = ("raw_rows", "clean_rows", "rejected_rows", "duplicate_valid_rows")
 VALIDATION_COLUMNS = ("silver_rows", "daily_count_sum", "metrics_count_sum", "revenue_matches",
@@ -128,7 +129,8 @@ def gate_input(metrics: DataFrame, validation: DataFrame, manifest: DataFrame) -
 # ---- the gate ----------------------------------------------------------------------
 
 def _extract_age_hours(extracted: Column, now: datetime) -> Column:
-    parsed = F.try_to_timestamp(extracted)
+    # Spark's parser needs seconds; ``hh:mm`` gets ``:00`` (same instant).
+    parsed = F.try_to_timestamp(F.regexp_replace(extracted, _MINUTES_ONLY, "$1:00$2"))
     well_formed = extracted.rlike(_ISO_WITH_OFFSET) & parsed.isNotNull()
     age = (F.lit(_epoch_micros(now)) - F.unix_micros(parsed)).cast("double") / 1e6 / 3600.0
     return F.when(well_formed, age)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tripgate.config import TripLimits
 from tripgate.functions.hashing import completeness, row_hash
 from tripgate.functions.parsing import RAW_COLUMNS, SILVER_COLUMNS, parsed_columns
-from tripgate.functions.rules import DUPLICATE_REASON, reject_reason, trip_rules
+from tripgate.functions.rules import DUPLICATE_REASON, reason_column
 
 REJECTION_COLUMNS = (*SILVER_COLUMNS, "reject_reason")
 
@@ -59,7 +59,7 @@ def parse(raw: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def classify(parsed: DataFrame, limits: TripLimits = TripLimits()) -> DataFrame:
     """Add ``reject_reason`` (``''`` = valid)."""
-    return parsed.withColumn("reject_reason", reject_reason(trip_rules(limits)))
+    return parsed.withColumn("reject_reason", reason_column(limits))
 
 
 def observe_dispositions(classified: DataFrame) -> tuple[DataFrame, Observation]:
