@@ -160,3 +160,16 @@ def test_read_pages_requires_columns(spark, scratch):
     _write(spark, f"{scratch}/r/a.csv", b"trip_id,trip_total\nx,1\n")
     with pytest.raises(ValueError, match="Missing columns in Bronze"):
         bronze.read_pages(spark, [f"{scratch}/r/a.csv"], RAW_COLUMNS)
+
+
+def test_scan_count_must_match_manifest(spark, scratch):
+    """S3: a manifest that adds up and whose pages are intact still fails when the CSV scan
+    finds another number of records."""
+    cfg = cfg_for(scratch, page_size=2, max_rows=10)
+    info = ingest(spark, cfg, source(spark, 3), batch_id="b1", columns=TRIP_COLUMNS)
+    manifest = documents.load_json(spark, info["manifest_key"])
+    manifest["rows_downloaded"] = 4
+    manifest["pages"][1]["rows"] = 2
+    documents.save_json(spark, info["manifest_key"], manifest)
+    with pytest.raises(AssertionError, match="CSV rows 3 != manifest 4"):
+        build_silver(spark, cfg, info["manifest_key"])
