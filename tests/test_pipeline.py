@@ -125,3 +125,13 @@ def test_kpi_script_and_views(spark, lake):
     assert kpi.split_script("-- note;\n\nSELECT 1;") == ["SELECT 1"]
     hist = kpi.run(spark, c, "ops_gate_history").collect()
     assert {r.batch_id for r in hist} >= {"w1", "w2"}
+
+
+def test_command_line(spark, lake, capsys):
+    from tripgate.__main__ import main
+
+    assert main(["verify", "--root", lake["root"]]) == 0
+    assert "PASS: published batch w2" in capsys.readouterr().out
+    assert main(["kpi", "--root", lake["root"], "--rows", "3"]) == 0
+    out = capsys.readouterr().out
+    assert out.count("SQL> ") == 3 and "top_pickup_zones" in out
