@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tripgate.config import PipelineConfig
 from tripgate.session import materialize
+from tripgate.sources.documents import list_files
 
 # Above this cap the extract is numbered by a distributed sort instead of a top-k heap.
 TOPK_MAX_ROWS = 1_000_000
@@ -206,7 +207,9 @@ def page_audit(spark: SparkSession, prefix: str, header: list[str] | None = None
     One binary read per page (bytes, hash, header) and one CSV read (rows, widths).
     ``header`` is the expected header (what the writer wrote); by default the first page's.
     """
-    paths = f"{prefix.rstrip('/')}/page=*/*.csv"
+    paths = list_files(spark, prefix, ".csv")  # the written pages, listed explicitly
+    if not paths:
+        raise ValueError(f"No CSV pages under {prefix}")
     files = page_files(spark, paths)
     checks = validate_pages(spark, paths, header or first_header(spark, paths))
     return (
