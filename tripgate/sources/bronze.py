@@ -14,7 +14,7 @@ audited every page on the driver. Here the same contract is a Spark plan over a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,7 @@ def number_rows(df: DataFrame, order_cols: list[str], partitions: int | None = N
 
     Range partitioning spreads the sort over the cluster; each row's number is the sum
     of the sizes of the partitions before it plus its position inside its partition.
+    The offsets table has one row per partition, so its broadcast is bounded by ``n``.
     The partition index and in-partition id are written once to the shared checkpoint
     folder, so the size pass and the numbering pass read the same stored values (the
     range sampler is never replayed).
@@ -80,10 +81,15 @@ def number_rows(df: DataFrame, order_cols: list[str], partitions: int | None = N
         .withColumn("_mono", F.monotonically_increasing_id()),
         "numbered",
     )
-    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition: a broadcast whose size is bounded by ``n``.
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # Partition sizes: one row per partition (at most ``n``), the same metadata
+    # ``RDD.zipWithIndex`` gathers; prefix sums give each partition's first row number.
+    sizes = sorted((r["_part"], r["_n"]) for r in
+                   tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect())
+    starts, total = [], 0
+    for part, count in sizes:
+        starts.append((part, total))
+        total += count
+    offsets = spark.createDataFrame(starts, "_part int, _offset long")
     position = F.col("_mono") - F.shiftleft(F.col("_part").cast("long"), 33)
     return (
         tagged.join(F.broadcast(offsets), "_part")
@@ -152,10 +158,21 @@ def _header(content):
     return F.split(F.regexp_replace(F.regexp_replace(first, "^\ufeff|\r$", ""), '"', ""), ",")
 
 
+def _page_reader(reader, paths):
+    """A batch folder is read as one root (one listing, no glob); explicit lists as given."""
+    if isinstance(paths, str):
+        return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv"), paths
+    return reader, paths
+
+
 def page_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """S5 / S10 observation in one read of each file: ``key, page, bytes, sha256, header``."""
+    """S5 / S10 observation in one read of each file: ``key, page, bytes, sha256, header``.
+
+    ``paths`` is a batch folder (every ``*.csv`` below it) or an explicit list of files.
+    """
+    reader, paths = _page_reader(spark.read.format("binaryFile"), paths)
     return (
-        spark.read.format("binaryFile").load(paths)
+        reader.load(paths)
         .select(
             F.col("path").alias("key"),
             F.regexp_extract("path", r"/page=(\d+)/", 1).alias("page"),
@@ -176,8 +193,9 @@ def validate_pages(spark: SparkSession, paths: list[str] | str, header: list[str
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
                           + [T.StructField("_corrupt_record", T.StringType())])
+    reader, paths = _page_reader(spark.read.schema(schema), paths)
     return (
-        spark.read.schema(schema)
+        reader
         .option("header", "true").option("multiLine", "true").option("mode", "PERMISSIVE")
         # The header line is only skipped here; it is checked on its own (``header_ok``),
         # so a wrong header is reported instead of failing the job.
@@ -207,9 +225,9 @@ def page_audit(spark: SparkSession, prefix: str, header: list[str] | None = None
     One binary read per page (bytes, hash, header) and one CSV read (rows, widths).
     ``header`` is the expected header (what the writer wrote); by default the first page's.
     """
-    paths = list_files(spark, prefix, ".csv")  # the written pages, listed explicitly
-    if not paths:
+    if not list_files(spark, prefix, ".csv"):
         raise ValueError(f"No CSV pages under {prefix}")
+    paths = prefix.rstrip("/")  # the batch folder: every page written below it
     files = page_files(spark, paths)
     checks = validate_pages(spark, paths, header or first_header(spark, paths))
     return (
