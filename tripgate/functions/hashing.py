@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tripgate.functions.parsing import SILVER_COLUMNS
+from tripgate.functions.parsing import SILVER_COLUMNS, jvm_cached
 
 # Fixed value: the optional fields whose presence makes a version "more complete".
 COMPLETENESS_FIELDS = ("trip_end_ts", "trip_miles", "pickup_community_area")
 
 
-@functools.cache
+@jvm_cached
 def completeness() -> Column:
     """0..3: how many of the optional fields are present."""
     return sum((F.col(c).isNotNull().cast("int") for c in COMPLETENESS_FIELDS), F.lit(0))
 
 
-@functools.cache
+@jvm_cached
 def row_hash() -> Column:
     """SHA-256 of the row's JSON (NULL fields omitted, timestamps with the session offset).
 

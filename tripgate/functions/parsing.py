@@ -62,10 +62,25 @@ def parsed_columns() -> list[Column]:
     return list(_parsed_columns())
 
 
-@functools.cache
+def jvm_cached(fn):
+    """Cache a Column builder per JVM: expressions are session-independent, so they are
+    built once (each builder call is a round trip to the JVM) and reused by every session."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        from pyspark import SparkContext
+
+        key = (id(SparkContext._jvm), *args)
+        if key not in cache:
+            cache[key] = fn(*args)
+        return cache[key]
+
+    return wrapper
+
+
+@jvm_cached
 def _parsed_columns() -> tuple[Column, ...]:
-    # Column expressions are session-independent: build them once per process (each
-    # builder call is a round trip to the JVM).
     start = F.try_to_timestamp(F.col("trip_start_timestamp"))
     end = F.try_to_timestamp(F.col("trip_end_timestamp"))
     seconds = F.col("trip_seconds").try_cast("double")

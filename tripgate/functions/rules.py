@@ -7,14 +7,13 @@ an empty reason marks a valid row.
 
 from __future__ import annotations
 
-import functools
-
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tripgate.config import TripLimits
+from tripgate.functions.parsing import jvm_cached
 
 # The reason codes, in evaluation order, plus the dedup reason.
 REASON_CODES = (
@@ -68,7 +67,7 @@ def reject_reason(rules: list[Rule]) -> Column:
     return F.concat_ws(";", *[F.when(r.predicate, F.lit(r.code)) for r in rules])
 
 
-@functools.lru_cache(maxsize=64)
+@jvm_cached
 def reason_column(limits: TripLimits = TripLimits()) -> Column:
     """The reason expression for ``limits``, built once per process and limits."""
     return reject_reason(trip_rules(limits))
