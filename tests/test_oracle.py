@@ -28,3 +28,14 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["trip_date", "trip_count", "total_revenue_usd"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", ["silver_clean", "silver_duplicates", "gold_daily_trip_metrics", "gate_evaluate"])
+def test_driver_like_session(spark, con, key):
+    """The driver's own session (UTC, ANSI on, default planner settings) gets the same results."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.session.timeZone", "UTC")
+    s.conf.set("spark.sql.ansi.enabled", "true")
+    result = compare(s, key, entry.queries()[key], entry.oracle_sql()[key], SF_SMALL, con)
+    assert result["ok"], result
+    assert s.conf.get("spark.sql.session.timeZone") == "UTC"  # the caller's session is untouched
