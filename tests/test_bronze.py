@@ -135,7 +135,7 @@ def test_malformed_page_rejected_by_manifest(spark):
 def test_integrity_detects_tampering(spark, scratch):
     cfg = cfg_for(scratch, page_size=2, max_rows=10)
     info = ingest(spark, cfg, source(spark, 3), batch_id="b1", columns=TRIP_COLUMNS)
-    assert check_bronze(spark, info["manifest_key"])["batch_id"] == "b1"
+    assert check_bronze(spark, info["manifest_key"])[0]["batch_id"] == "b1"
     manifest = documents.load_json(spark, info["manifest_key"])
     page = manifest["pages"][1]["key"]
     text = documents.read_text(spark, page)
@@ -173,3 +173,20 @@ def test_scan_count_must_match_manifest(spark, scratch):
     documents.save_json(spark, info["manifest_key"], manifest)
     with pytest.raises(AssertionError, match="CSV rows 3 != manifest 4"):
         build_silver(spark, cfg, info["manifest_key"])
+
+
+def test_large_batch_lists_pages_in_a_table(spark, scratch, monkeypatch):
+    """Above the inline bound the page list is a Parquet table; checks and reads use it."""
+    monkeypatch.setattr(bronze, "INLINE_PAGES_MAX", 1)
+    cfg = cfg_for(scratch, page_size=2, max_rows=10)
+    info = ingest(spark, cfg, source(spark, 5), batch_id="b1", columns=TRIP_COLUMNS)
+    manifest = documents.load_json(spark, info["manifest_key"])
+    assert manifest["pages"] == [] and manifest["pages_table"] and manifest["rows_downloaded"] == 5
+    listed = bronze.listed_pages(spark, bronze.read_manifest(spark, info["manifest_key"]))
+    assert sorted(r.rows for r in listed.collect()) == [1, 2, 2]
+    silver = build_silver(spark, cfg, info["manifest_key"])
+    assert silver["raw_rows"] == 5
+    # A listed page that disappears is reported by the distributed check.
+    documents.delete(spark, listed.orderBy("key").first().key)
+    with pytest.raises(AssertionError, match="integrity check failed"):
+        check_bronze(spark, info["manifest_key"])

@@ -24,6 +24,9 @@ from tripgate.sources.documents import list_files
 
 # Above this cap the extract is numbered by a distributed sort instead of a top-k heap.
 TOPK_MAX_ROWS = 1_000_000
+# Up to this many pages the manifest lists them inline (one JSON document); beyond it the
+# page list is a Parquet table next to the manifest, so no step gathers it on the driver.
+INLINE_PAGES_MAX = 10_000
 # The columns a page header must contain, and the page file name width.
 HEADER_REQUIRED = ("trip_id", "trip_start_timestamp", "trip_total")
 PAGE_LABEL_WIDTH = 5
@@ -39,6 +42,8 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("rows_downloaded", T.LongType()),
     T.StructField("capped", T.BooleanType()),
     T.StructField("extracted_at_utc", T.StringType()),
+    T.StructField("pages_root", T.StringType()),
+    T.StructField("pages_table", T.StringType()),
     T.StructField("pages", T.ArrayType(T.StructType([
         T.StructField("key", T.StringType()),
         T.StructField("rows", T.LongType()),
@@ -239,8 +244,53 @@ def page_audit(spark: SparkSession, prefix: str, header: list[str] | None = None
     )
 
 
+PAGE_ENTRY_COLUMNS = ("key", "rows", "bytes", "sha256")
+
+
+def manifest_from_audit(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig, batch_id: str,
+                        source_url: str, order_by: str, extracted_at_utc: str, pages_root: str,
+                        pages_table: str) -> dict:
+    """The manifest of an audited batch; the page checks run as one Spark aggregate.
+
+    Small batches list their pages inline; above ``INLINE_PAGES_MAX`` pages the list is
+    written to ``pages_table`` and the document references it.
+    """
+    bad_header = ~F.col("header_ok")
+    malformed = F.col("malformed_rows") > 0
+    oversized = F.col("rows") > cfg.page_size
+    summary = audit.agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        # Keeps every data column of the CSV audit read referenced (see validate_pages).
+        F.coalesce(F.sum("blank_rows"), F.lit(0)).alias("blank_rows"),
+        F.min(F.when(bad_header, F.col("key"))).alias("bad_header"),
+        F.min(F.when(malformed, F.col("key"))).alias("malformed"),
+        F.min(F.when(oversized, F.col("key"))).alias("oversized"),
+    ).first()
+    if summary["bad_header"]:
+        raise ValueError(f"Unexpected CSV header in page {summary['bad_header']}")
+    if summary["malformed"]:
+        raise ValueError(f"Malformed CSV page: column count does not match header ({summary['malformed']})")
+    if summary["oversized"]:
+        raise ValueError("Page holds more records than requested.")
+    if not summary["pages"]:
+        raise ValueError("No trips returned for the selected period; no data published.")
+    if summary["pages"] <= INLINE_PAGES_MAX:
+        return build_manifest([r.asDict() for r in audit.collect()], cfg, batch_id, source_url, order_by,
+                              extracted_at_utc, pages_root=pages_root)
+    audit.select("page", *PAGE_ENTRY_COLUMNS).write.mode("errorifexists").parquet(pages_table)
+    total = int(summary["rows"])
+    return {
+        "source_url": source_url, "batch_id": batch_id,
+        "start_date_inclusive": cfg.start_date, "end_date_exclusive": cfg.end_date,
+        "order_by": order_by, "page_size": cfg.page_size, "max_rows": cfg.max_rows,
+        "rows_downloaded": total, "capped": total == cfg.max_rows, "extracted_at_utc": extracted_at_utc,
+        "pages_root": pages_root, "pages_table": pages_table, "pages": [],
+    }
+
+
 def build_manifest(audit_rows: list, cfg: PipelineConfig, batch_id: str, source_url: str,
-                   order_by: str, extracted_at_utc: str) -> dict:
+                   order_by: str, extracted_at_utc: str, pages_root: str | None = None) -> dict:
     """The manifest document; raises like the reference's page checks."""
     pages = sorted(audit_rows, key=lambda r: r["page"])
     for r in pages:
@@ -264,6 +314,7 @@ def build_manifest(audit_rows: list, cfg: PipelineConfig, batch_id: str, source_
         "rows_downloaded": total,
         "capped": total == cfg.max_rows,
         "extracted_at_utc": extracted_at_utc,
+        "pages_root": pages_root,
         "pages": [{"key": r["key"], "rows": int(r["rows"]), "bytes": int(r["bytes"]),
                    "sha256": r["sha256"]} for r in pages],
     }
@@ -274,48 +325,61 @@ def read_manifest(spark: SparkSession, key: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).option("multiLine", "true").json(key)
 
 
+def listed_pages(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+    """``key, rows, bytes, sha256`` of every manifest-listed page (inline or table)."""
+    head = manifest.select("pages_table").first()
+    if head and head["pages_table"]:
+        return spark.read.parquet(head["pages_table"]).select(*PAGE_ENTRY_COLUMNS)
+    return manifest.select(F.inline("pages")).select(*PAGE_ENTRY_COLUMNS)
+
+
 def verify_pages(spark: SparkSession, manifest: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """S4 + S5: per manifest page, observed bytes / hash against the recorded ones.
 
     Output ``key, rows, bytes_ok, sha256_ok, present, manifest_consistent``; a page
-    missing on storage has ``present = false``.
+    missing on storage has ``present = false``. Only listed pages are judged: the batch
+    folder is observed as one root, files outside the list are never considered.
     """
-    listed = manifest.select(
-        "batch_id",
-        (F.col("rows_downloaded") == F.aggregate("pages", F.lit(0).cast("long"), lambda a, p: a + p["rows"]))
-        .alias("manifest_consistent"),
-        F.inline("pages"),
-    )
-    if keys is None:  # manifest-listed pages only, never a wildcard
-        keys = [r["key"] for r in listed.select("key").collect()]
-    observed = (
-        spark.read.format("binaryFile").load(keys)
-        .select(F.col("path").alias("key"), F.col("length").alias("_bytes"),
-                F.sha2("content", 256).alias("_sha256"))
-    ) if keys else None
-    if observed is None:
+    listed = listed_pages(spark, manifest)
+    declared = manifest.select("rows_downloaded", "pages_root").first()
+    listed_rows = listed.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
+    consistent = F.lit(bool(declared["rows_downloaded"] == listed_rows))
+    if declared["pages_root"]:
+        source = page_files(spark, declared["pages_root"])
+    else:  # manifest-listed pages only, never a wildcard
+        if keys is None:
+            keys = [r["key"] for r in listed.select("key").collect()]
+        source = page_files(spark, keys) if keys else None
+    if source is None:
         return listed.select("key", "rows", F.lit(False).alias("present"), F.lit(False).alias("bytes_ok"),
-                             F.lit(False).alias("sha256_ok"), "manifest_consistent")
+                             F.lit(False).alias("sha256_ok"), consistent.alias("manifest_consistent"))
+    observed = source.select("key", F.col("bytes").alias("_bytes"), F.col("sha256").alias("_sha256"))
     return (
         listed.join(observed, "key", "left")
         .select("key", "rows",
                 F.col("_bytes").isNotNull().alias("present"),
                 F.coalesce(F.col("_bytes") == F.col("bytes"), F.lit(False)).alias("bytes_ok"),
                 F.coalesce(F.col("_sha256") == F.col("sha256"), F.lit(False)).alias("sha256_ok"),
-                "manifest_consistent")
+                consistent.alias("manifest_consistent"))
     )
 
 
-def read_pages(spark: SparkSession, keys: list[str], required) -> DataFrame:
+def read_pages(spark: SparkSession, keys: list[str] | str, required, listed: DataFrame | None = None) -> DataFrame:
     """S1 + S2: the manifest-listed pages, all columns as strings, strict parsing.
 
+    ``keys`` is the explicit page list or, for large batches, the batch folder; then
+    ``listed`` (the manifest's page table) keeps only rows of listed files.
     ``enforceSchema=false`` makes every page's header be checked against the first one.
     """
-    raw = (
-        spark.read.option("header", "true").option("multiLine", "true").option("mode", "FAILFAST")
-        .option("enforceSchema", "false").csv(keys)
-    )
+    reader = (spark.read.option("header", "true").option("multiLine", "true").option("mode", "FAILFAST")
+              .option("enforceSchema", "false"))
+    reader, keys = _page_reader(reader, keys)
+    raw = reader.csv(keys)
     missing = sorted(set(required).difference(raw.columns))
     if missing:
         raise ValueError(f"Missing columns in Bronze: {missing}")
+    if listed is not None:
+        raw = (raw.withColumn("_page_key", F.col("_metadata.file_path"))
+               .join(listed.select(F.col("key").alias("_page_key")), "_page_key", "left_semi")
+               .drop("_page_key"))
     return raw
