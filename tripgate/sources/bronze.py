@@ -22,8 +22,6 @@ from tripgate.config import PipelineConfig
 from tripgate.session import materialize
 from tripgate.sources.documents import list_files
 
-# Above this cap the extract is numbered by a distributed sort instead of a top-k heap.
-TOPK_MAX_ROWS = 1_000_000
 # Up to this many pages the manifest lists them inline (one JSON document); beyond it the
 # page list is a Parquet table next to the manifest, so no step gathers it on the driver.
 INLINE_PAGES_MAX = 10_000
@@ -105,15 +103,19 @@ def number_rows(df: DataFrame, order_cols: list[str], partitions: int | None = N
 def bounded_extract(source: DataFrame, cfg: PipelineConfig, ts_col: str = "ts",
                     key_col: str = "event_id") -> DataFrame:
     """S9 + T3: the first ``max_rows`` rows of the window in ``(ts, key)`` order, numbered
-    and paged: ``_rn`` (1-based), ``page`` (0-based int), ``page_row`` (0-based)."""
+    and paged: ``_rn`` (1-based), ``page`` (0-based int), ``page_row`` (0-based).
+
+    The cap never funnels through one task (as ``orderBy().limit(k)`` does, merging k rows
+    from every partition in a single reducer): each input partition keeps its own first
+    ``max_rows`` rows (a local sort, no shuffle), the survivors are numbered by the
+    distributed numbering, and rows past ``max_rows`` are dropped.
+    """
     window = extract_window(source, cfg, ts_col)
     order = [ts_col, key_col]
-    if cfg.max_rows <= TOPK_MAX_ROWS:
-        # TakeOrderedAndProject: a bounded top-k heap per task, never a full sort.
-        window = window.orderBy(*order).limit(cfg.max_rows)
-    numbered = number_rows(window, order)
-    if cfg.max_rows > TOPK_MAX_ROWS:
-        numbered = numbered.filter(F.col("_rn") <= cfg.max_rows)
+    position = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    local_top = (window.sortWithinPartitions(*order)
+                 .filter(position < F.lit(cfg.max_rows)))
+    numbered = number_rows(local_top, order).filter(F.col("_rn") <= cfg.max_rows)
     ps = int(cfg.page_size)
     return numbered.select(
         "*",
