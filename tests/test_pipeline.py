@@ -135,3 +135,24 @@ def test_command_line(spark, lake, capsys):
     assert main(["kpi", "--root", lake["root"], "--rows", "3"]) == 0
     out = capsys.readouterr().out
     assert out.count("SQL> ") == 3 and "top_pickup_zones" in out
+
+
+def test_gate_requires_matching_candidate(spark, lake):
+    c = cfg(lake["root"], "2024-01-01", "2024-01-16")
+    w1, w2 = lake["w1"], lake["w2"]
+    with pytest.raises(AssertionError, match="Candidate / Silver batch mismatch"):
+        pipeline.validate(spark, c, w1["silver"], w2["candidate"], w1["ingest"]["manifest_key"], clock=clock)
+
+
+def test_publish_rechecks_stored_report(spark, lake):
+    c = cfg(lake["root"], "2024-01-01", "2024-01-16")
+    w1 = lake["w1"]
+    key = w1["gate"]["validation_key"]
+    stored = documents.load_json(spark, key)
+    try:
+        documents.save_json(spark, key, {**stored, "status": "FAIL"})
+        with pytest.raises(PermissionError, match="Validation report does not match"):
+            pub.publish(spark, c, w1["candidate"], w1["gate"], clock=clock)
+    finally:
+        documents.save_json(spark, key, stored)
+    assert pub.current_publication(spark, c)["batch_id"] == "w2"
