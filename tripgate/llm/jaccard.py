@@ -249,15 +249,17 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, long: int = LONG
 
     def with_component(df: DataFrame) -> DataFrame:
         known = small(joined.select(F.col("id").alias("cid"), F.col("component_id").alias("comp")), n_joined, 32)
-        return df.join(known, "cid", "left").select("h", "cid", "n", "pos", F.coalesce("comp", "cid").alias("comp"))
+        return df.join(known, "cid", "left").select("h", "cid", "n", "pos", "end", F.coalesce("comp", "cid").alias("comp"))
 
     # members of different components meet in the lists that still hold several
     members = with_component(lists)
     several = materialize(members.select("h", "comp").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"), "jaccard-mixed")
     rows = materialize(members.join(small(several, several.count(), 16), "h", "left_semi"), "jaccard-met")
     met = (_sides(rows, "a").join(_sides(rows, "b"), "h")
-           .where((F.col("cid_a") < F.col("cid_b")) & (F.col("comp_a") != F.col("comp_b")) & _sizes(percent) & _first(percent))
-           .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"), "h"))
+           .where((F.col("cid_a") < F.col("cid_b")) & (F.col("comp_a") != F.col("comp_b")) & _sizes(percent))
+           .groupBy(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"), "n_a", "n_b", "end_a", "end_b")
+           .agg(F.count(F.lit(1)).alias("found"), F.min("h").alias("h"), F.max(_first(percent)).alias("first"))
+           .where(F.col("first") & _possible(F.col("found"), percent)))
     more = materialize(verify(met, docs, percent), "jaccard-links")
     every = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
     every = materialize(every, "jaccard-components")
