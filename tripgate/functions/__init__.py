@@ -1,23 +1 @@
 """Column expressions: typed parsing (P1-P7), row rules (R1-R11), row hash."""
-
-from tripgate.functions.parsing import (
-    RAW_COLUMNS,
-    SILVER_COLUMNS,
-    legacy_int,
-    parsed_columns,
-)
-from tripgate.functions.rules import REASON_CODES, Rule, reject_reason, trip_rules
-from tripgate.functions.hashing import completeness, row_hash
-
-__all__ = [
-    "RAW_COLUMNS",
-    "SILVER_COLUMNS",
-    "legacy_int",
-    "parsed_columns",
-    "REASON_CODES",
-    "Rule",
-    "reject_reason",
-    "trip_rules",
-    "completeness",
-    "row_hash",
-]

@@ -35,11 +35,8 @@ def _clock() -> datetime:
     return LAKE_CLOCK
 
 
-LAKE_MAX_ROWS = 1_000_000_000  # no cap binds: every event of a window is processed
-
-
 def window_config(root: str, start: str, end: str) -> PipelineConfig:
-    return PipelineConfig(start_date=start, end_date=end, max_rows=LAKE_MAX_ROWS, root=root)
+    return PipelineConfig(start_date=start, end_date=end, root=root)
 
 
 def demo_lake(spark: SparkSession, sf_dir: str) -> PipelineConfig:

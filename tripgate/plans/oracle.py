@@ -262,15 +262,15 @@ _CSV_LINE = "concat_ws(',', " + ", ".join(f"coalesce({c}, '')" for c in _RAW_NAM
 _CSV_HEADER = ",".join(_RAW_NAMES)
 
 
-def bronze_ctes(start: str, end: str, page_size: int, max_rows: int) -> str:
+def bronze_ctes(start: str, end: str, page_size: int) -> str:
     return f"""WITH
 ext AS (SELECT * FROM events WHERE ts >= TIMESTAMP '{start} 00:00:00' AND ts < TIMESTAMP '{end} 00:00:00'),
-num AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS rn FROM ext QUALIFY rn <= {max_rows}),
+num AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS rn FROM ext),
 paged AS (SELECT *, CAST((rn - 1) // {page_size} AS INTEGER) AS page,
                  CAST((rn - 1) % {page_size} AS INTEGER) AS page_row FROM num),
 adapted AS (SELECT rn, page, {ADAPTER_SELECT} FROM paged),
 pages AS (
-  SELECT lpad(CAST(page AS VARCHAR), 5, '0') AS page, count(*) AS rows,
+  SELECT printf('%05d', page) AS page, count(*) AS rows,
          count(*) FILTER (WHERE coalesce({", ".join(_RAW_NAMES)}) IS NULL) AS blank_rows,
          '{_CSV_HEADER}' || chr(10) || string_agg({_CSV_LINE}, chr(10) ORDER BY rn) || chr(10) AS body
   FROM adapted GROUP BY page)"""
@@ -286,10 +286,10 @@ def lake_where(start: str, end: str) -> str:
 
 
 def _bronze_sql() -> dict[str, str]:
-    from tripgate.plans.queries import (BRONZE_END, BRONZE_MAX_ROWS, BRONZE_PAGE_SIZE, BRONZE_START,
+    from tripgate.plans.queries import (BRONZE_END, BRONZE_PAGE_SIZE, BRONZE_START,
                                         EXTRACT_END, EXTRACT_START)
 
-    ctes = bronze_ctes(BRONZE_START, BRONZE_END, BRONZE_PAGE_SIZE, BRONZE_MAX_ROWS)
+    ctes = bronze_ctes(BRONZE_START, BRONZE_END, BRONZE_PAGE_SIZE)
     return {
         "extract_window": f"SELECT * FROM events WHERE {lake_where(EXTRACT_START, EXTRACT_END)}",
         "extract_pages": _q(ctes, "SELECT event_id, ts, rn, page, page_row FROM paged"),

@@ -154,7 +154,6 @@ SILVER_GOLD_QUERIES: dict[str, Query] = {
 
 BRONZE_START, BRONZE_END = "2024-01-01", "2024-01-31"
 BRONZE_PAGE_SIZE = 1000
-BRONZE_MAX_ROWS = 1_000_000_000  # no cap binds: every event in the range is landed
 EXTRACT_START, EXTRACT_END = "2024-01-03", "2024-01-24"
 
 _LANDINGS: dict = {}
@@ -162,8 +161,7 @@ _LANDING_LOCK = threading.Lock()
 
 
 def bronze_config(root: str = "") -> PipelineConfig:
-    return PipelineConfig(start_date=BRONZE_START, end_date=BRONZE_END, page_size=BRONZE_PAGE_SIZE,
-                          max_rows=BRONZE_MAX_ROWS, root=root)
+    return PipelineConfig(start_date=BRONZE_START, end_date=BRONZE_END, page_size=BRONZE_PAGE_SIZE, root=root)
 
 
 def bronze_landing(spark: SparkSession, sf_dir: str) -> dict:
@@ -202,7 +200,7 @@ def page_manifest(spark, sf_dir):
     spark = zoned_session(spark)
     landing = bronze_landing(spark, sf_dir)
     manifest = bronze.read_manifest(spark, landing["manifest_key"])
-    pages = manifest.select(F.inline("pages"))
+    pages = bronze.listed_pages(spark, manifest)
     return pages.select(F.regexp_extract("key", r"/page=(\d+)/", 1).alias("page"), "rows", "bytes", "sha256")
 
 
@@ -213,11 +211,16 @@ def page_validation(spark, sf_dir):
     return checks.select("page", "header_ok", "rows", "malformed_rows", "blank_rows")
 
 
+def _page_paths(spark, landing: dict) -> list[str]:
+    """The listed pages; the batch folder where the manifest keeps its list in a table."""
+    manifest = documents.load_json(spark, landing["manifest_key"])
+    return [_pages_root(landing)] if manifest.get("pages_table") else [p["key"] for p in manifest["pages"]]
+
+
 def bronze_csv_scan(spark, sf_dir):
     spark = zoned_session(spark)
     landing = bronze_landing(spark, sf_dir)
-    manifest = documents.load_json(spark, landing["manifest_key"])
-    return bronze.read_pages(spark, [p["key"] for p in manifest["pages"]], RAW_COLUMNS)
+    return bronze.read_pages(spark, _page_paths(spark, landing), RAW_COLUMNS)
 
 
 def bronze_integrity(spark, sf_dir):
@@ -225,8 +228,7 @@ def bronze_integrity(spark, sf_dir):
     spark = zoned_session(spark)
     landing = bronze_landing(spark, sf_dir)
     manifest_df = bronze.read_manifest(spark, landing["manifest_key"])
-    keys = [p["key"] for p in documents.load_json(spark, landing["manifest_key"])["pages"]]
-    scanned = (bronze.read_pages(spark, keys, RAW_COLUMNS)
+    scanned = (bronze.read_pages(spark, _page_paths(spark, landing), RAW_COLUMNS)
                .groupBy(F.col("_metadata.file_path").alias("key"))
                .agg(F.count(F.lit(1)).alias("scanned_rows")))
     checks = bronze.verify_pages(spark, manifest_df)

@@ -47,8 +47,9 @@ def zoned_session(spark: SparkSession, time_zone: str = DEFAULT_TIME_ZONE) -> Sp
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the running session; only when nothing is configured (local tests) a
-    private folder is created and registered, so ``DataFrame.checkpoint()`` works.
+    Read from the running session; only when nothing is configured and the master is
+    local (tests) a private folder is created; on a cluster that is an error. The folder
+    is registered and registered, so ``DataFrame.checkpoint()`` works.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get(_CHECKPOINT_KEY, None) or spark.conf.get(_CHECKPOINT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tripgate-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

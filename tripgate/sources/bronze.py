@@ -25,9 +25,8 @@ from tripgate.sources.documents import list_files
 # Up to this many pages the manifest lists them inline (one JSON document); beyond it the
 # page list is a Parquet table next to the manifest, so no step gathers it on the driver.
 INLINE_PAGES_MAX = 10_000
-# The columns a page header must contain, and the page file name width.
+# The columns a page header must contain,.
 HEADER_REQUIRED = ("trip_id", "trip_start_timestamp", "trip_total")
-PAGE_LABEL_WIDTH = 5
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("source_url", T.StringType()),
@@ -102,7 +101,7 @@ def number_rows(df: DataFrame, order_cols: list[str], partitions: int | None = N
 
 def bounded_extract(source: DataFrame, cfg: PipelineConfig, ts_col: str = "ts",
                     key_col: str = "event_id") -> DataFrame:
-    """S9 + T3: the first ``max_rows`` rows of the window in ``(ts, key)`` order, numbered
+    """S9 + T3: the window's rows in ``(ts, key)`` order (the first ``max_rows`` if there is a cap), numbered
     and paged: ``_rn`` (1-based), ``page`` (0-based int), ``page_row`` (0-based).
 
     The cap never funnels through one task (as ``orderBy().limit(k)`` does, merging k rows
@@ -112,10 +111,13 @@ def bounded_extract(source: DataFrame, cfg: PipelineConfig, ts_col: str = "ts",
     """
     window = extract_window(source, cfg, ts_col)
     order = [ts_col, key_col]
-    position = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
-    local_top = (window.sortWithinPartitions(*order)
-                 .filter(position < F.lit(cfg.max_rows)))
-    numbered = number_rows(local_top, order).filter(F.col("_rn") <= cfg.max_rows)
+    if cfg.max_rows is None:
+        numbered = number_rows(window, order)
+    else:
+        position = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+        local_top = (window.sortWithinPartitions(*order)
+                     .filter(position < F.lit(cfg.max_rows)))
+        numbered = number_rows(local_top, order).filter(F.col("_rn") <= cfg.max_rows)
     ps = int(cfg.page_size)
     return numbered.select(
         "*",
@@ -125,7 +127,8 @@ def bounded_extract(source: DataFrame, cfg: PipelineConfig, ts_col: str = "ts",
 
 
 def page_label(page: Column) -> Column:
-    return F.lpad(page.cast("string"), PAGE_LABEL_WIDTH, "0")
+    """Five digits at least; longer numbers keep all of theirs."""
+    return F.format_string("%05d", page)
 
 
 # ---- K1: page sink -------------------------------------------------------------------------
@@ -294,7 +297,7 @@ def manifest_from_audit(spark: SparkSession, audit: DataFrame, cfg: PipelineConf
 def build_manifest(audit_rows: list, cfg: PipelineConfig, batch_id: str, source_url: str,
                    order_by: str, extracted_at_utc: str, pages_root: str | None = None) -> dict:
     """The manifest document; raises like the reference's page checks."""
-    pages = sorted(audit_rows, key=lambda r: r["page"])
+    pages = sorted(audit_rows, key=lambda r: int(r["page"]))
     for r in pages:
         if not r["header_ok"]:
             raise ValueError(f"Unexpected CSV header in page {r['key']}")

@@ -1,7 +1 @@
-"""Streaming: intentionally empty.
-
-The reference processes bounded batches only: no stream source, watermark, event-time
-window or stateful operator exists there, and incremental processing is listed as not
-implemented. Each batch is a bounded extract run through ``plans.pipeline``; no streaming
-operator is added here.
-"""
+"""No streaming operators: every run is a bounded batch."""
