@@ -66,19 +66,24 @@ def test_cap_across_many_partitions(spark):
     assert rows == [(i, i + 1, i // 3) for i in range(10)]
 
 
+def pages_of(spark, info):
+    return bronze.listed_pages(spark, bronze.read_manifest(spark, info["manifest_key"])).orderBy("key").collect()
+
+
 def test_ingest_writes_pages_and_manifest(spark, scratch):
     cfg = cfg_for(scratch, page_size=2, max_rows=10)
     info = ingest(spark, cfg, source(spark, 3), batch_id="b1", columns=TRIP_COLUMNS)
     assert info["rows_downloaded"] == 3 and info["pages"] == 2
     manifest = documents.load_json(spark, info["manifest_key"])
     assert manifest["capped"] is False
-    assert [p["rows"] for p in manifest["pages"]] == [2, 1]
-    assert all(len(p["sha256"]) == 64 for p in manifest["pages"])
-    assert all("/bronze/trips/start=2023-01-01/end=2023-01-02/batch=b1/" in p["key"] for p in manifest["pages"])
+    pages = pages_of(spark, info)
+    assert [p.rows for p in pages] == [2, 1]
+    assert all(len(p.sha256) == 64 for p in pages)
+    assert all("/bronze/trips/start=2023-01-01/end=2023-01-02/batch=b1/" in p.key for p in pages)
     # The window copy equals the immutable batch copy.
     assert documents.load_json(spark, cfg.metadata_window("manifest.json")) == manifest
     # A page holds exactly the header and its rows.
-    first = documents.read_text(spark, manifest["pages"][0]["key"])
+    first = documents.read_text(spark, pages[0].key)
     assert first.splitlines()[0] == ",".join(RAW_COLUMNS)
     assert len(first.splitlines()) == 3
 
@@ -88,7 +93,7 @@ def test_ingest_capped_and_immutable(spark, scratch):
     info = ingest(spark, cfg, source(spark, 5), batch_id="b1", columns=TRIP_COLUMNS)
     manifest = documents.load_json(spark, info["manifest_key"])
     assert manifest["capped"] is True and manifest["rows_downloaded"] == 3
-    assert [p["rows"] for p in manifest["pages"]] == [2, 1]
+    assert [p.rows for p in pages_of(spark, info)] == [2, 1]
     with pytest.raises(FileExistsError):
         ingest(spark, cfg, source(spark, 5), batch_id="b1", columns=TRIP_COLUMNS)
 
@@ -124,25 +129,24 @@ def test_non_csv_payload_fails_header(spark, scratch):
     _write(spark, f"{scratch}/q/page=00000/a.csv", b'{"error":"rate limit"}\n')
     row = bronze.page_audit(spark, f"{scratch}/q", ["trip_id", "trip_start_timestamp", "trip_total"]).first()
     assert not row.header_ok
-    with pytest.raises(ValueError, match="header"):
-        bronze.build_manifest([row.asDict()], cfg_for(""), "b", "s", "o", "t")
 
 
-def test_malformed_page_rejected_by_manifest(spark):
-    rows = [dict(key="k", page="00000", bytes=1, sha256="x", header_ok=True, rows=3, malformed_rows=1)]
-    with pytest.raises(ValueError, match="Malformed"):
-        bronze.build_manifest(rows, cfg_for(""), "b", "s", "o", "t")
+def test_manifest_names_the_faulty_pages(spark, scratch):
+    audit = spark.createDataFrame(
+        [("k0", "00000", 9, "x", True, 3, 1, 0), ("k1", "00001", 9, "x", False, 3, 0, 0), ("k2", "00002", 9, "x", True, 4, 0, 0)],
+        "key string, page string, bytes long, sha256 string, header_ok boolean, rows long, malformed_rows long, blank_rows long")
+    with pytest.raises(ValueError, match=r"header \(k1\), record width \(k0\), page size \(k2\)"):
+        bronze.manifest_from_audit(audit, cfg_for("", page_size=3), "b", "s", "o", "t", "r", f"{scratch}/pages")
 
 
 def test_integrity_detects_tampering(spark, scratch):
     cfg = cfg_for(scratch, page_size=2, max_rows=10)
     info = ingest(spark, cfg, source(spark, 3), batch_id="b1", columns=TRIP_COLUMNS)
-    assert check_bronze(spark, info["manifest_key"])[0]["batch_id"] == "b1"
-    manifest = documents.load_json(spark, info["manifest_key"])
-    page = manifest["pages"][1]["key"]
+    assert check_bronze(spark, info["manifest_key"])["batch_id"] == "b1"
+    page = pages_of(spark, info)[1].key
     text = documents.read_text(spark, page)
     documents.write_text(spark, page, text.replace("12.00", "13.00"))  # same size, new bytes
-    with pytest.raises(AssertionError, match="integrity check failed"):
+    with pytest.raises(AssertionError, match="differs from what the manifest"):
         build_silver(spark, cfg, info["manifest_key"])
     checks = {r.key: r for r in bronze.verify_pages(spark, bronze.read_manifest(spark, info["manifest_key"])).collect()}
     assert checks[page].bytes_ok and not checks[page].sha256_ok
@@ -154,7 +158,7 @@ def test_manifest_row_mismatch_detected(spark, scratch):
     manifest = documents.load_json(spark, info["manifest_key"])
     manifest["rows_downloaded"] = 4
     documents.save_json(spark, info["manifest_key"], manifest)
-    with pytest.raises(AssertionError, match="inconsistent row counts"):
+    with pytest.raises(AssertionError, match="do not add up"):
         check_bronze(spark, info["manifest_key"])
 
 
@@ -170,25 +174,23 @@ def test_scan_count_must_match_manifest(spark, scratch):
     cfg = cfg_for(scratch, page_size=2, max_rows=10)
     info = ingest(spark, cfg, source(spark, 3), batch_id="b1", columns=TRIP_COLUMNS)
     manifest = documents.load_json(spark, info["manifest_key"])
-    manifest["rows_downloaded"] = 4
-    manifest["pages"][1]["rows"] = 2
-    documents.save_json(spark, info["manifest_key"], manifest)
-    with pytest.raises(AssertionError, match="CSV rows 3 != manifest 4"):
+    rows = [(p.key, 2, p.bytes, p.sha256) for p in pages_of(spark, info)]
+    spark.createDataFrame(rows, "key string, rows long, bytes long, sha256 string").write.parquet(f"{scratch}/other_pages")
+    documents.save_json(spark, info["manifest_key"], {**manifest, "rows_downloaded": 4, "pages_table": f"{scratch}/other_pages"})
+    with pytest.raises(AssertionError, match="hold 3 records, their manifest says 4"):
         build_silver(spark, cfg, info["manifest_key"])
 
 
-def test_large_batch_lists_pages_in_a_table(spark, scratch, monkeypatch):
-    """Above the inline bound the page list is a Parquet table; checks and reads use it."""
-    monkeypatch.setattr(bronze, "INLINE_PAGES_MAX", 1)
+def test_folder_and_page_list_must_agree(spark, scratch):
     cfg = cfg_for(scratch, page_size=2, max_rows=10)
     info = ingest(spark, cfg, source(spark, 5), batch_id="b1", columns=TRIP_COLUMNS)
-    manifest = documents.load_json(spark, info["manifest_key"])
-    assert manifest["pages"] == [] and manifest["pages_table"] and manifest["rows_downloaded"] == 5
-    listed = bronze.listed_pages(spark, bronze.read_manifest(spark, info["manifest_key"]))
-    assert sorted(r.rows for r in listed.collect()) == [1, 2, 2]
-    silver = build_silver(spark, cfg, info["manifest_key"])
-    assert silver["raw_rows"] == 5
-    # A listed page that disappears is reported by the distributed check.
-    documents.delete(spark, listed.orderBy("key").first().key)
-    with pytest.raises(AssertionError, match="integrity check failed"):
+    assert [p.rows for p in pages_of(spark, info)] == [2, 2, 1] and info["pages"] == 3
+    assert build_silver(spark, cfg, info["manifest_key"])["raw_rows"] == 5
+    stray = f"{cfg.bronze_prefix('b1')}/page=00099/stray.csv"
+    _write(spark, stray, b"trip_id\n")
+    with pytest.raises(AssertionError, match="stray.csv"):
+        check_bronze(spark, info["manifest_key"])
+    documents.delete(spark, stray)
+    documents.delete(spark, pages_of(spark, info)[0].key)
+    with pytest.raises(AssertionError, match="page=00000"):
         check_bronze(spark, info["manifest_key"])

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripgate.config import PipelineConfig
-from tripgate.plans import publish
+from tripgate.plans import pipeline, publish
 from tripgate.session import checkpoint_dir
 from tripgate.sources import bronze, documents
 
@@ -18,7 +18,7 @@ def test_page_labels_keep_all_digits(spark):
 def test_pages_beyond_five_digits_are_files_of_their_own(spark, scratch):
     rows = spark.createDataFrame([(p, f"id{p}") for p in (9_999, 10_000, 100_000, 100_001)], "page int, trip_id string")
     bronze.write_pages(rows, ["trip_id"], scratch + "/pages", ["trip_id"])
-    assert len(documents.list_files(spark, scratch + "/pages", ".csv")) == 4
+    assert bronze.page_files(spark, scratch + "/pages").count() == 4
 
 
 def test_no_cap_by_default(spark):
@@ -37,7 +37,7 @@ def test_a_retry_without_rejects_clears_the_batch(spark, scratch):
     publish.append_history(rows.limit(0), cfg, "quality_reasons", "b1")
     stored = spark.read.parquet(f"{cfg.quality_root()}/quality_reasons")
     assert {r.batch_id for r in stored.collect()} == {"b2"}
-    assert documents.list_files(spark, f"{cfg.quality_root()}/quality_reasons/batch_id=b1", ".parquet")
+    assert documents.holds(spark, f"{cfg.quality_root()}/quality_reasons/batch_id=b1", ".parquet")
 
 
 def test_a_capped_batch_needs_leave(spark, scratch):
@@ -52,3 +52,19 @@ def test_a_capped_batch_needs_leave(spark, scratch):
 
 def test_checkpoint_folder_is_the_session_s(spark):
     assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_source_columns_go_through_in_the_pipeline_zone(spark, scratch):
+    """Any trip table is landed as it is, also columns nobody asked for; days are those of the pipeline's zone."""
+    utc = spark.newSession()
+    utc.conf.set("spark.sql.session.timeZone", "UTC")
+    rows = [(k, f"2023-01-0{day} {hour}", "2023-01-01T10:00:00.000", "note, quoted") for k, day, hour in (
+        ("early", 1, "03:00:00"), ("mid", 1, "12:00:00"), ("late", 2, "05:30:00"), ("after", 2, "06:00:00"))]
+    trips = utc.createDataFrame(rows, "trip_id string, seen string, trip_start_timestamp string, remark string").selectExpr(
+        "trip_id", "cast(seen as timestamp) AS seen", "trip_start_timestamp", "'5' AS trip_total", "remark")
+    cfg = PipelineConfig(start_date="2023-01-01", end_date="2023-01-02", root=scratch)
+    info = pipeline.ingest(utc, cfg, trips, batch_id="b1", ts_col="seen", key_col="trip_id")
+    landed = bronze.read_pages(utc, cfg.bronze_prefix("b1"), ["trip_id", "remark"]).collect()
+    assert info["rows_downloaded"] == 2
+    assert [(r.trip_id, r.seen, r.remark) for r in landed] == [
+        ("mid", "2023-01-01T06:00:00.000", "note, quoted"), ("late", "2023-01-01T23:30:00.000", "note, quoted")]

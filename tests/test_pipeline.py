@@ -10,7 +10,7 @@ from tripgate.config import PipelineConfig
 from tripgate.plans import kpi, pipeline
 from tripgate.plans import publish as pub
 from tripgate.sources import documents, schemas
-from tripgate.sources.adapters import read_table
+from tripgate.sources.adapters import TRIP_ADAPTER_COLUMNS, read_table
 
 CLOCK = datetime(2024, 2, 1, 6, 0, tzinfo=timezone.utc)
 
@@ -29,8 +29,8 @@ def lake(spark):
 
     root = scratch_dir(spark, "pipeline-test")
     events = read_table(spark, SF_SMALL, "events")
-    first = pipeline.run_pipeline(spark, cfg(root, "2024-01-01", "2024-01-16"), events, batch_id="w1", clock=clock)
-    second = pipeline.run_pipeline(spark, cfg(root, "2024-01-16", "2024-01-31"), events, batch_id="w2", clock=clock)
+    first = pipeline.run_pipeline(spark, cfg(root, "2024-01-01", "2024-01-16"), events, batch_id="w1", clock=clock, columns=TRIP_ADAPTER_COLUMNS)
+    second = pipeline.run_pipeline(spark, cfg(root, "2024-01-16", "2024-01-31"), events, batch_id="w2", clock=clock, columns=TRIP_ADAPTER_COLUMNS)
     return {"root": root, "events": events, "w1": first, "w2": second}
 
 
@@ -86,8 +86,8 @@ def test_publish_requires_pass(spark, lake):
 
 def test_failed_gate_keeps_previous_publication(spark, lake):
     c = cfg(lake["root"], "2024-01-08", "2024-01-16", max_reject_rate=0.01)
-    with pytest.raises(AssertionError, match="Quality gate FAIL: reject_rate_exceeded"):
-        pipeline.run_pipeline(spark, c, lake["events"], batch_id="bad", clock=clock)
+    with pytest.raises(AssertionError, match="The gate refuses batch .*: reject_rate_exceeded"):
+        pipeline.run_pipeline(spark, c, lake["events"], batch_id="bad", clock=clock, columns=TRIP_ADAPTER_COLUMNS)
     assert pub.current_publication(spark, c)["batch_id"] == "w2"
     row = kpi.read_quality(spark, c, "quality_batch").filter("batch_id = 'bad'").first()
     assert row.gate_status == "FAIL" and "reject_rate_exceeded" in row.violations
@@ -140,7 +140,7 @@ def test_command_line(spark, lake, capsys):
 def test_gate_requires_matching_candidate(spark, lake):
     c = cfg(lake["root"], "2024-01-01", "2024-01-16")
     w1, w2 = lake["w1"], lake["w2"]
-    with pytest.raises(AssertionError, match="Candidate / Silver batch mismatch"):
+    with pytest.raises(AssertionError, match="does not belong to Silver"):
         pipeline.validate(spark, c, w1["silver"], w2["candidate"], w1["ingest"]["manifest_key"], clock=clock)
 
 
@@ -151,7 +151,7 @@ def test_publish_rechecks_stored_report(spark, lake):
     stored = documents.load_json(spark, key)
     try:
         documents.save_json(spark, key, {**stored, "status": "FAIL"})
-        with pytest.raises(PermissionError, match="Validation report does not match"):
+        with pytest.raises(PermissionError, match="does not pass batch"):
             pub.publish(spark, c, w1["candidate"], w1["gate"], clock=clock)
     finally:
         documents.save_json(spark, key, stored)

@@ -37,6 +37,7 @@ def main(argv=None) -> int:
     run.add_argument("--start"), run.add_argument("--end")
     run.add_argument("--page-size", type=int), run.add_argument("--max-rows", type=int)
     run.add_argument("--batch-id")
+    run.add_argument("--time-column", default="trip_start_timestamp"), run.add_argument("--key-column", default="trip_id")
     kpi_cmd = sub.add_parser("kpi", help="run a SQL script over the published views")
     kpi_cmd.add_argument("--root", required=True)
     kpi_cmd.add_argument("--sql", help="script file (default: the KPI statements)")
@@ -50,7 +51,8 @@ def main(argv=None) -> int:
     if args.command == "run":
         from tripgate.plans.pipeline import run_pipeline
 
-        result = run_pipeline(spark, cfg, spark.read.parquet(args.source), batch_id=args.batch_id)
+        result = run_pipeline(spark, cfg, spark.read.parquet(args.source), batch_id=args.batch_id,
+                              ts_col=args.time_column, key_col=args.key_column, source_url=args.source)
         print(json.dumps({"batch_id": result["ingest"]["batch_id"], "status": result["gate"]["status"],
                           "published": result["publication"]["batch_id"]}))
     elif args.command == "kpi":

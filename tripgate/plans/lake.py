@@ -18,7 +18,7 @@ from tripgate.config import PipelineConfig
 from tripgate.plans import pipeline
 from tripgate.plans.publish import publish
 from tripgate.session import scratch_dir, zoned_session
-from tripgate.sources.adapters import read_table
+from tripgate.sources.adapters import TRIP_ADAPTER_COLUMNS, read_table
 
 # Fixed query parameters: the weekly windows (end exclusive) and the pipeline clock.
 LAKE_WINDOWS = (
@@ -50,7 +50,8 @@ def demo_lake(spark: SparkSession, sf_dir: str) -> PipelineConfig:
         runs, cfg = {}, None
         for batch, start, end in LAKE_WINDOWS:
             cfg = window_config(root, start, end)
-            runs[batch] = (cfg, pipeline.run_pipeline(spark, cfg, events, batch_id=batch, clock=_clock))
+            runs[batch] = (cfg, pipeline.run_pipeline(spark, cfg, events, batch_id=batch, clock=_clock,
+                                                     columns=TRIP_ADAPTER_COLUMNS, source_url="table:events"))
         first_cfg, first = runs[LAKE_WINDOWS[0][0]]
         pipeline.validate(spark, first_cfg, first["silver"], first["candidate"],
                           first["ingest"]["manifest_key"], clock=_clock)

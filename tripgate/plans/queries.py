@@ -23,8 +23,8 @@ from tripgate.plans.lake import LAKE_CLOCK, demo_lake
 from tripgate.plans.pipeline import ingest
 from tripgate.plans.publish import read_published, verify_publication
 from tripgate.session import scratch_dir, zoned_session
-from tripgate.sources import bronze, documents
-from tripgate.sources.adapters import raw_trips, read_table
+from tripgate.sources import bronze
+from tripgate.sources.adapters import TRIP_ADAPTER_COLUMNS, raw_trips, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,7 +174,7 @@ def bronze_landing(spark: SparkSession, sf_dir: str) -> dict:
 def _landing(spark: SparkSession, sf_dir: str, key) -> dict:
     if key not in _LANDINGS:
         cfg = bronze_config(scratch_dir(spark, "bronze"))
-        info = ingest(spark, cfg, read_table(zoned_session(spark), sf_dir, "events"), batch_id="b0",
+        info = ingest(spark, cfg, read_table(zoned_session(spark), sf_dir, "events"), batch_id="b0", columns=TRIP_ADAPTER_COLUMNS, source_url="table:events",
                       clock=lambda: LAKE_CLOCK)
         _LANDINGS[key] = {**info, "cfg": cfg}
     return _LANDINGS[key]
@@ -211,16 +211,10 @@ def page_validation(spark, sf_dir):
     return checks.select("page", "header_ok", "rows", "malformed_rows", "blank_rows")
 
 
-def _page_paths(spark, landing: dict) -> list[str]:
-    """The listed pages; the batch folder where the manifest keeps its list in a table."""
-    manifest = documents.load_json(spark, landing["manifest_key"])
-    return [_pages_root(landing)] if manifest.get("pages_table") else [p["key"] for p in manifest["pages"]]
-
-
 def bronze_csv_scan(spark, sf_dir):
     spark = zoned_session(spark)
     landing = bronze_landing(spark, sf_dir)
-    return bronze.read_pages(spark, _page_paths(spark, landing), RAW_COLUMNS)
+    return bronze.read_pages(spark, _pages_root(landing), RAW_COLUMNS)
 
 
 def bronze_integrity(spark, sf_dir):
@@ -228,7 +222,7 @@ def bronze_integrity(spark, sf_dir):
     spark = zoned_session(spark)
     landing = bronze_landing(spark, sf_dir)
     manifest_df = bronze.read_manifest(spark, landing["manifest_key"])
-    scanned = (bronze.read_pages(spark, _page_paths(spark, landing), RAW_COLUMNS)
+    scanned = (bronze.read_pages(spark, _pages_root(landing), RAW_COLUMNS)
                .groupBy(F.col("_metadata.file_path").alias("key"))
                .agg(F.count(F.lit(1)).alias("scanned_rows")))
     checks = bronze.verify_pages(spark, manifest_df)

@@ -14,18 +14,18 @@ audited every page on the driver. Here the same contract is a Spark plan over a
 
 from __future__ import annotations
 
+from datetime import date, datetime, time
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripgate.config import PipelineConfig
 from tripgate.session import materialize
-from tripgate.sources.documents import list_files
+from tripgate.sources.documents import holds
 
-# Up to this many pages the manifest lists them inline (one JSON document); beyond it the
-# page list is a Parquet table next to the manifest, so no step gathers it on the driver.
-INLINE_PAGES_MAX = 10_000
-# The columns a page header must contain,.
+# The columns a page header must contain.
 HEADER_REQUIRED = ("trip_id", "trip_start_timestamp", "trip_total")
 
 MANIFEST_SCHEMA = T.StructType([
@@ -41,27 +41,41 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("extracted_at_utc", T.StringType()),
     T.StructField("pages_root", T.StringType()),
     T.StructField("pages_table", T.StringType()),
-    T.StructField("pages", T.ArrayType(T.StructType([
-        T.StructField("key", T.StringType()),
-        T.StructField("rows", T.LongType()),
-        T.StructField("bytes", T.LongType()),
-        T.StructField("sha256", T.StringType()),
-    ]))),
+    T.StructField("page_count", T.LongType()),
 ])
 
 
 # ---- S9 / T3: bounded ordered extract --------------------------------------------------
 
-def _bound(source: DataFrame, ts_col: str, day: str) -> Column:
-    """A literal of the source column's own timestamp type, so the filter reaches the scan."""
-    dtype = source.schema[ts_col].dataType.simpleString()
+def _bound(source: DataFrame, ts_col: str, day: str, time_zone: str) -> Column:
+    """Midnight of ``day`` as a literal of the source column's own type, so the filter reaches the scan.
+
+    For instants it is midnight in ``time_zone``, whatever the zone of the session.
+    """
+    dtype = source.schema[ts_col].dataType
+    if isinstance(dtype, T.TimestampType):
+        return F.lit(datetime.combine(date.fromisoformat(day), time(), ZoneInfo(time_zone)))
     return F.lit(f"{day} 00:00:00").cast(dtype)
 
 
+def text_columns(source: DataFrame, time_zone: str) -> list[Column]:
+    """Every source column as text; timestamps as ISO wall-clock time, instants in ``time_zone``."""
+    def shown(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.TimestampType):
+            value = F.convert_timezone(F.current_timezone(), F.lit(time_zone), value.cast("timestamp_ntz"))
+        elif not isinstance(field.dataType, T.TimestampNTZType):
+            return value.cast("string").alias(field.name)
+        return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias(field.name)
+
+    return [shown(field) for field in source.schema]
+
+
 def extract_window(source: DataFrame, cfg: PipelineConfig, ts_col: str = "ts") -> DataFrame:
     """Rows with ``start <= ts < end`` (end exclusive)."""
     ts = F.col(ts_col)
-    return source.filter((ts >= _bound(source, ts_col, cfg.start_date)) & (ts < _bound(source, ts_col, cfg.end_date)))
+    first, end = (_bound(source, ts_col, day, cfg.time_zone) for day in (cfg.start_date, cfg.end_date))
+    return source.filter((ts >= first) & (ts < end))
 
 
 def number_rows(df: DataFrame, order_cols: list[str], partitions: int | None = None) -> DataFrame:
@@ -235,7 +249,7 @@ def page_audit(spark: SparkSession, prefix: str, header: list[str] | None = None
     One binary read per page (bytes, hash, header) and one CSV read (rows, widths).
     ``header`` is the expected header (what the writer wrote); by default the first page's.
     """
-    if not list_files(spark, prefix, ".csv"):
+    if not holds(spark, prefix, ".csv"):
         raise ValueError(f"No CSV pages under {prefix}")
     paths = prefix.rstrip("/")  # the batch folder: every page written below it
     files = page_files(spark, paths)
@@ -252,128 +266,72 @@ def page_audit(spark: SparkSession, prefix: str, header: list[str] | None = None
 PAGE_ENTRY_COLUMNS = ("key", "rows", "bytes", "sha256")
 
 
-def manifest_from_audit(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig, batch_id: str,
-                        source_url: str, order_by: str, extracted_at_utc: str, pages_root: str,
-                        pages_table: str) -> dict:
-    """The manifest of an audited batch; the page checks run as one Spark aggregate.
+def manifest_from_audit(audit: DataFrame, cfg: PipelineConfig, batch_id: str, source_url: str, order_by: str,
+                        extracted_at_utc: str, pages_root: str, pages_table: str) -> dict:
+    """The manifest of an audited batch; ``ValueError`` names the first page of each fault.
 
-    Small batches list their pages inline; above ``INLINE_PAGES_MAX`` pages the list is
-    written to ``pages_table`` and the document references it.
+    The audit is written once, to ``pages_table``, which is the page list of the batch at
+    every size; the judgement is one aggregate over it and the document refers to it.
     """
-    bad_header = ~F.col("header_ok")
-    malformed = F.col("malformed_rows") > 0
-    oversized = F.col("rows") > cfg.page_size
-    summary = audit.agg(
-        F.count(F.lit(1)).alias("pages"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        # Keeps every data column of the CSV audit read referenced (see validate_pages).
-        F.coalesce(F.sum("blank_rows"), F.lit(0)).alias("blank_rows"),
-        F.min(F.when(bad_header, F.col("key"))).alias("bad_header"),
-        F.min(F.when(malformed, F.col("key"))).alias("malformed"),
-        F.min(F.when(oversized, F.col("key"))).alias("oversized"),
-    ).first()
-    if summary["bad_header"]:
-        raise ValueError(f"Unexpected CSV header in page {summary['bad_header']}")
-    if summary["malformed"]:
-        raise ValueError(f"Malformed CSV page: column count does not match header ({summary['malformed']})")
-    if summary["oversized"]:
-        raise ValueError("Page holds more records than requested.")
-    if not summary["pages"]:
-        raise ValueError("No trips returned for the selected period; no data published.")
-    if summary["pages"] <= INLINE_PAGES_MAX:
-        return build_manifest([r.asDict() for r in audit.collect()], cfg, batch_id, source_url, order_by,
-                              extracted_at_utc, pages_root=pages_root)
-    audit.select("page", *PAGE_ENTRY_COLUMNS).write.mode("errorifexists").parquet(pages_table)
-    total = int(summary["rows"])
+    audit.write.mode("overwrite").parquet(pages_table)
+    pages = audit.sparkSession.read.schema(audit.schema).parquet(pages_table)
+    faults = {
+        "header": ~F.col("header_ok"),
+        "record width": F.col("malformed_rows") > 0,
+        "page size": F.col("rows") > cfg.page_size,
+    }
+    seen = pages.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("rows"), F.lit(0)).alias("records"),
+        *[F.min(F.when(fault, F.col("key"))).alias(name) for name, fault in faults.items()]).first()
+    found = [f"{name} ({seen[name]})" for name in faults if seen[name]]
+    if found:
+        raise ValueError("Bronze pages with a bad " + ", ".join(found))
+    records = int(seen["records"])
     return {
         "source_url": source_url, "batch_id": batch_id,
         "start_date_inclusive": cfg.start_date, "end_date_exclusive": cfg.end_date,
         "order_by": order_by, "page_size": cfg.page_size, "max_rows": cfg.max_rows,
-        "rows_downloaded": total, "capped": total == cfg.max_rows, "extracted_at_utc": extracted_at_utc,
-        "pages_root": pages_root, "pages_table": pages_table, "pages": [],
-    }
-
-
-def build_manifest(audit_rows: list, cfg: PipelineConfig, batch_id: str, source_url: str,
-                   order_by: str, extracted_at_utc: str, pages_root: str | None = None) -> dict:
-    """The manifest document; raises like the reference's page checks."""
-    pages = sorted(audit_rows, key=lambda r: int(r["page"]))
-    for r in pages:
-        if not r["header_ok"]:
-            raise ValueError(f"Unexpected CSV header in page {r['key']}")
-        if r["malformed_rows"]:
-            raise ValueError(f"Malformed CSV page: column count does not match header ({r['key']})")
-        if r["rows"] > cfg.page_size:
-            raise ValueError("Page holds more records than requested.")
-    if not pages:
-        raise ValueError("No trips returned for the selected period; no data published.")
-    total = sum(int(r["rows"]) for r in pages)
-    return {
-        "source_url": source_url,
-        "batch_id": batch_id,
-        "start_date_inclusive": cfg.start_date,
-        "end_date_exclusive": cfg.end_date,
-        "order_by": order_by,
-        "page_size": cfg.page_size,
-        "max_rows": cfg.max_rows,
-        "rows_downloaded": total,
-        "capped": total == cfg.max_rows,
-        "extracted_at_utc": extracted_at_utc,
-        "pages_root": pages_root,
-        "pages": [{"key": r["key"], "rows": int(r["rows"]), "bytes": int(r["bytes"]),
-                   "sha256": r["sha256"]} for r in pages],
+        "rows_downloaded": records, "capped": records == cfg.max_rows, "extracted_at_utc": extracted_at_utc,
+        "pages_root": pages_root, "pages_table": pages_table, "page_count": int(seen["n"]),
     }
 
 
 def read_manifest(spark: SparkSession, key: str) -> DataFrame:
-    """The manifest as a one-row DataFrame with ``pages`` as ``array<struct>``."""
+    """The manifest as a one-row DataFrame; its pages are those of ``listed_pages``."""
     return spark.read.schema(MANIFEST_SCHEMA).option("multiLine", "true").json(key)
 
 
 def listed_pages(spark: SparkSession, manifest: DataFrame) -> DataFrame:
-    """``key, rows, bytes, sha256`` of every manifest-listed page (inline or table)."""
-    head = manifest.select("pages_table").first()
-    if head and head["pages_table"]:
-        return spark.read.parquet(head["pages_table"]).select(*PAGE_ENTRY_COLUMNS)
-    return manifest.select(F.inline("pages")).select(*PAGE_ENTRY_COLUMNS)
+    """``key, rows, bytes, sha256`` of every page that the manifest lists."""
+    return spark.read.parquet(manifest.first()["pages_table"]).select(*PAGE_ENTRY_COLUMNS)
 
 
-def verify_pages(spark: SparkSession, manifest: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """S4 + S5: per manifest page, observed bytes / hash against the recorded ones.
+def verify_pages(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+    """S4 + S5: the pages listed and the files in the batch folder, held against each other.
 
-    Output ``key, rows, bytes_ok, sha256_ok, present, manifest_consistent``; a page
-    missing on storage has ``present = false``. Only listed pages are judged: the batch
-    folder is observed as one root, files outside the list are never considered.
+    Output ``key, rows, listed, present, bytes_ok, sha256_ok, manifest_consistent``: a page
+    missing on storage has ``present = false``, a file that no list names ``listed = false``.
+    Where all is true the folder holds the listed pages and nothing else, so it can be read whole.
     """
     listed = listed_pages(spark, manifest)
     declared = manifest.select("rows_downloaded", "pages_root").first()
     listed_rows = listed.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
-    consistent = F.lit(bool(declared["rows_downloaded"] == listed_rows))
-    if declared["pages_root"]:
-        source = page_files(spark, declared["pages_root"])
-    else:  # manifest-listed pages only, never a wildcard
-        if keys is None:
-            keys = [r["key"] for r in listed.select("key").collect()]
-        source = page_files(spark, keys) if keys else None
-    if source is None:
-        return listed.select("key", "rows", F.lit(False).alias("present"), F.lit(False).alias("bytes_ok"),
-                             F.lit(False).alias("sha256_ok"), consistent.alias("manifest_consistent"))
-    observed = source.select("key", F.col("bytes").alias("_bytes"), F.col("sha256").alias("_sha256"))
+    observed = page_files(spark, declared["pages_root"]).select(
+        "key", F.col("bytes").alias("_bytes"), F.col("sha256").alias("_sha256"))
     return (
-        listed.join(observed, "key", "left")
+        listed.join(observed, "key", "full")
         .select("key", "rows",
+                F.col("bytes").isNotNull().alias("listed"),
                 F.col("_bytes").isNotNull().alias("present"),
                 F.coalesce(F.col("_bytes") == F.col("bytes"), F.lit(False)).alias("bytes_ok"),
                 F.coalesce(F.col("_sha256") == F.col("sha256"), F.lit(False)).alias("sha256_ok"),
-                consistent.alias("manifest_consistent"))
+                F.lit(bool(declared["rows_downloaded"] == listed_rows)).alias("manifest_consistent"))
     )
 
 
-def read_pages(spark: SparkSession, keys: list[str] | str, required, listed: DataFrame | None = None) -> DataFrame:
-    """S1 + S2: the manifest-listed pages, all columns as strings, strict parsing.
+def read_pages(spark: SparkSession, keys: list[str] | str, required) -> DataFrame:
+    """S1 + S2: the pages of a batch folder or a list of files, all columns as strings, strict parsing.
 
-    ``keys`` is the explicit page list or, for large batches, the batch folder; then
-    ``listed`` (the manifest's page table) keeps only rows of listed files.
     ``enforceSchema=false`` makes every page's header be checked against the first one.
     """
     reader = (spark.read.option("header", "true").option("multiLine", "true").option("mode", "FAILFAST")
@@ -383,8 +341,4 @@ def read_pages(spark: SparkSession, keys: list[str] | str, required, listed: Dat
     missing = sorted(set(required).difference(raw.columns))
     if missing:
         raise ValueError(f"Missing columns in Bronze: {missing}")
-    if listed is not None:
-        raw = (raw.withColumn("_page_key", F.col("_metadata.file_path"))
-               .join(listed.select(F.col("key").alias("_page_key")), "_page_key", "left_semi")
-               .drop("_page_key"))
     return raw

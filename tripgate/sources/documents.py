@@ -29,18 +29,16 @@ def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     return bool(fs.delete(p, recursive))
 
 
-def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
-    """Files (recursively) under ``path`` whose name ends with ``suffix``."""
+def holds(spark: SparkSession, path: str, suffix: str) -> bool:
+    """Whether a file below ``path`` ends with ``suffix``; the walk stops at the first one."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return []
-    it = fs.listFiles(p, True)
-    out = []
-    while it.hasNext():
-        name = it.next().getPath().toString()
-        if name.endswith(suffix):
-            out.append(name)
-    return sorted(out)
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(suffix):
+            return True
+    return False
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
