@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgate.llm import decontam, jaccard, mixing, sharding, toxicity
-from tripgate.llm.common import materialize, small, table, word_count
+from tripgate.llm.common import BLANKS, WORD, materialize, small, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with ``_row``, a number of its own for each row, written once so that all reads see the same numbers."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), name)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; it learns from the labelled ones of this stage's input."""
     weights = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -41,18 +46,46 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(small(gone, gone.count(), 16), "doc_id", "left_anti").select(*docs.columns)
 
 
+def _cut(text: Column, size: Column, runs: Column) -> Column:
+    """The text of each run (words ``a`` to ``b``), blanks inside it as they are; a run over all words is the text itself."""
+    is_all = lambda r: (r["a"] == 0) & (r["b"] == size)
+    # every word with the blanks that follow it
+    parts = F.split(F.regexp_replace(text, f"^{BLANKS}", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])", -1)
+    piece = lambda p, r: F.regexp_replace(F.array_join(F.slice(p, r["a"] + 1, r["b"] - r["a"]), ""), f"{BLANKS}$", "")
+    cut = F.transform(F.array(parts), lambda p: F.transform(runs, lambda r: F.when(is_all(r), text).otherwise(piece(p, r))))[0]
+    return F.when(F.forall(runs, is_all), F.transform(runs, lambda r: text)).otherwise(cut)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: one taken r times its size comes ceil(r) times, one not taken goes.
+    """What the mix takes of each document: a row for every unbroken run of words of each pass, with that text.
 
-    Documents without words weigh nothing in the mix and stay.
+    So every source has as many words as its target says. Documents without words weigh nothing in the mix and stay.
     """
-    taken = mixing.plan_mix(docs).taken().groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("t"), F.count(F.lit(1)).alias("n"))
-    times = F.when(F.col("size") == 0, 1).otherwise(F.ceil(F.col("t") / (F.col("n") * F.greatest("size", F.lit(1))))).cast("int")
-    times = materialize(taken.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), times.alias("_times")), "mix-times")
-    size = word_count(F.col("text").cast("string"))
-    rows = docs.withColumn("_words", size).join(small(times, times.count(), 64), F.col("doc_id").eqNullSafe(F.col("_id"))
-                                                & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size")))
-    return rows.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    rows = keyed(docs, "mix-rows")
+    # the k-th time that a piece is taken belongs to the document's k-th copy; the cut slot is the last
+    pieces = (mixing.plan_mix(rows, keep=["_row"]).pieces().groupBy("_row", "size", "from_word")
+              .agg(F.sort_array(F.collect_list("n_words"), asc=False).alias("n"))
+              .select("_row", "size", "from_word", F.posexplode("n").alias("copy", "n")))
+    step = F.struct(F.col("copy"), F.col("from_word").cast("int").alias("a"), (F.col("from_word") + F.col("n")).cast("int").alias("b"))
+
+    def joined(runs: Column, p: Column) -> Column:
+        last = F.element_at(runs, -1)
+        goes_on = (F.size(runs) > 0) & (F.try_element_at(runs, F.lit(-1))["copy"] == p["copy"]) & (F.try_element_at(runs, F.lit(-1))["b"] == p["a"])
+        return F.when(goes_on, F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(F.struct(p["copy"].alias("copy"), last["a"].alias("a"), p["b"].alias("b"))))
+                      ).otherwise(F.concat(runs, F.array(p)))
+
+    none = F.array().cast("array<struct<copy:int,a:int,b:int>>")
+    runs = pieces.groupBy("_row", "size").agg(F.array_sort(F.collect_list(step)).alias("p")).select(
+        "_row", F.col("size").alias("_size"), F.aggregate("p", none, joined).alias("_runs"))
+    runs = materialize(runs, "mix-runs")
+    total = runs.agg(F.sum(F.size("_runs") + 2)).first()[0] or 0
+    text = F.col("text").cast("string")
+    taken = rows.join(small(runs, total, 24), "_row", "left").where(F.col("_runs").isNotNull() | ~F.coalesce(text.rlike(WORD), F.lit(False)))
+    taken = taken.withColumn("_piece", F.explode(F.coalesce(_cut(text, F.col("_size"), F.col("_runs")), F.array(text))))
+    if "n_chars" in docs.columns:
+        whole = F.col("_piece").eqNullSafe(text)
+        taken = taken.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("_piece")).cast(docs.schema["n_chars"].dataType))
+    return taken.withColumn("text", F.col("_piece")).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

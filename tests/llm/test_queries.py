@@ -1,11 +1,14 @@
 """The registered corpus queries against their SQL, and the pipeline stage by stage."""
 
+import random
+from collections import Counter
+
 import pytest
 
 import corpus_pipeline
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
-from tripgate.llm import queries
+from tripgate.llm import mixing, queries
 
 
 @pytest.mark.parametrize("key", sorted(queries.ORACLE_SQL))
@@ -27,3 +30,25 @@ def test_pipeline_stages_take_effect(spark):
         kept = spark.createDataFrame(out.collect(), docs.schema)
     last = corpus_pipeline.STAGES[-1][1](spark, kept, SF_SMALL)
     assert last.count() == kept.count() and set(docs.columns) < set(last.columns)
+
+
+def test_mixing_stage_gives_each_source_its_target(spark):
+    rng = random.Random(6)
+    rows = [(i, "  " + "".join(f"w{rng.randrange(500)}" + rng.choice([" ", "\n", "\t "]) for _ in range(n)), "xx", f"s{i % 3}", 0)
+            for i, n in enumerate(rng.choices([3, 100, 256, 700, 5000], k=240))]
+    rows += [(900, None, "xx", "s0", 0), (901, " \n", "xx", "s1", 0), (None, "no id " * 50, "xx", "s2", 0), (None, "no id " * 50, "xx", "s2", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    out = corpus_pipeline.mix(spark, docs, SF_SMALL).collect()
+    sizes, got = Counter(), Counter()
+    for _, text, _, source, _ in rows:
+        sizes[source] += len((text or "").split())
+    for r in out:
+        got[r.source] += len((r.text or "").split())
+        assert r.doc_id in (900, 901) or r.text in texts_of(rows, r.doc_id)
+    goals = mixing.targets([sizes[s] for s in sorted(sizes)], mixing.WEIGHTS)
+    assert [got[s] for s in sorted(sizes)] == [pytest.approx(g, abs=0.5) for g in goals]
+    assert sum(r.doc_id in (900, 901) for r in out) == 2
+
+
+def texts_of(rows, doc_id):
+    return "\n".join(t for i, t, *_ in rows if i == doc_id)

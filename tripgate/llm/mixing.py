@@ -132,7 +132,7 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     kept = [c for c in keep if c not in ("doc_id", "source")]
     sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"),
                         *[F.col(f"`{c}`").alias(f"_keep_{c}") for c in kept])
-    if not kept:
+    if "text" not in kept:
         sized = materialize(sized, "mix-sizes")
     found = sized.groupBy("source").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("docs")).collect()
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
@@ -153,7 +153,8 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     bucket = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(root_buckets(rows)))
     documents = (sized.join(plan.select("source_no", F.col("source").alias("_source"), "source_size", "target"),
                             F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("_bucket", bucket))
-    order = [F.xxhash64("doc_id", F.lit(seed + 1)), F.col("doc_id"), F.col("size")]
+    order = [F.xxhash64("doc_id", F.lit(seed + 1)), F.col("doc_id"), F.col("size"),
+             *[F.col(f"_keep_{c}") for c in kept if docs.schema[c].dataType.simpleString() in ("int", "bigint", "string")]]
     documents = prefix_sums(documents, "source_no", "_bucket", order, "size", "start").drop("_bucket")
     for c in kept:
         documents = documents.withColumnRenamed(f"_keep_{c}", c)
