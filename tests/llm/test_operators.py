@@ -273,6 +273,18 @@ def test_pseudonyms_keep_format_validity_and_links(spark):
     assert [got[2][f"n_{k}"] for k in pii.KINDS] == [1] * 6 and got[3].n_ip == 0
 
 
+def test_every_phone_number_is_renamed(spark):
+    rng = random.Random(8)
+    phones = ["+1 (017) 555-7713", "+1 (171) 555-2028", "+1 (000) 000-0000", "+1 (999) 199-9999"]
+    phones += sorted({f"+1 ({rng.randrange(1000):03}) {rng.randrange(1000):03}-{rng.randrange(10000):04}" for _ in range(300)})
+    rows = [(i, f"call {p}, or ({p})", "s") for i, p in enumerate(phones)]
+    got = {r.doc_id: r for r in pii.pseudonymize(docs_of(spark, rows), "key").collect()}
+    form = re.compile(r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}")
+    new = [form.findall(got[i].text) for i in range(len(phones))]
+    assert all(got[i].n_phone == 2 and a == b != p for i, (p, (a, b)) in enumerate(zip(phones, new, strict=True)))
+    assert len({a for a, _ in new}) == len(phones)
+
+
 def test_feistel_is_a_permutation(spark):
     vector = F.array(F.struct((F.col("id") / 60).cast("int").alias("v"), F.lit(5).alias("m")), F.struct((F.col("id") % 60).cast("int").alias("v"), F.lit(60).alias("m")))
     out = spark.range(300).select(F.transform(pii._feistel(vector, "k", "x"), lambda s: s["v"]).alias("o"))
