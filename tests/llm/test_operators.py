@@ -173,6 +173,38 @@ def test_decontamination_finds_planted_items(spark):
     assert next(r.window_start for r in got if r.doc_id == 1) == 50
 
 
+def test_decontamination_equals_brute_force_over_all_starts(spark):
+    rng = random.Random(12)
+    a, b = [f"a{i}" for i in range(30)], [f"b{i}" for i in range(30)]
+    vocab = [f"v{i}" for i in range(60)]
+    items = [(0, a + b), (1, rng.choices(vocab, k=24)), (2, (a[:12] + b[:12]) * 2), (3, rng.choices(vocab, k=80))]
+    fill = lambda n: [f"f{rng.randrange(10_000)}" for _ in range(n)]
+    texts = [fill(100) + b + a + fill(100), b + a, a[:28] + b, fill(3) + (b[:12] + a[:12]) * 2 + fill(5)]
+    for _ in range(40):
+        words = list(rng.choice(items)[1])
+        cut = rng.randrange(len(words))
+        words = words[cut:] + words[:cut] if rng.random() < 0.7 else words
+        if rng.random() < 0.3:
+            words[rng.randrange(len(words))] = "changed"
+        texts.append(fill(rng.randrange(30)) + words + words[:rng.randrange(20)] + fill(rng.randrange(30)))
+    cuts = lambda w: [tuple(w[k:k + 5]) for k in range(len(w) - 4)]
+    want = {}
+    for d, text in enumerate(texts):
+        for i, item in items:
+            whole, own = cuts(text), Counter(cuts(item))
+            n = sum(own.values())
+            for start in range(max(0, len(whole) - n) + 1):
+                window = Counter(whole[start:start + n])
+                both = (window & own).total()
+                s = both / (window.total() + n - both)
+                if s >= 0.8 and s > want.get((d, i), (0, 0))[0]:
+                    want[d, i] = s, start
+    got = decontam.contamination(docs_of(spark, [(d, " ".join(t), "s") for d, t in enumerate(texts)]),
+                                 spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()
+    assert want[0, 0][0] == pytest.approx(52 / 60) and len(want) > 20
+    assert {(r.doc_id, r.item_id): (pytest.approx(r.similarity), r.window_start) for r in got} == want
+
+
 def test_shards_fit_and_follow_the_rule(spark, corpus):
     got = sharding.shard(docs_of(spark, corpus), limit=4000).collect()
     assert len(got) == len(corpus)

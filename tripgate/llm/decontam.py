@@ -2,8 +2,11 @@
 
 Shingles are five lower-cased words (with fewer words, the whole sequence), weighted by
 how often they come in their window. A document is cut into windows of an item's number of
-words, at every place where the window shares at least one shingle with the item (at all
-other places the similarity is 0). Each window and item has a 64-bit SimHash, cut into
+words. With the same number of shingles in each, the first of the best windows starts the text or ends
+at a shingle of the item (else the window one place before would be as good), and one that
+reaches the similarity holds a least number of places whose shingle the item has. So windows
+are made that end at a shared shingle, wherever that lies in the item, and hold enough of them; no
+other start can give a better result. Each window and item has a 64-bit SimHash, cut into
 radius + 1 parts. Two fingerprints within the radius agree in one part at least, so joining on
 (item, part number, part) finds them all. Candidates within the radius are verified by the exact
 weighted Jaccard similarity of window and item.
@@ -70,13 +73,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARI
     """
     items = benchmark.select("item_id", shingles(F.col("text")).alias("item")).where("size(item) > 0 and item_id is not null").withColumn("item_print", simhash(F.col("item")))
     items = materialize(items, "decontam-items")
-    places = materialize(items.select("item_id", F.size("item").alias("n"), F.posexplode("item").alias("at", "h")), "decontam-index")
+    places = materialize(items.select("item_id", F.size("item").alias("n"), F.explode(F.array_distinct("item")).alias("h")), "decontam-index")
     size = places.count()
     found = (docs.select("doc_id", shingles(F.col("text")).alias("all")).where("size(all) > 0")
              .select("doc_id", F.size("all").alias("m"), F.posexplode("all").alias("pos", "h")).join(small(places, size, 40), "h"))
-    # a window starts where the item would; at the ends of a text it is moved inside
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("m") - F.col("n")))
-    starts = found.select("doc_id", "item_id", "n", start.alias("start")).distinct()
+    # a text with fewer shingles than the item is one window
+    width = F.least("n", "m")
+    need = F.greatest(F.lit(1), F.ceil(F.lit(least) * (F.col("n") + width) / F.lit(1 + least) - 1e-9).cast("int"))
+    shared = found.groupBy("doc_id", "item_id", "n", "m").agg(F.array_sort(F.collect_list("pos")).alias("at")).where(F.size("at") >= need)
+    ends = F.filter("at", lambda p, i: F.get(F.col("at"), i - need + 1) > p - width)
+    starts = shared.select("doc_id", "item_id", "n", F.explode(F.array_distinct(
+        F.transform(ends, lambda p: F.greatest(F.lit(0), p - width + 1)))).alias("start")).distinct()
     starts = materialize(starts, "decontam-places")
     count = starts.count()
     by_doc = starts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_places"))
