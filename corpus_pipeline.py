@@ -26,24 +26,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 5-word shingles at 0.8 the one with the smallest id stays; without an id, all stay.
+    """Of rows linked by 5-word shingles at 0.8 the one with the smallest id stays, null ids last; then the first row.
 
-    Rows that repeat an id are one document, of which the first row stays.
+    Rows are judged, not ids: a null id has no privilege, and different texts under one id are different documents.
+    Texts without words are linked with nothing; of rows that repeat one under the same id the first stays.
     """
-    groups = jaccard.jaccard_components(docs)
-    gone = materialize(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    first = materialize(rows.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated-ids")
-    kept = rows.join(small(gone, gone.count(), 16), "doc_id", "left_anti").join(small(first, first.count(), 24), "doc_id", "left")
-    return kept.where(F.col("_first").isNull() | (F.col("_row") == F.col("_first"))).select(*docs.columns)
+    rows = keyed(docs, "near-duplicate-rows")
+    groups = jaccard.jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text")).where("n_shingles > 0")
+    group = F.when(F.col("component_id").isNotNull(), F.struct(F.lit("linked").alias("how"), F.col("component_id").cast("string").alias("by"))).when(
+        F.col("doc_id").isNotNull(), F.struct(F.lit("empty").alias("how"), F.col("doc_id").cast("string").alias("by")))
+    linked = (rows.select("_row", "doc_id").join(groups.withColumnRenamed("doc_id", "_of"), F.col("_row") == F.col("_of"), "left")
+              .select("_row", "doc_id", group.alias("_group")).where("_group is not null"))
+    linked = materialize(linked, "near-duplicate-groups")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
+    first = materialize(linked.groupBy("_group").agg(F.min(order)["_row"].alias("_first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "near-duplicate-firsts")
+    worse = linked.join(small(first, first.count(), 48), "_group").where("_row <> _first").select("_row")
+    gone = materialize(worse, "near-duplicates")
+    return rows.join(small(gone, gone.count(), 16), "_row", "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    gone = materialize(found.select("doc_id").distinct(), "contaminated")
-    return docs.join(small(gone, gone.count(), 16), "doc_id", "left_anti").select(*docs.columns)
+    """Documents whose text holds a benchmark item go, whatever their id."""
+    gone = materialize(decontam.contaminated_texts(docs, table(spark, sf_dir, "benchmark")), "contaminated")
+    rows = docs.withColumn("_key", decontam.text_key(F.col("text")))
+    return rows.join(small(gone, gone.count(), 48), F.col("_key") == F.col("key"), "left_anti").select(*docs.columns)
 
 
 def _cut(text: Column, size: Column, runs: Column) -> Column:

@@ -8,7 +8,7 @@ import pytest
 import corpus_pipeline
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
-from tripgate.llm import mixing, queries
+from tripgate.llm import decontam, mixing, queries
 
 
 @pytest.mark.parametrize("key", sorted(queries.ORACLE_SQL))
@@ -52,3 +52,21 @@ def test_mixing_stage_gives_each_source_its_target(spark):
 
 def texts_of(rows, doc_id):
     return "\n".join(t for i, t, *_ in rows if i == doc_id)
+
+
+def test_stages_judge_rows_and_not_ids(spark):
+    rng = random.Random(7)
+    item, a, b, c = (" ".join(rng.choices([f"w{i}" for i in range(900)], k=40)) for _ in range(4))
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+    rows = [(i, t, "xx", "s", 0) for i, t in [(None, item), (None, None), (1, item), (1, a), (2, b), (2, c), (2, c), (3, a), (None, b), (None, b), (4, ""), (4, ""), (5, None)]]
+    docs = spark.createDataFrame(rows, schema)
+    key = lambda r: (str(r[0]), str(r[1]))
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SF_SMALL).collect()
+    assert sorted(map(key, kept)) == sorted(map(key, [(None, None), (1, item), (1, a), (2, b), (2, c), (4, ""), (5, None)]))
+    known = f"{SF_SMALL}/benchmark.parquet"
+    leak = spark.read.parquet(known).where("length(text) > 200").first().text
+    docs = spark.createDataFrame([(None, "so " + leak, "xx", "s", 0), (1, leak, "xx", "s", 0), (1, a, "xx", "s", 0), (None, b, "xx", "s", 0), (None, None, "xx", "s", 0)], schema)
+    kept = corpus_pipeline.decontaminate(spark, docs, SF_SMALL).collect()
+    assert sorted(map(key, kept)) == sorted(map(key, [(1, a), (None, b), (None, None)]))
+    found = decontam.contamination(docs, spark.read.parquet(known)).collect()
+    assert {r.doc_id for r in found} == {None, 1}

@@ -15,8 +15,10 @@ Only DataFrame functions run. Documents are read twice: once to find places, onc
 few documents with places, to build the windows; shingles of all documents are never shuffled
 while the benchmark's shingle table is within ``BROADCAST_BYTES`` (counted; beyond that
 Spark shuffles both sides). Defined cases: null and empty texts and items match nothing;
-items of fewer than five words match only documents that are those words; repeated ids give one
-row for each item, with the best window of any of the texts; other columns are not read.
+items of fewer than five words match only documents that are those words. Windows belong to a
+text (its SHA-256), not to an id: equal texts are judged alike. Repeated ids give one
+row for each item, with the best window of any of the texts, and so do null ids, as one id;
+``contaminated_texts`` gives the texts themselves; other columns are not read.
 """
 
 from __future__ import annotations
@@ -66,30 +68,48 @@ def _keys(fingerprint: Column, radius: int) -> Column:
                      for n, (first, size) in enumerate(_parts(radius))])
 
 
+def text_key(text: Column) -> Column:
+    """What stands for a text in joins; null for null."""
+    return F.unhex(F.sha2(text.cast("string").cast("binary"), 256))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, similarity, window_start, window_words): the best window of each pair that reaches ``least``.
 
     ``window_start`` counts words from 0; of equally similar windows the first counts.
     """
+    best = _windows(docs, benchmark, least, radius).groupBy("doc_id", "item_id").agg(F.max(F.struct(
+        "similarity", (-F.col("start")).alias("s"), F.size("window").alias("n"))).alias("b"))
+    return best.select("doc_id", "item_id", "b.similarity", (-F.col("b.s")).alias("window_start"),
+                       (F.col("b.n") + SHINGLE - 1).alias("window_words"))
+
+
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """(key): the ``text_key`` of each text that holds an item."""
+    return _windows(docs, benchmark, least, radius).select("key").distinct()
+
+
+def _windows(docs: DataFrame, benchmark: DataFrame, least: float, radius: int) -> DataFrame:
+    """(doc_id, key, item_id, start, window, similarity) of the windows that reach ``least``."""
     items = benchmark.select("item_id", shingles(F.col("text")).alias("item")).where("size(item) > 0 and item_id is not null").withColumn("item_print", simhash(F.col("item")))
     items = materialize(items, "decontam-items")
     places = materialize(items.select("item_id", F.size("item").alias("n"), F.explode(F.array_distinct("item")).alias("h")), "decontam-index")
     size = places.count()
-    found = (docs.select("doc_id", shingles(F.col("text")).alias("all")).where("size(all) > 0")
-             .select("doc_id", F.size("all").alias("m"), F.posexplode("all").alias("pos", "h")).join(small(places, size, 40), "h"))
+    found = (docs.select(text_key(F.col("text")).alias("key"), shingles(F.col("text")).alias("all")).where("size(all) > 0")
+             .select("key", F.size("all").alias("m"), F.posexplode("all").alias("pos", "h")).join(small(places, size, 40), "h"))
     # a text with fewer shingles than the item is one window
     width = F.least("n", "m")
     need = F.greatest(F.lit(1), F.ceil(F.lit(least) * (F.col("n") + width) / F.lit(1 + least) - 1e-9).cast("int"))
-    shared = found.groupBy("doc_id", "item_id", "n", "m").agg(F.array_sort(F.collect_list("pos")).alias("at")).where(F.size("at") >= need)
+    shared = found.groupBy("key", "item_id", "n", "m").agg(F.array_sort(F.collect_set("pos")).alias("at")).where(F.size("at") >= need)
     ends = F.filter("at", lambda p, i: F.get(F.col("at"), i - need + 1) > p - width)
-    starts = shared.select("doc_id", "item_id", "n", F.explode(F.array_distinct(
-        F.transform(ends, lambda p: F.greatest(F.lit(0), p - width + 1)))).alias("start")).distinct()
+    starts = shared.select("key", "item_id", "n", F.explode(F.array_distinct(
+        F.transform(ends, lambda p: F.greatest(F.lit(0), p - width + 1)))).alias("start"))
     starts = materialize(starts, "decontam-places")
     count = starts.count()
-    by_doc = starts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_places"))
-    touched = docs.select("doc_id", "text").join(small(by_doc, count, 24).drop("_places"), "doc_id", "left_semi")
-    windows = (touched.select("doc_id", shingles(F.col("text")).alias("all")).join(starts, "doc_id")
-               .select("doc_id", "item_id", "start", F.slice("all", F.col("start") + 1, F.col("n")).alias("window"))
+    keys = starts.select("key").distinct()
+    touched = docs.select("doc_id", "text", text_key(F.col("text")).alias("key")).join(small(keys, count, 48), "key", "left_semi")
+    windows = (touched.select("doc_id", "key", shingles(F.col("text")).alias("all")).join(starts, "key")
+               .select("doc_id", "key", "item_id", "start", F.slice("all", F.col("start") + 1, F.col("n")).alias("window"))
                .withColumn("print", simhash(F.col("window"))))
     probes = windows.select("*", F.explode(_keys(F.col("print"), radius)).alias("k")).select("*", "k.part", "k.value").drop("k")
     index = items.select("item_id", "item", "item_print", F.explode(_keys(F.col("item_print"), radius)).alias("k")).select(
@@ -98,11 +118,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARI
             .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
             # of the parts that agree only the first reports the window
             .where(_first_part(F.col("print").bitwiseXOR(F.col("item_print")), radius) == F.col("part")))
-    exact = near.withColumn("similarity", similarity(F.col("window"), F.col("item"))).where(F.col("similarity") >= least)
-    best = exact.groupBy("doc_id", "item_id").agg(F.max(F.struct(
-        "similarity", (-F.col("start")).alias("s"), F.size("window").alias("n"))).alias("b"))
-    return best.select("doc_id", "item_id", "b.similarity", (-F.col("b.s")).alias("window_start"),
-                       (F.col("b.n") + SHINGLE - 1).alias("window_words"))
+    return near.withColumn("similarity", similarity(F.col("window"), F.col("item"))).where(F.col("similarity") >= least)
 
 
 def _first_part(difference: Column, radius: int) -> Column:
