@@ -1,4 +1,4 @@
-"""A lake built by the real pipeline over ``events``: two half-month batches, then two retries.
+"""A lake built by the real pipeline over ``events``: a batch for each half of its days, then two retries.
 
 The publication, history, KPI and operations keys read this lake. Batch ids and the
 clock are fixed so results are reproducible: the batches are judged at the instant they
@@ -10,9 +10,10 @@ no-op). The lake is built once per Spark application and input folder.
 from __future__ import annotations
 
 import threading
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripgate.config import PipelineConfig
 from tripgate.plans import pipeline
@@ -20,7 +21,7 @@ from tripgate.plans.publish import publish
 from tripgate.session import scratch_dir, zoned_session
 from tripgate.sources.adapters import TRIP_ADAPTER_COLUMNS, read_table
 
-# Fixed query parameters: the weekly windows (end exclusive) and the pipeline clock.
+# The windows of the given tables (end exclusive), which the SQL has, and the pipeline clock; lakes take theirs from the events.
 LAKE_WINDOWS = (
     ("w01", "2024-01-01", "2024-01-16"),
     ("w02", "2024-01-16", "2024-01-31"),
@@ -39,6 +40,23 @@ def window_config(root: str, start: str, end: str) -> PipelineConfig:
     return PipelineConfig(start_date=start, end_date=end, root=root)
 
 
+def event_days(events: DataFrame, ts_col: str = "ts") -> tuple[date, date]:
+    """The first day of the events and the day after the last; those of ``LAKE_WINDOWS`` if there are none."""
+    first, last = events.agg(F.to_date(F.min(ts_col)), F.to_date(F.max(ts_col))).first()
+    if first is None:
+        return date.fromisoformat(LAKE_WINDOWS[0][1]), date.fromisoformat(LAKE_WINDOWS[-1][2])
+    return first, last + timedelta(days=1)
+
+
+def event_windows(events: DataFrame) -> tuple[tuple[str, str, str], ...]:
+    """(batch, start, end) of the halves of the events' days; a single day is one window."""
+    first, end = event_days(events)
+    if (end - first).days < 2:
+        return ((LAKE_WINDOWS[0][0], first.isoformat(), end.isoformat()),)
+    middle = first + timedelta(days=((end - first).days + 1) // 2)
+    return ((LAKE_WINDOWS[0][0], first.isoformat(), middle.isoformat()), (LAKE_WINDOWS[1][0], middle.isoformat(), end.isoformat()))
+
+
 def demo_lake(spark: SparkSession, sf_dir: str) -> PipelineConfig:
     """Build (once) and return the config of the last published window."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -48,14 +66,15 @@ def demo_lake(spark: SparkSession, sf_dir: str) -> PipelineConfig:
         root = scratch_dir(spark, "lake")
         events = read_table(zoned_session(spark), sf_dir, "events")
         runs, cfg = {}, None
-        for batch, start, end in LAKE_WINDOWS:
+        windows = event_windows(events)
+        for batch, start, end in windows:
             cfg = window_config(root, start, end)
             runs[batch] = (cfg, pipeline.run_pipeline(spark, cfg, events, batch_id=batch, clock=_clock,
                                                      columns=TRIP_ADAPTER_COLUMNS, source_url="table:events"))
-        first_cfg, first = runs[LAKE_WINDOWS[0][0]]
+        first_cfg, first = runs[windows[0][0]]
         pipeline.validate(spark, first_cfg, first["silver"], first["candidate"],
                           first["ingest"]["manifest_key"], clock=_clock)
-        last_cfg, last = runs[LAKE_WINDOWS[-1][0]]
+        last_cfg, last = runs[windows[-1][0]]
         publish(spark, last_cfg, last["candidate"], last["gate"], clock=_clock)
         _LAKES[key] = last_cfg
         return last_cfg

@@ -19,7 +19,7 @@ from tripgate.config import PipelineConfig
 from tripgate.functions.parsing import RAW_COLUMNS
 from tripgate.operators import gold, quality, silver
 from tripgate.plans import history, kpi
-from tripgate.plans.lake import LAKE_CLOCK, demo_lake
+from tripgate.plans.lake import LAKE_CLOCK, demo_lake, event_days
 from tripgate.plans.pipeline import ingest
 from tripgate.plans.publish import read_published, verify_publication
 from tripgate.session import scratch_dir, zoned_session
@@ -152,6 +152,7 @@ SILVER_GOLD_QUERIES: dict[str, Query] = {
 
 # ---- Bronze: one landing of the whole events range per application and input ----------------
 
+# the days of the given tables, which the SQL has; landings take theirs from the events
 BRONZE_START, BRONZE_END = "2024-01-01", "2024-01-31"
 BRONZE_PAGE_SIZE = 1000
 EXTRACT_START, EXTRACT_END = "2024-01-03", "2024-01-24"
@@ -160,8 +161,9 @@ _LANDINGS: dict = {}
 _LANDING_LOCK = threading.Lock()
 
 
-def bronze_config(root: str = "") -> PipelineConfig:
-    return PipelineConfig(start_date=BRONZE_START, end_date=BRONZE_END, page_size=BRONZE_PAGE_SIZE, root=root)
+def bronze_config(events: DataFrame, root: str = "") -> PipelineConfig:
+    first, end = event_days(events)
+    return PipelineConfig(start_date=first.isoformat(), end_date=end.isoformat(), page_size=BRONZE_PAGE_SIZE, root=root)
 
 
 def bronze_landing(spark: SparkSession, sf_dir: str) -> dict:
@@ -173,8 +175,9 @@ def bronze_landing(spark: SparkSession, sf_dir: str) -> dict:
 
 def _landing(spark: SparkSession, sf_dir: str, key) -> dict:
     if key not in _LANDINGS:
-        cfg = bronze_config(scratch_dir(spark, "bronze"))
-        info = ingest(spark, cfg, read_table(zoned_session(spark), sf_dir, "events"), batch_id="b0", columns=TRIP_ADAPTER_COLUMNS, source_url="table:events",
+        events = read_table(zoned_session(spark), sf_dir, "events")
+        cfg = bronze_config(events, scratch_dir(spark, "bronze"))
+        info = ingest(spark, cfg, events, batch_id="b0", columns=TRIP_ADAPTER_COLUMNS, source_url="table:events",
                       clock=lambda: LAKE_CLOCK)
         _LANDINGS[key] = {**info, "cfg": cfg}
     return _LANDINGS[key]
@@ -188,7 +191,8 @@ def extract_window(spark, sf_dir):
 
 def extract_pages(spark, sf_dir):
     spark = zoned_session(spark)
-    paged = bronze.bounded_extract(read_table(spark, sf_dir, "events"), bronze_config())
+    events = read_table(spark, sf_dir, "events")
+    paged = bronze.bounded_extract(events, bronze_config(events))
     return paged.select("event_id", "ts", F.col("_rn").alias("rn"), "page", "page_row")
 
 
