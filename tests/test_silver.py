@@ -180,14 +180,14 @@ def test_exact_copies_keep_exactly_one(spark):
 
 def test_reconciliation_row(spark):
     raw = sample(spark)
-    row = silver.reconciliation(raw, silver.refine(raw)).first()
+    row = silver.reconciliation(raw, silver.refine(raw).versions).first()
     assert (row.raw_rows, row.clean_rows, row.invalid_rows, row.duplicate_rows) == (8, 4, 3, 1)
     assert row.reconciliation_delta == 0 and row.reconciled
 
 
 def test_rejections_union(spark):
     r = silver.refine(sample(spark))
-    rej = silver.rejections(r.invalid, r.duplicate, "b1")
+    rej = silver.rejections(r.versions, "b1")
     rows = rej.collect()
     assert len(rows) == 4
     assert {x.reject_type for x in rows} == {"invalid", "duplicate"}

@@ -32,15 +32,41 @@ def test_hot_key_and_copies_dedup_exactly(spark):
     assert hot.first().end.minute == 30  # the latest end wins
 
 
-def test_dedup_plan_limits_before_shuffle_and_losers_never_window(spark):
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_winners_are_limited_before_the_shuffle(spark):
     from tripgate.session import zoned_session
 
-    result = silver.refine(skewed(zoned_session(spark)))
-    clean_plan = result.clean._jdf.queryExecution().executedPlan().toString()
     # The partial WindowGroupLimit sits below the shuffle on trip_id (map-side top-1).
-    below_exchange = clean_plan.split("Exchange hashpartitioning(trip_id", 1)[1]
+    below_exchange = plan(silver.refine(skewed(zoned_session(spark))).clean).split("Exchange hashpartitioning(trip_id", 1)[1]
     assert "WindowGroupLimit" in below_exchange
-    dup_plan = result.duplicate._jdf.queryExecution().executedPlan().toString()
-    # Losers: an anti-join on the row id, the only window being the limited winner pick.
-    assert "LeftAnti" in dup_plan
-    assert "Exchange hashpartitioning(_rid" in dup_plan
+
+
+def test_dispositions_come_from_one_scan_without_joins(spark, scratch):
+    from tripgate.session import zoned_session
+
+    s = zoned_session(spark)
+    skewed(s).write.parquet(f"{scratch}/raw")
+    result = silver.refine(s.read.parquet(f"{scratch}/raw"))
+    for df in (result.versions, result.duplicate, silver.rejections(result.versions, "b")):
+        text = plan(df)
+        assert text.count("FileScan") == 1 and "Join" not in text and "Union" not in text
+        assert text.count("Exchange hashpartitioning(") == 2
+
+
+def test_a_third_of_three_million_rows_on_one_id(spark):
+    n, splits = 3_000_000, 32
+    raw = skewed(spark, n).repartition(splits)
+    ranked = silver.refine(raw).versions
+    # rows by task of the last shuffle: a plan over the same partitions, no further shuffle
+    by_task = ranked.groupBy(F.spark_partition_id().alias("task"), "disposition").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("trip_id") == "HOT").alias("hot")).collect()
+    total = {k: sum(r.n for r in by_task if r.disposition == k) for k in silver.DISPOSITIONS}
+    assert total == {"clean": n * 2 // 3 + 1, "invalid": 0, "duplicate": n // 3 - 1}
+    tasks = {r.task for r in by_task}
+    hot = [sum(r.hot for r in by_task if r.task == t) for t in tasks]
+    # the hot id's rows are dealt out in parts of one split each
+    assert max(hot) <= 3 * (n // 3) // len(tasks) + n // 3 // splits
+    assert sum(hot) == n // 3

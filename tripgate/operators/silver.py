@@ -1,16 +1,14 @@
 """Silver: typed parse, ordered row rules, deterministic keyed dedup (P*, R12, W1, U1, A4, A5).
 
 Skew design. A trip id, or one group of exact copies, may hold a large share of all
-rows, so the dedup never sends a whole key group through one task:
-
-* the winner of every id is ``row_number() = 1`` under a total order; Catalyst plans a
-  partial WindowGroupLimit before the shuffle, so a hot id shrinks to one row per map
-  task;
-* the losing versions are found by an anti-join on a per-row id, which is uniformly
-  distributed whatever the key skew (copies of one row all get distinct ids).
-
-Only valid rows are deduplicated: ranking before the split would put every row with an
-empty id into one group.
+rows, so the dedup never sends a whole key group through one task. It is a tournament:
+the versions of an id that one input split holds meet first, then the firsts of all
+splits; every row passes both rounds once, in one plan over one scan, and leaves with
+its disposition (``versions``). Where only the winners are wanted (``keep_best``), a
+partial WindowGroupLimit shrinks a hot id to one row a task before the only shuffle.
+
+Rows that break a rule take no part: they keep to their own input split, so the many rows
+with an empty id never form a group.
 """
 
 from __future__ import annotations
@@ -29,9 +27,14 @@ from tripgate.functions.rules import DUPLICATE_REASON, reason_column
 REJECTION_COLUMNS = (*SILVER_COLUMNS, "reject_reason")
 
 
+CLEAN, INVALID, DUPLICATE = "clean", "invalid", "duplicate"
+DISPOSITIONS = (CLEAN, INVALID, DUPLICATE)
+
+
 @dataclass(frozen=True)
 class SilverResult:
-    """The three dispositions of a raw batch; ``classified`` is every row with its reason.
+    """The three dispositions of a raw batch; ``classified`` is every row with its reason,
+    ``versions`` every row with its reason and disposition from one pass over the batch.
 
     ``observation`` holds ``raw_rows`` and ``invalid_rows``, counted in the same pass as
     the classification, once an action has run over ``classified``.
@@ -41,6 +44,7 @@ class SilverResult:
     invalid: DataFrame
     duplicate: DataFrame
     classified: DataFrame
+    versions: DataFrame
     observation: Observation | None = None
 
 
@@ -85,42 +89,50 @@ def split(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, invalid
 
 
-def _with_row_id(valid: DataFrame) -> DataFrame:
-    """``_rid``: a per-row id assigned right above the scan-rooted input, so a retried task
-    sees the same ids (same file split, same row order). Copies of one row get distinct ids."""
-    return valid.withColumn("_rid", F.monotonically_increasing_id())
+def _best_first() -> list[Column]:
+    """Completeness desc, end desc nulls last, row hash asc: only equal rows tie."""
+    return [F.col("_complete").desc(), F.col("trip_end_ts").desc_nulls_last(), F.col("_hash").asc()]
 
 
-def _winners(keyed: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The best version of every trip id: completeness desc, end desc nulls last, row hash
-    asc, then the row id (a total order, so the choice is deterministic).
+def keep_best(valid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per ``trip_id``: the most complete, latest-ending, lowest-hash version.
 
     ``row_number() = 1`` is planned as a partial WindowGroupLimit before the shuffle: a
     hot id reaches the shuffle as at most one row per map task.
     """
-    order = [completeness().desc(), F.col("trip_end_ts").desc_nulls_last(), row_hash().asc(),
-             F.col("_rid").asc()]
-    w = Window.partitionBy(*by, "trip_id").orderBy(*order)
-    return keyed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    keyed = valid.select("*", completeness().alias("_complete"), row_hash().alias("_hash"))
+    of_id = Window.partitionBy(*by, "trip_id").orderBy(*_best_first())
+    return keyed.withColumn("_place", F.row_number().over(of_id)).where("_place = 1").select(*by, *SILVER_COLUMNS)
 
 
-def keep_best(valid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row per ``trip_id``: the most complete, latest-ending, lowest-hash version."""
-    return _winners(_with_row_id(valid), by).select(*by, *SILVER_COLUMNS)
+def versions(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """W1 + R12: every classified row with its ``disposition``; losing versions get the reason ``duplicate_trip_id``.
 
+    First round: the versions of an id within one input split (``_split`` salts the key, and
+    grows with the input). Second round: each split's first. Rows out of the race (rule breakers,
+    losers of the first round) keep the salt, so no task meets more of an id than one
+    split holds or one row for each split.
+    """
+    valid = F.col("reject_reason") == ""
+    keyed = classified.select(
+        *by, *SILVER_COLUMNS, "reject_reason", F.spark_partition_id().alias("_split"), F.when(valid, F.col("trip_id")).alias("_id"),
+        F.when(valid, completeness()).alias("_complete"), F.when(valid, row_hash()).alias("_hash"))
+    inside = Window.partitionBy(*by, "_id", "_split").orderBy(*_best_first())
+    across = Window.partitionBy(*by, "_id", "_round").orderBy(*_best_first())
+    in_race = F.col("_id").isNotNull() & (F.col("_place") == 1)
+    ranked = (keyed.withColumn("_place", F.row_number().over(inside))
+              .withColumn("_round", F.when(in_race, F.lit(-1)).otherwise(F.col("_split")))
+              .withColumn("_final", F.row_number().over(across)))
+    disposition = F.when(F.col("_id").isNull(), INVALID).when((F.col("_round") == -1) & (F.col("_final") == 1), CLEAN).otherwise(DUPLICATE)
+    judged = ranked.withColumn("disposition", disposition)
+    reason = F.when(F.col("disposition") == DUPLICATE, DUPLICATE_REASON).otherwise(F.col("reject_reason"))
+    return judged.select(*by, *SILVER_COLUMNS, reason.alias("reject_reason"), "disposition")
 
-def losing_versions(valid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Every valid row except the best version of its ``trip_id``, reason ``duplicate_trip_id``.
 
-    An anti-join on the row id: uniformly distributed whatever the key skew, whereas a
-    window over ``trip_id`` would send every version of a hot id to one task.
-    """
-    keyed = _with_row_id(valid)
-    return (
-        keyed.join(_winners(keyed, by).select("_rid"), on="_rid", how="left_anti")
-        .select(*by, *SILVER_COLUMNS)
-        .withColumn("reject_reason", F.lit(DUPLICATE_REASON))
-    )
+def losing_versions(valid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Every valid row except the best version of its ``trip_id``, reason ``duplicate_trip_id``."""
+    ranked = versions(valid.withColumn("reject_reason", F.lit("")), by)
+    return ranked.where(F.col("disposition") == DUPLICATE).select(*by, *REJECTION_COLUMNS)
 
 
 def dedup(valid: DataFrame, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -136,7 +148,7 @@ def refine(raw: DataFrame, limits: TripLimits = TripLimits(), by: Sequence[str]
     classified, seen = observe_dispositions(classify(parse(raw, by), limits))
     valid, invalid = split(classified)
     clean, duplicate = dedup(valid, by)
-    return SilverResult(clean, invalid, duplicate, classified, seen)
+    return SilverResult(clean, invalid, duplicate, classified, versions(classified, by), seen)
 
 
 def refine_pair(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -145,16 +157,14 @@ def refine_pair(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return result.clean, result.invalid
 
 
-def rejections(invalid: DataFrame, duplicate: DataFrame, batch_id: str | None = None) -> DataFrame:
-    """Invalid and duplicate rows, typed by disposition, tagged with the batch.
+def rejections(ranked: DataFrame, batch_id: str | None = None) -> DataFrame:
+    """The invalid and duplicate rows of ``versions``, typed by disposition, tagged with the batch.
 
-    With ``batch_id=None`` the inputs must already carry a ``batch_id`` column.
+    With ``batch_id=None`` the rows must already carry a ``batch_id`` column.
     """
-    def typed(df: DataFrame, kind: str) -> DataFrame:
-        batch = F.lit(batch_id) if batch_id is not None else F.col("batch_id")
-        return df.select(*REJECTION_COLUMNS, F.lit(kind).alias("reject_type"), batch.alias("batch_id"))
-
-    return typed(invalid, "invalid").unionByName(typed(duplicate, "duplicate"))
+    batch = F.lit(batch_id) if batch_id is not None else F.col("batch_id")
+    return ranked.where(F.col("disposition").isin(INVALID, DUPLICATE)).select(
+        *REJECTION_COLUMNS, F.col("disposition").alias("reject_type"), batch.alias("batch_id"))
 
 
 def reject_breakdown(rejected: DataFrame) -> DataFrame:
@@ -178,21 +188,16 @@ def breakdown_from_classified(classified: DataFrame) -> DataFrame:
     ).filter(F.col("reject_count") > 0)
 
 
-def reconciliation(raw: DataFrame, result: SilverResult) -> DataFrame:
+def reconciliation(raw: DataFrame, ranked: DataFrame) -> DataFrame:
     """A4: one row ``raw, clean, invalid, duplicate, delta, reconciled``.
 
-    The four inputs are tagged and counted in a single aggregate (no cross join);
-    ``reconciled`` requires ``raw = clean + invalid + duplicate`` and ``clean > 0``.
+    The rows of ``versions`` are counted by disposition in one aggregate, together with the raw
+    rows, whose scan reads no column; ``reconciled`` requires ``raw = clean + invalid + duplicate``
+    and ``clean > 0``.
     """
-    tag = "_disposition"
-    tagged = (
-        raw.select(F.lit("raw").alias(tag))
-        .unionByName(result.clean.select(F.lit("clean").alias(tag)))
-        .unionByName(result.invalid.select(F.lit("invalid").alias(tag)))
-        .unionByName(result.duplicate.select(F.lit("duplicate").alias(tag)))
-    )
-    counts = tagged.agg(*[F.count_if(F.col(tag) == name).alias(f"{name}_rows")
-                          for name in ("raw", "clean", "invalid", "duplicate")])
+    kind = F.col("disposition")
+    counted = ranked.select(kind).unionByName(raw.select(F.lit("raw").alias("disposition")))
+    counts = counted.agg(*[F.count_if(kind == name).alias(f"{name}_rows") for name in ("raw", *DISPOSITIONS)])
     delta = F.col("raw_rows") - F.col("clean_rows") - F.col("invalid_rows") - F.col("duplicate_rows")
     return counts.select(
         "raw_rows", "clean_rows", "invalid_rows", "duplicate_rows",

@@ -67,8 +67,7 @@ def silver_duplicates(spark, sf_dir):
 
 
 def silver_rejections(spark, sf_dir):
-    r = _silver(spark, sf_dir)
-    return portable(silver.rejections(r.invalid, r.duplicate, "all"))
+    return portable(silver.rejections(_silver(spark, sf_dir).versions, "all"))
 
 
 def reject_breakdown(spark, sf_dir):
@@ -78,7 +77,7 @@ def reject_breakdown(spark, sf_dir):
 def silver_reconciliation(spark, sf_dir):
     s = zoned_session(spark)
     raw = raw_trips(s, sf_dir)
-    return silver.reconciliation(raw, silver.refine(raw))
+    return silver.reconciliation(raw, silver.refine(raw).versions)
 
 
 # ---- Gold ---------------------------------------------------------------------------

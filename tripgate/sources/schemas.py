@@ -25,6 +25,7 @@ def struct(spec) -> T.StructType:
 SILVER = struct([(c, SILVER_TYPES[c]) for c in SILVER_COLUMNS])
 REJECTED = struct([*[(c, SILVER_TYPES[c]) for c in SILVER_COLUMNS], ("reject_reason", T.StringType()),
                    ("reject_type", T.StringType()), ("batch_id", T.StringType())])
+VERSIONS = struct([*[(c, SILVER_TYPES[c]) for c in SILVER_COLUMNS], ("reject_reason", T.StringType()), ("disposition", T.StringType())])
 GOLD = {
     "daily_revenue": struct([("trip_date", T.DateType()), ("trip_count", T.LongType()),
                              ("total_revenue_usd", T.DecimalType(20, 2))]),
