@@ -194,3 +194,86 @@ def test_folder_and_page_list_must_agree(spark, scratch):
     documents.delete(spark, pages_of(spark, info)[0].key)
     with pytest.raises(AssertionError, match="page=00000"):
         check_bronze(spark, info["manifest_key"])
+
+
+# ---- ranges from a sketch, pages cut from them ---------------------------------------------------
+
+def many(spark, n, tie=1):
+    """n rows in an order of their own; ``tie`` rows share each instant."""
+    rank = F.col("id") * 7919 % n
+    ts = F.lit("2023-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.floor(rank / tie))
+    return spark.range(0, n, 1, 7).select(rank.alias("event_id"), ts.alias("ts"), F.concat(F.lit("t"), rank).alias("trip_id"))
+
+
+def test_ranges_grow_with_the_input(spark, monkeypatch):
+    monkeypatch.setattr(bronze, "RANGE_BYTES", 5_000)
+    few, lots = (bronze.sketch_ranges(many(spark, n), ["ts", "event_id"]) for n in (1_000, 10_000))
+    assert len(few.sizes) >= 5 and 8 <= len(lots.sizes) / len(few.sizes) <= 12
+    assert few.rows == 1_000 and lots.rows == 10_000
+    assert max(lots.sizes) < 3 * lots.rows / len(lots.sizes)
+    assert bronze.number_rows(many(spark, 10_000), ["ts", "event_id"]).rdd.getNumPartitions() == len(lots.sizes)
+    assert lots == bronze.sketch_ranges(many(spark, 10_000).repartition(3), ["ts", "event_id"])
+
+
+@pytest.mark.parametrize("n,tie,partitions", [(3_000, 1, 9), (3_000, 1_000, 9), (3_000, 3_000, 40), (5, 1, 9), (0, 1, 4)])
+def test_numbers_hold_for_tied_instants_and_few_rows(spark, n, tie, partitions):
+    src = many(spark, n, tie) if n else many(spark, 5).limit(0)
+    numbered = bronze.number_rows(src, ["ts", "event_id"], partitions)
+    assert sorted((r._rn, r.event_id) for r in numbered.collect()) == [(i + 1, i) for i in range(n)]
+
+
+@pytest.mark.parametrize("key", ["string", "decimal(20,3)", "double", "timestamp", "date"])
+def test_ranges_of_other_key_types(spark, key):
+    rank = F.col("id") * 37 % 500
+    moment = F.timestamp_micros(F.lit(1_699_160_000_000_000) + rank * 60_000_017)  # over the hour that repeats in autumn
+    value = moment if key == "timestamp" else F.date_add(F.lit("2024-01-01").cast("date"), rank.cast("int")) if key == "date" else (
+        F.concat(F.lit('a},{"'), F.lpad(rank.cast("string"), 4, "0")) if key == "string" else rank.cast(key) / 8)
+    src = spark.range(500).select(value.alias("k"), F.when(rank > 3, rank).alias("event_id"))
+    got = [r.event_id for r in bronze.number_rows(src, ["k", "event_id"], 6).orderBy("_rn").collect()]
+    assert got[4:] == list(range(4, 500)) and got[:4] == [None] * 4
+    assert len(bronze.sketch_ranges(src, ["k", "event_id"], 6).sizes) == 6
+
+
+@pytest.mark.parametrize("page_size,cap,partitions", [(7, None, 5), (100, None, 5), (1_000, None, 6), (7, 200, 5), (5_000, None, 3)])
+def test_pages_cut_from_ranges_equal_pages_of_the_whole_order(spark, scratch, page_size, cap, partitions):
+    n = 700
+    cfg = PipelineConfig(start_date="2023-01-01", end_date="2023-01-02", root=scratch, page_size=page_size, max_rows=cap)
+    paged = bronze.bounded_extract(many(spark, n, 3), cfg, partitions=partitions)
+    bronze.write_pages(paged, ["event_id", "trip_id"], f"{scratch}/pages", ["ts", "event_id"])
+    files = bronze.page_files(spark, f"{scratch}/pages").orderBy("page").collect()
+    rows = min(n, cap or n)
+    assert len(files) == -(-rows // page_size)
+    for i, f in enumerate(files):
+        lines = documents.read_text(spark, f.key).splitlines()
+        assert f.page == f"{i:05d}" and lines == ["event_id,trip_id"] + [f"{k},t{k}" for k in range(i * page_size, min(rows, (i + 1) * page_size))]
+
+
+def test_only_border_pages_move_after_the_one_shuffle(spark, scratch):
+    n, partitions = 6_000, 6
+    cfg = PipelineConfig(start_date="2023-01-01", end_date="2023-01-03", root=scratch, page_size=50)
+    src = spark.read.parquet(_stored(many(spark, n), scratch))
+    paged = bronze.bounded_extract(src, cfg, partitions=partitions)
+    assert paged.where("_on_border").count() <= partitions * 50
+    plan = paged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange shufflepartitionidpassthrough") == 1 and plan.count("FileScan") == 1
+    both = paged.where("not _on_border").unionAll(paged.where("_on_border").repartition("page"))
+    both.collect()
+    final = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 1 and final.count("FileScan") == 1
+
+
+def _stored(df, folder):
+    df.write.parquet(f"{folder}/stored")
+    return f"{folder}/stored"
+
+
+def test_ranges_past_the_cap_are_not_shuffled(spark):
+    src = many(spark, 1_000)
+    numbered = bronze.number_rows(src, ["ts", "event_id"], 10, last=150)
+    assert numbered.rdd.getNumPartitions() <= 4
+    assert sorted(r._rn for r in numbered.collect()) == list(range(1, 151))
+
+
+def test_source_columns_may_not_clash(spark):
+    with pytest.raises(ValueError, match="page_row"):
+        bronze.bounded_extract(source(spark, 3).withColumn("page_row", F.lit(1)), cfg_for(""))

@@ -4,9 +4,10 @@ The reference pulled ``$where / $order / $limit / $offset`` pages from an HTTP A
 audited every page on the driver. Here the same contract is a Spark plan over a table:
 
 * S9  window filter pushed to the Parquet scan, order ``(ts, key)``, cap ``max_rows``;
-* T3  global row numbers without a single-partition window: range partitioning +
-      per-partition offsets (a broadcast of one row per partition);
-* K1  one CSV file per page, header included, in a fresh batch directory;
+* T3  global row numbers without a single-partition window: ranges from a stored sketch of
+      the keys, as many as the rows and bytes need, counted before the rows are moved;
+* K1  one CSV file per page, header included, in a fresh batch directory, cut from the sorted
+      ranges; only the pages on a border between ranges move again;
 * S10 / S11 page audit as Spark jobs: ``binaryFile`` for bytes + SHA-256 and a
       PERMISSIVE CSV read grouped by file for logical rows and malformed records;
 * S3-S5, S7 manifest read back as JSON and reconciled against the files and the scan.
@@ -14,10 +15,14 @@ audited every page on the driver. Here the same contract is a Spark plan over a
 
 from __future__ import annotations
 
+import json
+import math
+from dataclasses import dataclass
 from datetime import date, datetime, time
+from itertools import accumulate
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,66 +83,129 @@ def extract_window(source: DataFrame, cfg: PipelineConfig, ts_col: str = "ts") -
     return source.filter((ts >= first) & (ts < end))
 
 
-def number_rows(df: DataFrame, order_cols: list[str], partitions: int | None = None) -> DataFrame:
-    """Add ``_rn`` (1-based) in ``order_cols`` order, the keys being unique.
+#: Rows that one task sorts, in bytes of text; and how many keys of the sketch stand for them.
+RANGE_BYTES = 256 << 20
+SKETCH_POINTS = 32
+_MEASURED_ROWS = 1_000
+_HASHES = 1 << 30
+# Borders travel as JSON; instants with their offset, all timestamps to the microsecond.
+_JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+#: Names that the extract adds to the source's own.
+EXTRACT_COLUMNS = ("_rn", "page", "page_row", "_on_border")
 
-    Range partitioning spreads the sort over the cluster; each row's number is the sum
-    of the sizes of the partitions before it plus its position inside its partition.
-    The offsets table has one row per partition, so its broadcast is bounded by ``n``.
-    The partition index and in-partition id are written once to the shared checkpoint
-    folder, so the size pass and the numbering pass read the same stored values (the
-    range sampler is never replayed).
+
+@dataclass(frozen=True)
+class Ranges:
+    """Consecutive ranges of the order keys: the borders between them (JSON) and the rows of each."""
+
+    borders: str
+    key_type: str
+    sizes: tuple[int, ...]
+
+    @property
+    def rows(self) -> int:
+        return sum(self.sizes)
+
+    def of(self, key: Column) -> Column:
+        return _range_of(self.borders, self.key_type, key)
+
+
+def _range_of(borders: str, key_type: str, key: Column) -> Column:
+    """How many borders are at or below ``key``: a binary search in one folded literal, equal keys in one range."""
+    n = len(json.loads(borders))
+    if not n:
+        return F.lit(0)
+    known = F.from_json(F.lit(borders), f"array<{key_type}>", _JSON_TIMES)
+
+    def search(sorted_borders: Column) -> Column:
+        def halve(s: Column, _: Column) -> Column:
+            mid = F.shiftright(s["lo"] + s["hi"], 1)
+            below = F.get(sorted_borders, mid) <= key
+            return F.when(s["lo"] >= s["hi"], s).otherwise(F.struct(
+                F.when(below, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(below, s["hi"]).otherwise(mid).alias("hi")))
+
+        start = F.struct(F.lit(0).alias("lo"), F.size(sorted_borders).alias("hi"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length())), start, halve, lambda s: s["lo"])
+
+    return F.transform(F.array(known), search)[0]
+
+
+def _text_bytes(df: DataFrame) -> Column:
+    """Bytes of a row as text."""
+    return sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+
+
+def sketch_ranges(df: DataFrame, order_cols: list[str], partitions: int | None = None) -> Ranges:
+    """Ranges of about ``RANGE_BYTES`` (or a given number of them), with exact sizes.
+
+    Their number follows from the rows and their bytes. The borders come from a sketch that is
+    written once: the keys whose hash is in the lowest part, about ``SKETCH_POINTS`` for each
+    range, so any pass over the data finds the same borders. Then one pass over the order keys
+    counts each range. The borders and sizes, one of each a range, pass through the driver.
     """
-    spark = df.sparkSession
-    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    tagged = materialize(
-        df.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_mono", F.monotonically_increasing_id()),
-        "numbered",
-    )
-    # Partition sizes: one row per partition (at most ``n``), the same metadata
-    # ``RDD.zipWithIndex`` gathers; prefix sums give each partition's first row number.
-    sizes = sorted((r["_part"], r["_n"]) for r in
-                   tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect())
-    starts, total = [], 0
-    for part, count in sizes:
-        starts.append((part, total))
-        total += count
-    offsets = spark.createDataFrame(starts, "_part int, _offset long")
-    position = F.col("_mono") - F.shiftleft(F.col("_part").cast("long"), 33)
-    return (
-        tagged.join(F.broadcast(offsets), "_part")
-        .select(*df.columns, (F.col("_offset") + position + 1).alias("_rn"))
-    )
+    keys = df.select(*order_cols)
+    rows = keys.count()
+    ranges = partitions
+    if ranges is None:
+        row_bytes = df.limit(_MEASURED_ROWS).agg(F.avg(_text_bytes(df))).first()[0] or 0
+        ranges = max(1, math.ceil(rows * row_bytes / RANGE_BYTES))
+    key_type = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order_cols]).simpleString()
+    borders = "[]"
+    if ranges > 1 and rows:
+        part = min(_HASHES, math.ceil(_HASHES * ranges * SKETCH_POINTS / rows))
+        sketch = materialize(keys.where(F.pmod(F.xxhash64(*order_cols), F.lit(_HASHES)) < part), "key-sketch")
+        points = sketch.count()
+        at = F.row_number().over(Window.orderBy(*order_cols))  # SKETCH_POINTS rows a range, not the data
+        nth = lambda i: F.floor(i * ranges / F.lit(max(points, 1)))
+        chosen = sketch.withColumn("_at", at.cast("long")).where((nth(F.col("_at")) > nth(F.col("_at") - 1)) & (F.col("_at") < points))
+        borders = chosen.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*order_cols))), {**_JSON_TIMES, "ignoreNullFields": "false"})).first()[0]
+    place = _range_of(borders, key_type, F.struct(*order_cols))
+    sizes = {r["_range"]: r["n"] for r in keys.groupBy(place.alias("_range")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return Ranges(borders, key_type, tuple(sizes.get(i, 0) for i in range(max(sizes, default=0) + 1)))
+
+
+def number_rows(df: DataFrame, order_cols: list[str], partitions: int | None = None, last: int | None = None) -> DataFrame:
+    """Add ``_rn`` (1-based) in ``order_cols`` order, the keys being unique; and ``_before``, ``_size`` of the row's range.
+
+    Rows go to the partition of their range by its number, the only shuffle, and are sorted there.
+    A row's number is the rows before its range, known beforehand, and its place inside it.
+    With ``last``, ranges that begin after that row aren't shuffled at all.
+    """
+    known = sketch_ranges(df, order_cols, partitions)
+    before = list(accumulate(known.sizes, initial=0))
+    kept = [i for i in range(len(known.sizes)) if last is None or before[i] < last] or [0]
+    placed = df.withColumn("_range", known.of(F.struct(*order_cols)))
+    if len(kept) < len(known.sizes):
+        placed = placed.where(F.col("_range") <= kept[-1])
+    ordered = placed.repartitionById(len(kept), F.col("_range")).sortWithinPartitions(*order_cols)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    starts = df.sparkSession.createDataFrame([(i, before[i], known.sizes[i]) for i in kept], "_range int, _before long, _size long")
+    numbered = (ordered.withColumn("_place", place).join(F.broadcast(starts), "_range")  # one row a range
+                .select(*df.columns, (F.col("_before") + F.col("_place") + 1).alias("_rn"), "_before", "_size"))
+    return numbered if last is None else numbered.where(F.col("_rn") <= last)
 
 
 def bounded_extract(source: DataFrame, cfg: PipelineConfig, ts_col: str = "ts",
-                    key_col: str = "event_id") -> DataFrame:
+                    key_col: str = "event_id", partitions: int | None = None) -> DataFrame:
     """S9 + T3: the window's rows in ``(ts, key)`` order (the first ``max_rows`` if there is a cap), numbered
-    and paged: ``_rn`` (1-based), ``page`` (0-based int), ``page_row`` (0-based).
+    and paged: ``_rn`` (1-based), ``page`` (0-based int), ``page_row`` (0-based) and ``_on_border``, true for
+    the rows of a page that two or more ranges share.
 
     The cap never funnels through one task (as ``orderBy().limit(k)`` does, merging k rows
-    from every partition in a single reducer): each input partition keeps its own first
-    ``max_rows`` rows (a local sort, no shuffle), the survivors are numbered by the
-    distributed numbering, and rows past ``max_rows`` are dropped.
+    from every partition in a single reducer): ranges past it are left out before the shuffle.
     """
+    clash = sorted(set(source.columns) & {*EXTRACT_COLUMNS, "_range", "_place", "_before", "_size"})
+    if clash:
+        raise ValueError(f"The extract needs these names for itself: {clash}")
     window = extract_window(source, cfg, ts_col)
-    order = [ts_col, key_col]
-    if cfg.max_rows is None:
-        numbered = number_rows(window, order)
-    else:
-        position = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
-        local_top = (window.sortWithinPartitions(*order)
-                     .filter(position < F.lit(cfg.max_rows)))
-        numbered = number_rows(local_top, order).filter(F.col("_rn") <= cfg.max_rows)
+    numbered = number_rows(window, [ts_col, key_col], partitions, cfg.max_rows)
     ps = int(cfg.page_size)
-    return numbered.select(
-        "*",
-        F.expr(f"CAST((_rn - 1) DIV {ps} AS INT)").alias("page"),
-        F.expr(f"CAST((_rn - 1) % {ps} AS INT)").alias("page_row"),
-    )
+    page = F.expr(f"(_rn - 1) DIV {ps}")
+    begins, ends = page * ps, (page + 1) * ps
+    # a page that begins before its range, or would end after it (as the last one does unless it is full)
+    shared = (begins < F.col("_before")) | (ends > F.col("_before") + F.col("_size"))
+    return numbered.select(*source.columns, "_rn", page.cast("int").alias("page"),
+                           F.expr(f"CAST((_rn - 1) % {ps} AS INT)").alias("page_row"), shared.alias("_on_border"))
 
 
 def page_label(page: Column) -> Column:
@@ -160,13 +228,18 @@ def write_pages(paged: DataFrame, columns: list[str | Column], prefix: str,
                 order_cols: list[str]) -> None:
     """One CSV file per page under ``prefix/page=NNNNN/`` with the rows in extract order.
 
-    Rows are hash-partitioned by page (a page never spans two tasks, and a page holds at
-    most 50,000 rows) and sorted inside each task by (page, order), which is the order
-    the partitioned writer needs, so it adds no sort of its own.
+    Pages are cut from the sorted ranges where they lie; only the pages on a border between
+    ranges move, to meet there by page. Both parts read the same shuffle (``ReusedExchange``),
+    and one local sort by (page, order) gives the order that the partitioned writer needs.
+    Rows that don't say whether they are on a border all move by page.
     """
+    if "_on_border" not in paged.columns:
+        paged = paged.withColumn("_on_border", F.lit(True))
+    labelled = paged.withColumn("page", page_label(F.col("page")))
+    inside = labelled.where(~F.col("_on_border"))
+    stitched = labelled.where(F.col("_on_border")).repartition(F.col("page"))
     (
-        paged.withColumn("page", page_label(F.col("page")))
-        .repartition(F.col("page"))
+        inside.unionAll(stitched)
         .sortWithinPartitions("page", *order_cols)
         .select("page", *columns)
         .write.mode("errorifexists")
