@@ -1,12 +1,16 @@
 """Bronze: bounded ordered extract, paging, page sink, page audit and manifest integrity."""
 
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tripgate.config import PipelineConfig
 from tripgate.functions.parsing import RAW_COLUMNS
 from tripgate.plans.pipeline import build_silver, check_bronze, ingest
-from tripgate.sources import bronze, documents
+from tripgate.sources import bronze, csv_pages, documents
 
 PAGE_COLUMNS = ("trip_id", "trip_start_timestamp", "trip_total", "trip_seconds")
 
@@ -127,10 +131,49 @@ def test_page_validation(spark, scratch):
 
 def test_non_csv_payload_fails_header(spark, scratch):
     _write(spark, f"{scratch}/q/page=00000/a.csv", b'{"error":"rate limit"}\n')
-    row = bronze.page_audit(spark, f"{scratch}/q", ["trip_id", "trip_start_timestamp", "trip_total"]).first()
+    row = bronze.page_audit(spark, f"{scratch}/q").first()
     assert not row.header_ok
 
 
+def plain_audit(data: bytes):
+    """(header_ok, rows, malformed) by the csv module."""
+    csv.field_size_limit(1 << 20)
+    try:
+        records = list(csv.reader(io.StringIO(data.decode("utf-8-sig"), newline="")))
+    except UnicodeDecodeError:
+        return False, 0, 0
+    header = records[0] if records else []
+    ok = {"trip_id", "trip_start_timestamp", "trip_total"} <= set(header)
+    return ok, max(len(records) - 1, 0), sum(len(r) != len(header) for r in records[1:])
+
+
+def test_records_split_like_the_csv_module(spark):
+    head = b"trip_id,trip_start_timestamp,trip_total\n"
+    pages = [
+        head, head[:-1], b"", b"\n", head + b"a,b,c", head + b"a,b,c\n\n", head + b"\na,b,c\n", head + b",,\n", head + b"a,b\n,,,\n",
+        b"\xef\xbb\xbf" + head + b"a,b,c\n", head.replace(b"\n", b"\r\n") + b"a,b,c\r\nd,e\r\n", head.replace(b"\n", b"\r") + b"a,b,c\rd,e,f",
+        b'"trip_id","trip_start_timestamp","trip_total","no ""te"""\n1,2,3,4\n', b'"trip_id"x,trip_start_timestamp,trip_total\n1,2,3\n',
+        head + b'"a\nb",c,d\n"e,f","g""\n,h",i\n', head + b'a"b,c"d,e\n1,2,3\n', head + b'"a"b"c,d",e\n', head + b'"open,2,3\n4,5,6\n', head + b'""\n"",,""\n',
+        head + b"\xff,b,c\n", '{"error":"rate limit"}'.encode(), "trip_id,trip_start_timestamp,trip_total\n\u00e9\u2028,b\u0085,c\n".encode(),
+        b"extra," + head + b"1,2,3,4\n1,2,3\n", head + b'"' + b'x""' * 60_000 + b'",b,c\n' + b"y" * 200_000 + b",b,c\n",
+    ]
+    rng = random.Random(4)
+    pages += [head + bytes(rng.choices(b'ab,"\n\r', weights=[4, 4, 4, 2, 2, 1], k=rng.randrange(60))) for _ in range(400)]
+    text = csv_pages.text_of(F.col("data"))
+    got = spark.createDataFrame([(i, d) for i, d in enumerate(pages)], "i int, data binary").select(
+        "i", bronze.header_ok(csv_pages.header_fields(text)).alias("ok"), csv_pages.record_counts(text).alias("c")).collect()
+    for r in got:
+        seen = (r.ok, r.c.rows or 0, r.c.malformed_rows or 0)
+        assert seen == plain_audit(pages[r.i]), pages[r.i][:200]
+
+
+def test_each_page_has_its_own_header(spark, scratch):
+    _write(spark, f"{scratch}/h/page=00000/a.csv", b"trip_id,trip_start_timestamp,trip_total\na,b,c\n")
+    _write(spark, f"{scratch}/h/page=00001/a.csv", b"note,trip_total,trip_id,trip_start_timestamp\na,b,c,d\na,b,c\n")
+    got = {r.page: (r.header_ok, r.rows, r.malformed_rows) for r in bronze.page_audit(spark, f"{scratch}/h").collect()}
+    assert got == {"00000": (True, 1, 0), "00001": (True, 2, 1)}
+
+
 def test_manifest_names_the_faulty_pages(spark, scratch):
     audit = spark.createDataFrame(
         [("k0", "00000", 9, "x", True, 3, 1, 0), ("k1", "00001", 9, "x", False, 3, 0, 0), ("k2", "00002", 9, "x", True, 4, 0, 0)],

@@ -8,8 +8,8 @@ audited every page on the driver. Here the same contract is a Spark plan over a
       the keys, as many as the rows and bytes need, counted before the rows are moved;
 * K1  one CSV file per page, header included, in a fresh batch directory, cut from the sorted
       ranges; only the pages on a border between ranges move again;
-* S10 / S11 page audit as Spark jobs: ``binaryFile`` for bytes + SHA-256 and a
-      PERMISSIVE CSV read grouped by file for logical rows and malformed records;
+* S10 / S11 page audit in one read: bytes, SHA-256, header, logical rows and malformed
+      records of each page by column expressions (``csv_pages``);
 * S3-S5, S7 manifest read back as JSON and reconciled against the files and the scan.
 """
 
@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from tripgate.config import PipelineConfig
 from tripgate.session import materialize
+from tripgate.sources import csv_pages
 from tripgate.sources.documents import holds
 
 # The columns a page header must contain.
@@ -249,93 +250,53 @@ def write_pages(paged: DataFrame, columns: list[str | Column], prefix: str,
     )
 
 
-def _header(content):
-    """First line of a page, BOM / CR / quotes removed, split on commas."""
-    first = F.substring_index(F.decode(content, "UTF-8"), "\n", 1)
-    return F.split(F.regexp_replace(F.regexp_replace(first, "^\ufeff|\r$", ""), '"', ""), ",")
+#: Files of a batch folder that count as pages; Spark itself leaves out names that begin with ``_`` or ``.``.
+PAGE_SUFFIXES = (".csv", ".txt")
 
 
 def _page_reader(reader, paths):
     """A batch folder is read as one root (one listing, no glob); explicit lists as given."""
     if isinstance(paths, str):
-        return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv"), paths
+        return reader.option("recursiveFileLookup", "true"), paths.rstrip("/")
     return reader, paths
 
 
-def page_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """S5 / S10 observation in one read of each file: ``key, page, bytes, sha256, header``.
-
-    ``paths`` is a batch folder (every ``*.csv`` below it) or an explicit list of files.
-    """
+def _whole_pages(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """``key, page, bytes, content`` of every file of a batch folder, or of an explicit list of files."""
     reader, paths = _page_reader(spark.read.format("binaryFile"), paths)
-    return (
-        reader.load(paths)
-        .select(
-            F.col("path").alias("key"),
-            F.regexp_extract("path", r"/page=(\d+)/", 1).alias("page"),
-            F.col("length").alias("bytes"),
-            F.sha2(F.col("content"), 256).alias("sha256"),
-            _header(F.col("content")).alias("header"),
-        )
-    )
+    return reader.load(paths).select(
+        F.col("path").alias("key"), F.regexp_extract("path", r"/page=(\d+)/", 1).alias("page"), F.col("length").alias("bytes"), "content")
 
 
-# ---- S10: page validation --------------------------------------------------------------------
-
-def validate_pages(spark: SparkSession, paths: list[str] | str, header: list[str]) -> DataFrame:
-    """Per page: ``key, rows, malformed_rows, blank_rows`` from one multiLine CSV read.
+def page_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """S5 observation in one read of each file: ``key, page, bytes, sha256``."""
+    return _whole_pages(spark, paths).select("key", "page", "bytes", F.sha2(F.col("content"), 256).alias("sha256"))
 
-    Logical rows are counted by a multiLine CSV read (quoted newlines stay inside one
-    record); a record whose width differs from the header is counted as malformed.
-    """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
-                          + [T.StructField("_corrupt_record", T.StringType())])
-    reader, paths = _page_reader(spark.read.schema(schema), paths)
-    return (
-        reader
-        .option("header", "true").option("multiLine", "true").option("mode", "PERMISSIVE")
-        # The header line is only skipped here; it is checked on its own (``header_ok``),
-        # so a wrong header is reported instead of failing the job.
-        .option("columnNameOfCorruptRecord", "_corrupt_record").option("enforceSchema", "true")
-        .csv(paths)
-        .groupBy(F.col("_metadata.file_path").alias("key"))
-        .agg(F.count(F.lit(1)).alias("rows"),
-             F.count_if(F.col("_corrupt_record").isNotNull()).alias("malformed_rows"),
-             # References every data column, so pruning cannot hide a width error.
-             F.count_if(F.coalesce(*[F.col(c) for c in header]).isNull()).alias("blank_rows"))
-    )
 
+# ---- S10: page validation --------------------------------------------------------------------
 
 def header_ok(header: Column) -> Column:
-    return F.forall(F.array(*[F.lit(c) for c in HEADER_REQUIRED]), lambda c: F.array_contains(header, c))
-
-
-def first_header(spark: SparkSession, paths: list[str] | str) -> list[str]:
-    return page_files(spark, paths).select("header").first()["header"]
-
+    return F.coalesce(F.forall(F.array(*[F.lit(c) for c in HEADER_REQUIRED]), lambda c: F.array_contains(header, c)), F.lit(False))
 
-# ---- S11: manifest ---------------------------------------------------------------------------
 
-def page_audit(spark: SparkSession, prefix: str, header: list[str] | None = None) -> DataFrame:
-    """``key, page, bytes, sha256, header_ok, rows, malformed_rows, blank_rows`` per page.
+def page_audit(spark: SparkSession, prefix: str) -> DataFrame:
+    """``key, page, bytes, sha256, header_ok, rows, malformed_rows, blank_rows`` per page, from one read of it.
 
-    One binary read per page (bytes, hash, header) and one CSV read (rows, widths).
-    ``header`` is the expected header (what the writer wrote); by default the first page's.
+    Every page is held against its own header: records (quoted line ends stay inside one) of
+    another width are malformed. A page that isn't UTF-8 has no header and no rows.
     """
-    if not holds(spark, prefix, ".csv"):
+    if not holds(spark, prefix, PAGE_SUFFIXES):
         raise ValueError(f"No CSV pages under {prefix}")
-    paths = prefix.rstrip("/")  # the batch folder: every page written below it
-    files = page_files(spark, paths)
-    checks = validate_pages(spark, paths, header or first_header(spark, paths))
-    return (
-        files.join(checks, "key", "left")
-        .select("key", "page", "bytes", "sha256", header_ok(F.col("header")).alias("header_ok"),
-                F.coalesce("rows", F.lit(0)).alias("rows"),
-                F.coalesce("malformed_rows", F.lit(0)).alias("malformed_rows"),
-                F.coalesce("blank_rows", F.lit(0)).alias("blank_rows"))
-    )
+    text = csv_pages.text_of(F.col("content"))
+    read = _whole_pages(spark, prefix).select(
+        "key", "page", "bytes", F.sha2(F.col("content"), 256).alias("sha256"),
+        header_ok(csv_pages.header_fields(text)).alias("header_ok"), csv_pages.record_counts(text).alias("seen"))
+    return read.select("key", "page", "bytes", "sha256", "header_ok",
+                       *[F.coalesce(F.col(f"seen.{c}"), F.lit(0)).alias(c) for c in ("rows", "malformed_rows", "blank_rows")])
 
 
+# ---- S11: manifest ---------------------------------------------------------------------------
+
 PAGE_ENTRY_COLUMNS = ("key", "rows", "bytes", "sha256")
 
 

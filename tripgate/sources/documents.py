@@ -29,8 +29,8 @@ def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     return bool(fs.delete(p, recursive))
 
 
-def holds(spark: SparkSession, path: str, suffix: str) -> bool:
-    """Whether a file below ``path`` ends with ``suffix``; the walk stops at the first one."""
+def holds(spark: SparkSession, path: str, suffix: str | tuple[str, ...]) -> bool:
+    """Whether a file below ``path`` ends with ``suffix`` (or one of several); the walk stops at the first one."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return False
