@@ -37,6 +37,7 @@ class BatchHistory:
     metrics: DataFrame
     validation: DataFrame
     manifest: DataFrame
+    inputs: DataFrame
     gated: DataFrame
     reasons: DataFrame
 
@@ -92,9 +93,10 @@ def batch_history(spark: SparkSession, sf_dir: str, limits: TripLimits = TripLim
         rollup, tables["daily_revenue"], tables["daily_trip_metrics"], tables["top_pickup_zones"], by=BY,
         silver_rows=F.col("n"), silver_revenue=F.col("revenue"))
     manifest = batch_manifests(s, sf_dir)
-    gated = quality.evaluate_gate(quality.gate_input(metrics, validation, manifest), policy, now)
+    inputs = quality.gate_input(metrics, validation, manifest)
+    gated = quality.evaluate_gate(inputs, policy, now)
     dup_reasons = metrics.filter(F.col("duplicate_valid_rows") > 0).select(
         *BY, F.lit(DUPLICATE_REASON).alias("reject_reason"), F.col("duplicate_valid_rows").alias("reject_count"))
     reasons = (by_reason.filter(reason != "").select(*BY, "reject_reason", F.col("n").alias("reject_count"))
                .unionByName(dup_reasons))
-    return BatchHistory(result, tables, metrics, validation, manifest, gated, reasons)
+    return BatchHistory(result, tables, metrics, validation, manifest, inputs, gated, reasons)

@@ -14,22 +14,27 @@ from tripgate.plans.publish import QUALITY_TABLES, read_published
 from tripgate.session import zoned_session
 from tripgate.sources import schemas
 
-# Each KPI shows a Gold table in the order of its leading column, in the pipe form of Spark's SQL.
-KPI_TABLES = {
-    "kpi_daily_revenue": "daily_revenue",
-    "kpi_daily_metrics": "daily_trip_metrics",
-    "kpi_top_zones": "top_pickup_zones",
+# The KPIs are the Gold tables in order; their columns are fixed values of ``schemas.GOLD``.
+KPI_SQL = {
+    "kpi_daily_revenue": "SELECT * FROM daily_revenue ORDER BY trip_date",
+    "kpi_daily_metrics": "SELECT * FROM daily_trip_metrics ORDER BY trip_date",
+    "kpi_top_zones": "SELECT * FROM top_pickup_zones ORDER BY rank",
 }
-KPI_SQL = {key: f"FROM {name} |> SELECT {', '.join(schemas.GOLD[name].names)} |> ORDER BY {schemas.GOLD[name].names[0]}"
-           for key, name in KPI_TABLES.items()}
 KPI_SCRIPT = ";\n".join(KPI_SQL.values()) + ";"
 
+# The names of the output columns.
 OPS_SQL = {
-    "ops_rejects_by_batch": "FROM rejected_records |> AGGREGATE count(*) AS rows_n GROUP BY batch_id, reject_type, reject_reason |> ORDER BY rows_n DESC",
-    "ops_rejects": "FROM rejected_records |> AGGREGATE count(*) AS records GROUP BY reject_reason, reject_type |> ORDER BY records DESC",
-    "ops_gate_history": "FROM quality_batch |> ORDER BY checked_at_utc DESC |> SELECT batch_id, gate_status, reject_rate, duplicate_rate, violations",
+    "ops_rejects_by_batch": """
+        SELECT batch_id, reject_type, reject_reason, count(*) AS rows_n FROM rejected_records
+        GROUP BY ALL ORDER BY rows_n DESC, batch_id, reject_type, reject_reason""",
+    "ops_rejects": """
+        SELECT reject_reason, reject_type, count(*) AS records FROM rejected_records
+        GROUP BY ALL ORDER BY records DESC, reject_reason, reject_type""",
+    "ops_gate_history": """
+        SELECT batch_id, gate_status, reject_rate, duplicate_rate, violations FROM quality_batch
+        ORDER BY checked_at_utc DESC, batch_id""",
     # A sample of the metrics: the first 20 days.
-    "ops_metrics_sample": "FROM daily_trip_metrics |> ORDER BY trip_date |> LIMIT 20",
+    "ops_metrics_sample": "SELECT * FROM daily_trip_metrics ORDER BY trip_date LIMIT 20",
 }
 
 

@@ -1,8 +1,8 @@
-"""A lake built by the real pipeline over ``events``: a batch for each half of its days, then two retries.
+"""A lake built by the real pipeline over ``events``: a batch of the first half of its days, one of all, then two retries.
 
 The publication, history, KPI and operations keys read this lake. Batch ids and the
 clock are fixed so results are reproducible: the batches are judged at the instant they
-were extracted (age 0 h). Together the windows cover every event. After both runs, the gate step of the first batch is retried
+were extracted (age 0 h). The published state is that of the second batch, which holds every event. After both runs, the gate step of the first batch is retried
 (its history rows are rewritten, not doubled) and the live batch is published again (a
 no-op). The lake is built once per Spark application and input folder.
 """
@@ -21,11 +21,8 @@ from tripgate.plans.publish import publish
 from tripgate.session import scratch_dir, zoned_session
 from tripgate.sources.adapters import TRIP_ADAPTER_COLUMNS, read_table
 
-# The windows of the given tables (end exclusive), which the SQL has, and the pipeline clock; lakes take theirs from the events.
-LAKE_WINDOWS = (
-    ("w01", "2024-01-01", "2024-01-16"),
-    ("w02", "2024-01-16", "2024-01-31"),
-)
+# Batch ids of the two runs, in order: the first half of the events' days, then all of them.
+LAKE_BATCHES = ("w01", "w02")
 LAKE_CLOCK = datetime(2024, 2, 1, 6, 0, tzinfo=timezone.utc)
 
 _LAKES: dict[tuple[str, str], PipelineConfig] = {}
@@ -41,20 +38,18 @@ def window_config(root: str, start: str, end: str) -> PipelineConfig:
 
 
 def event_days(events: DataFrame, ts_col: str = "ts") -> tuple[date, date]:
-    """The first day of the events and the day after the last; those of ``LAKE_WINDOWS`` if there are none."""
+    """The first day of the events and the day after the last; a day long past if there are none."""
     first, last = events.agg(F.to_date(F.min(ts_col)), F.to_date(F.max(ts_col))).first()
     if first is None:
-        return date.fromisoformat(LAKE_WINDOWS[0][1]), date.fromisoformat(LAKE_WINDOWS[-1][2])
+        first = last = date(1970, 1, 1)
     return first, last + timedelta(days=1)
 
 
 def event_windows(events: DataFrame) -> tuple[tuple[str, str, str], ...]:
-    """(batch, start, end) of the halves of the events' days; a single day is one window."""
+    """(batch, start, end): the first half of the events' days (the larger one), then all their days."""
     first, end = event_days(events)
-    if (end - first).days < 2:
-        return ((LAKE_WINDOWS[0][0], first.isoformat(), end.isoformat()),)
     middle = first + timedelta(days=((end - first).days + 1) // 2)
-    return ((LAKE_WINDOWS[0][0], first.isoformat(), middle.isoformat()), (LAKE_WINDOWS[1][0], middle.isoformat(), end.isoformat()))
+    return tuple((batch, first.isoformat(), until.isoformat()) for batch, until in zip(LAKE_BATCHES, (middle, end), strict=True))
 
 
 def demo_lake(spark: SparkSession, sf_dir: str) -> PipelineConfig:

@@ -8,6 +8,8 @@ adapter timestamp lies in Central Standard Time, so the offset is the constant -
 
 from __future__ import annotations
 
+from tripgate.plans.scenarios import DAY, SCENARIO_RULES
+from tripgate.sources import faults
 from tripgate.sources.adapters import ADAPTER_SELECT
 
 SILVER_COLS = ("trip_id, trip_start_ts, trip_end_ts, trip_seconds, trip_miles, trip_total_usd, "
@@ -40,19 +42,18 @@ _ROW_JSON = " , ".join([
 DAY_BATCH = "strftime(ts, '%Y-%m-%d')"
 
 
-def silver_ctes(batch_expr: str | None = None, where: str | None = None) -> str:
+def silver_ctes(batch_expr: str | None = None, source: str = "events") -> str:
     """raw -> parsed -> typed -> classified -> hashed -> ranked -> clean / dups.
 
-    ``batch_expr`` (SQL over ``events``) adds a ``batch_id`` that scopes the dedup;
-    ``where`` restricts the events read.
+    ``batch_expr`` (SQL over the source) adds a ``batch_id`` that scopes the dedup;
+    ``source`` is what the events are read from.
     """
     batched = batch_expr is not None
     b = "batch_id, " if batched else ""
     part = "batch_id, trip_id" if batched else "trip_id"
     raw_batch = f"{batch_expr} AS batch_id, " if batched else ""
-    cond = f" WHERE {where}" if where else ""
     return f"""
-raw AS (SELECT {raw_batch}{ADAPTER_SELECT} FROM events{cond}),
+raw AS (SELECT {raw_batch}{ADAPTER_SELECT} FROM {source}),
 parsed AS (
   SELECT {b}trim(trip_id, ' ') AS trip_id,
          TRY_CAST(trip_start_timestamp AS TIMESTAMP) AS trip_start_ts,
@@ -123,10 +124,12 @@ def _with(*parts: str) -> str:
     return "WITH " + "".join(parts).lstrip()
 
 
-def history_ctes(batch_expr: str, where: str | None, extracted_sql: str, recorded_sql: str,
-                 now_ts: str, checked_at: str, max_age_hours: float) -> str:
-    """Per-batch metrics, validation, manifest and the gate, as in the relational gate."""
-    return _with(silver_ctes(batch_expr, where), gold_ctes(True), f""",
+def history_ctes(batch_expr: str, source: str, extracted_sql: str, recorded_sql: str,
+                 now_ts: str, checked_at: str, max_age_hours: float, rules: dict[str, str] | None = None) -> str:
+    """Per-batch metrics, validation, manifest and the gate, as in the relational gate; ``rules`` alter its inputs."""
+    altered = ", ".join(f"{rule} AS {c}" for c, rule in (rules or {}).items())
+    scenario = f"""SELECT * REPLACE ({altered}) FROM (SELECT *, {DAY} AS day FROM joined)""" if altered else "SELECT * FROM joined"
+    return _with(silver_ctes(batch_expr, source), gold_ctes(True), f""",
 m_raw AS (SELECT batch_id, count(*) AS raw_rows,
                  count(*) FILTER (WHERE reject_reason <> '') AS rejected_rows
           FROM classified GROUP BY batch_id),
@@ -153,19 +156,21 @@ validation AS (
 manifest AS (
   SELECT {batch_expr} AS batch_id, max({extracted_sql}) AS extracted_at_utc,
          max({recorded_sql}) AS recorded_at_utc
-  FROM events{f" WHERE {where}" if where else ""} GROUP BY 1),
+  FROM {source} GROUP BY 1),
 joined AS (
   SELECT m.*, v.batch_id AS validation_batch_id, v.silver_rows, v.daily_count_sum, v.metrics_count_sum,
          v.revenue_matches, v.gold_daily_rows, v.gold_top_zones_rows, v.null_zone_ranks,
-         f.batch_id AS manifest_batch_id, f.extracted_at_utc, f.recorded_at_utc,
-         m.raw_rows - m.clean_rows - m.rejected_rows - m.duplicate_valid_rows AS reconciliation_delta,
-         CASE WHEN m.raw_rows <> 0 THEN m.rejected_rows / m.raw_rows ELSE 1.0 END AS reject_rate,
-         CASE WHEN m.raw_rows <> 0 THEN m.duplicate_valid_rows / m.raw_rows ELSE 1.0 END AS duplicate_rate,
-         (epoch(TIMESTAMP '{now_ts}')
-          - epoch(TRY_CAST(replace(substr(f.extracted_at_utc, 1, 19), 'T', ' ') AS TIMESTAMP))) / 3600.0
-           AS extract_age_hours
+         f.batch_id AS manifest_batch_id, f.extracted_at_utc, f.recorded_at_utc
   FROM metrics m LEFT JOIN validation v ON m.batch_id = v.batch_id
        LEFT JOIN manifest f ON m.batch_id = f.batch_id),
+rated AS (
+  SELECT *, raw_rows - clean_rows - rejected_rows - duplicate_valid_rows AS reconciliation_delta,
+         CASE WHEN raw_rows <> 0 THEN rejected_rows / raw_rows ELSE 1.0 END AS reject_rate,
+         CASE WHEN raw_rows <> 0 THEN duplicate_valid_rows / raw_rows ELSE 1.0 END AS duplicate_rate,
+         CASE WHEN regexp_matches(extracted_at_utc, 'T.*[+]00:00$') THEN
+           (epoch(TIMESTAMP '{now_ts}')
+            - epoch(TRY_CAST(replace(substr(extracted_at_utc, 1, 19), 'T', ' ') AS TIMESTAMP))) / 3600.0 END AS extract_age_hours
+  FROM ({scenario})),
 gate AS (
   SELECT *, concat_ws(';',
     CASE WHEN batch_id IS NULL OR validation_batch_id IS NULL OR manifest_batch_id IS NULL
@@ -184,16 +189,17 @@ gate AS (
     CASE WHEN coalesce(gold_top_zones_rows, 0) NOT BETWEEN 1 AND 10 THEN 'top_zones_cardinality' END,
     CASE WHEN coalesce(null_zone_ranks, 1) <> 0 THEN 'null_zone_rank' END) AS violations,
     '{checked_at}' AS checked_at_utc
-  FROM joined)""")
+  FROM rated)""")
 
 
 _SILVER = _with(silver_ctes())
 _GOLD = _with(silver_ctes(), gold_ctes())
-_HIST = history_ctes(
-    DAY_BATCH, None,
+_BY_DAY = dict(
     extracted_sql="strftime(CAST(ts AS DATE) + INTERVAL 1 DAY, '%Y-%m-%dT01:00:00+00:00')",
     recorded_sql="strftime(CAST(ts AS DATE) + INTERVAL 1 DAY, '%Y-%m-%dT01:30:00+00:00')",
     now_ts="2024-02-01 00:00:00", checked_at="2024-02-01T00:00:00+00:00", max_age_hours=72)
+_HIST = history_ctes(DAY_BATCH, "events", **_BY_DAY)
+_SCENARIOS = history_ctes(DAY_BATCH, "events", **_BY_DAY, rules=SCENARIO_RULES)
 
 
 def _q(prefix: str, body: str) -> str:
@@ -237,7 +243,7 @@ SELECT m.batch_id, m.raw_rows, m.clean_rows, m.rejected_rows, m.duplicate_valid_
        coalesce(v.gold_daily_rows, 0) AS gold_daily_rows, coalesce(v.gold_top_zones_rows, 0) AS gold_top_zones_rows,
        coalesce(v.null_zone_ranks, 0) AS null_zone_ranks
 FROM metrics m LEFT JOIN validation v ON m.batch_id = v.batch_id"""),
-    "gate_evaluate": _q(_HIST, """
+    "gate_evaluate": _q(_SCENARIOS, """
 SELECT batch_id, CASE WHEN violations = '' THEN 'PASS' ELSE 'FAIL' END AS status, violations,
        reject_rate, duplicate_rate, reconciliation_delta, extract_age_hours, checked_at_utc
 FROM gate"""),
@@ -262,58 +268,83 @@ _CSV_LINE = "concat_ws(',', " + ", ".join(f"coalesce({c}, '')" for c in _RAW_NAM
 _CSV_HEADER = ",".join(_RAW_NAMES)
 
 
-def bronze_ctes(start: str, end: str, page_size: int) -> str:
+def bronze_ctes(page_size: int) -> str:
+    """Pages over all events, in order, with their bodies as text."""
     return f"""WITH
-ext AS (SELECT * FROM events WHERE ts >= TIMESTAMP '{start} 00:00:00' AND ts < TIMESTAMP '{end} 00:00:00'),
-num AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS rn FROM ext),
+num AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS rn FROM events),
 paged AS (SELECT *, CAST((rn - 1) // {page_size} AS INTEGER) AS page,
                  CAST((rn - 1) % {page_size} AS INTEGER) AS page_row FROM num),
-adapted AS (SELECT rn, page, {ADAPTER_SELECT} FROM paged),
+adapted AS (SELECT rn, page, page_row, {ADAPTER_SELECT} FROM paged),
+lines AS (
+  SELECT rn, page, page_row, {_CSV_LINE} AS line, coalesce(trip_id, '') AS id, substr({_CSV_LINE}, length(coalesce(trip_id, '')) + 1) AS rest,
+         coalesce({", ".join(_RAW_NAMES)}) IS NULL AS blank
+  FROM adapted),
 pages AS (
-  SELECT printf('%05d', page) AS page, count(*) AS rows,
-         count(*) FILTER (WHERE coalesce({", ".join(_RAW_NAMES)}) IS NULL) AS blank_rows,
-         '{_CSV_HEADER}' || chr(10) || string_agg({_CSV_LINE}, chr(10) ORDER BY rn) || chr(10) AS body
-  FROM adapted GROUP BY page)"""
+  SELECT page, count(*) AS rows, '{_CSV_HEADER}' || chr(10) || string_agg(line, chr(10) ORDER BY rn) || chr(10) AS body,
+         length(arg_max(line, rn)) + 1 AS last_line
+  FROM lines GROUP BY page)"""
 
 
-def lake_batch_expr(windows) -> str:
-    whens = " ".join(f"WHEN ts < TIMESTAMP '{end} 00:00:00' THEN '{b}'" for b, _s, end in windows)
-    return f"CASE {whens} END"
-
-
-def lake_where(start: str, end: str) -> str:
-    return f"ts >= TIMESTAMP '{start} 00:00:00' AND ts < TIMESTAMP '{end} 00:00:00'"
+def lake_windows(batches) -> str:
+    """(batch, start, end): the first half of the events' days, and all of them."""
+    first, second = batches
+    return f"""
+days AS (SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) + 1 AS hi FROM events),
+windows AS (
+  SELECT '{first}' AS batch, lo AS start_day, lo + CAST((hi - lo + 1) // 2 AS INTEGER) AS end_day FROM days
+  UNION ALL SELECT '{second}', lo, hi FROM days),
+windowed AS (SELECT batch, events.* FROM events JOIN windows ON ts >= start_day AND ts < end_day),"""
 
 
 def _bronze_sql() -> dict[str, str]:
-    from tripgate.plans.queries import (BRONZE_END, BRONZE_PAGE_SIZE, BRONZE_START,
-                                        EXTRACT_END, EXTRACT_START)
+    from tripgate.plans.queries import BRONZE_PAGE_SIZE, EXTRACT_END, EXTRACT_START
 
-    ctes = bronze_ctes(BRONZE_START, BRONZE_END, BRONZE_PAGE_SIZE)
+    ctes = bronze_ctes(BRONZE_PAGE_SIZE)
     return {
-        "extract_window": f"SELECT * FROM events WHERE {lake_where(EXTRACT_START, EXTRACT_END)}",
+        "extract_window": f"SELECT * FROM events WHERE ts >= TIMESTAMP '{EXTRACT_START} 00:00:00' AND ts < TIMESTAMP '{EXTRACT_END} 00:00:00'",
         "extract_pages": _q(ctes, "SELECT event_id, ts, rn, page, page_row FROM paged"),
-        "page_manifest": _q(ctes, "SELECT page, rows, strlen(body) AS bytes, sha256(body) AS sha256 FROM pages"),
-        "page_validation": _q(ctes, "SELECT page, true AS header_ok, rows, CAST(0 AS BIGINT) AS malformed_rows, blank_rows FROM pages"),
+        "page_manifest": _q(ctes, "SELECT printf('%05d', page) AS page, rows, strlen(body) AS bytes, sha256(body) AS sha256 FROM pages"),
+        "page_validation": _q(ctes, f""",
+altered AS (
+  SELECT page, rn, {faults.LINE_RULE} AS line, ({faults.MALFORMED}) AS malformed,
+         ({faults.BLANK_MADE}) OR (blank AND NOT ({faults.MALFORMED}) AND NOT ({faults.BLANK_GONE})) AS empty
+  FROM lines WHERE {faults.HAS_RECORDS}),
+bodies AS (
+  SELECT page, count(*) AS rows, count(*) FILTER (WHERE malformed) AS malformed_rows, count(*) FILTER (WHERE empty) AS blank_rows,
+         string_agg(line, chr(10) ORDER BY rn) || chr(10) AS body
+  FROM altered GROUP BY page),
+whole AS (
+  SELECT page, coalesce(b.rows, 0) AS rows, coalesce(malformed_rows, 0) AS malformed_rows, coalesce(blank_rows, 0) AS blank_rows,
+         {faults.HEADER_RULE} || chr(10) || coalesce(b.body, '') AS body
+  FROM pages LEFT JOIN bodies b USING (page))
+SELECT printf('%05d', page) AS page, {faults.HEADER_GOOD} AS header_ok, rows, malformed_rows, blank_rows,
+       strlen(body) AS bytes, sha256(body) AS sha256
+FROM whole"""),
         "bronze_csv_scan": _q(ctes, f"SELECT {', '.join(_RAW_NAMES)} FROM adapted"),
-        "bronze_integrity": _q(ctes, """
-SELECT page, rows, rows AS scanned_rows, true AS present, true AS bytes_ok, true AS sha256_ok,
-       true AS manifest_consistent
-FROM pages"""),
+        "bronze_integrity": _q(ctes, f""",
+stored AS (
+  SELECT page, rows, body, CASE WHEN NOT ({faults.MISSING}) THEN {faults.BODY_RULE} END AS found FROM pages),
+checked AS (
+  SELECT page, rows, true AS listed, found IS NOT NULL AS present, coalesce(strlen(found) = strlen(body), false) AS bytes_ok,
+         coalesce(sha256(found) = sha256(body), false) AS sha256_ok,
+         coalesce(length(found) - length(replace(found, chr(10), '')) - 1, 0) AS scanned_rows
+  FROM stored
+  UNION ALL
+  SELECT page + {faults.STRAY_OFFSET}, NULL, false, true, false, false, 1 FROM pages WHERE {faults.STRAY})
+SELECT batch, printf('%05d', page) AS page, rows, CAST(scanned_rows AS BIGINT) AS scanned_rows, listed, present, bytes_ok, sha256_ok, batch = 'faulty' AS manifest_consistent
+FROM checked, (VALUES ('faulty'), ('wrong_total')) AS t(batch)"""),
     }
 
 
 def _lake_sql() -> dict[str, str]:
-    from tripgate.plans.lake import LAKE_CLOCK, LAKE_WINDOWS
+    from tripgate.plans.lake import LAKE_BATCHES, LAKE_CLOCK
 
-    _b, last_start, last_end = LAKE_WINDOWS[-1]
-    first_start = LAKE_WINDOWS[0][1]
     clock_iso = LAKE_CLOCK.isoformat()
-    gold_last = _with(silver_ctes(None, lake_where(last_start, last_end)), gold_ctes())
-    hist = history_ctes(lake_batch_expr(LAKE_WINDOWS), lake_where(first_start, last_end),
-                        extracted_sql=f"'{clock_iso}'", recorded_sql=f"'{clock_iso}'",
-                        now_ts=LAKE_CLOCK.strftime("%Y-%m-%d %H:%M:%S"), checked_at=clock_iso,
-                        max_age_hours=24)
+    windows = lake_windows(LAKE_BATCHES)
+    gold_last = _GOLD  # the last batch holds all events
+    hist = "WITH " + windows.lstrip() + history_ctes(
+        "batch", "windowed", extracted_sql=f"'{clock_iso}'", recorded_sql=f"'{clock_iso}'",
+        now_ts=LAKE_CLOCK.strftime("%Y-%m-%d %H:%M:%S"), checked_at=clock_iso, max_age_hours=24).removeprefix("WITH ")
     rejects = "(SELECT batch_id, reject_reason, 'invalid' AS reject_type FROM invalid UNION ALL " \
               "SELECT batch_id, reject_reason, 'duplicate' AS reject_type FROM dups)"
     return {

@@ -22,8 +22,9 @@ from tripgate.plans import history, kpi
 from tripgate.plans.lake import LAKE_CLOCK, demo_lake, event_days
 from tripgate.plans.pipeline import ingest
 from tripgate.plans.publish import read_published, verify_publication
+from tripgate.plans.scenarios import with_scenarios
 from tripgate.session import scratch_dir, zoned_session
-from tripgate.sources import bronze
+from tripgate.sources import bronze, documents, faults
 from tripgate.sources.adapters import TRIP_ADAPTER_COLUMNS, raw_trips, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,8 +113,10 @@ def gate_metrics(spark, sf_dir):
 
 
 def gate_evaluate(spark, sf_dir):
+    """Every batch judged, with something wrong on most days: all violation codes occur."""
     h = history.batch_history(spark, sf_dir)
-    return h.gated.select(
+    judged = quality.evaluate_gate(with_scenarios(h.inputs), history.HISTORY_POLICY, history.HISTORY_NOW)
+    return judged.select(
         "batch_id", "status", F.array_join("violations", ";").alias("violations"),
         "reject_rate", "duplicate_rate", "reconciliation_delta", "extract_age_hours", "checked_at_utc")
 
@@ -151,13 +154,11 @@ SILVER_GOLD_QUERIES: dict[str, Query] = {
 
 # ---- Bronze: one landing of the whole events range per application and input ----------------
 
-# the days of the given tables, which the SQL has; landings take theirs from the events
-BRONZE_START, BRONZE_END = "2024-01-01", "2024-01-31"
 BRONZE_PAGE_SIZE = 1000
 EXTRACT_START, EXTRACT_END = "2024-01-03", "2024-01-24"
 
 _LANDINGS: dict = {}
-_LANDING_LOCK = threading.Lock()
+_LANDING_LOCK = threading.RLock()
 
 
 def bronze_config(events: DataFrame, root: str = "") -> PipelineConfig:
@@ -165,21 +166,25 @@ def bronze_config(events: DataFrame, root: str = "") -> PipelineConfig:
     return PipelineConfig(start_date=first.isoformat(), end_date=end.isoformat(), page_size=BRONZE_PAGE_SIZE, root=root)
 
 
-def bronze_landing(spark: SparkSession, sf_dir: str) -> dict:
-    """Run the ingest step once (pages + manifest) and remember where it landed."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _once(spark: SparkSession, sf_dir: str, what: str, build):
+    """``build`` once per application and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
     with _LANDING_LOCK:
-        return _landing(spark, sf_dir, key)
+        if key not in _LANDINGS:
+            _LANDINGS[key] = build(spark, sf_dir)
+        return _LANDINGS[key]
+
+
+def bronze_landing(spark: SparkSession, sf_dir: str) -> dict:
+    """The ingest step (pages and manifest), run once, and where it landed."""
+    return _once(spark, sf_dir, "landing", _land)
 
 
-def _landing(spark: SparkSession, sf_dir: str, key) -> dict:
-    if key not in _LANDINGS:
-        events = read_table(zoned_session(spark), sf_dir, "events")
-        cfg = bronze_config(events, scratch_dir(spark, "bronze"))
-        info = ingest(spark, cfg, events, batch_id="b0", columns=TRIP_ADAPTER_COLUMNS, source_url="table:events",
-                      clock=lambda: LAKE_CLOCK)
-        _LANDINGS[key] = {**info, "cfg": cfg}
-    return _LANDINGS[key]
+def _land(spark: SparkSession, sf_dir: str) -> dict:
+    events = read_table(zoned_session(spark), sf_dir, "events")
+    cfg = bronze_config(events, scratch_dir(spark, "bronze"))
+    info = ingest(spark, cfg, events, batch_id="b0", columns=TRIP_ADAPTER_COLUMNS, source_url="table:events", clock=lambda: LAKE_CLOCK)
+    return {**info, "cfg": cfg}
 
 
 def extract_window(spark, sf_dir):
@@ -208,10 +213,18 @@ def page_manifest(spark, sf_dir):
 
 
 def page_validation(spark, sf_dir):
+    """The audit over pages good and bad: other headers, wrong widths, quoted line ends, error documents."""
     spark = zoned_session(spark)
-    landing = bronze_landing(spark, sf_dir)
-    checks = bronze.page_audit(spark, _pages_root(landing))
-    return checks.select("page", "header_ok", "rows", "malformed_rows", "blank_rows")
+    root = _once(spark, sf_dir, "faulty-pages", _faulty_pages)
+    return bronze.page_audit(spark, root).select("page", "header_ok", "rows", "malformed_rows", "blank_rows", "bytes", "sha256")
+
+
+def _faulty_pages(spark, sf_dir) -> str:
+    events = read_table(spark, sf_dir, "events")
+    root = scratch_dir(spark, "faulty-pages")
+    paged = bronze.bounded_extract(events, bronze_config(events))
+    faults.write_faulty_pages(paged, [F.expr(c) for c in TRIP_ADAPTER_COLUMNS], root)
+    return root
 
 
 def bronze_csv_scan(spark, sf_dir):
@@ -221,18 +234,39 @@ def bronze_csv_scan(spark, sf_dir):
 
 
 def bronze_integrity(spark, sf_dir):
-    """S3-S5 + S7: the manifest read back, each page checked against storage and the scan."""
+    """S3-S5 + S7: each listed page against storage and the scan, where storage has lost, altered, cut and
+    stray pages (batch ``faulty``), and where the list doesn't add up besides (batch ``wrong_total``)."""
     spark = zoned_session(spark)
-    landing = bronze_landing(spark, sf_dir)
-    manifest_df = bronze.read_manifest(spark, landing["manifest_key"])
-    scanned = (bronze.read_pages(spark, _pages_root(landing), RAW_COLUMNS)
+    root, manifests = _once(spark, sf_dir, "faulty-storage", _faulty_storage)
+    scanned = (bronze.read_pages(spark, root, RAW_COLUMNS)
                .groupBy(F.col("_metadata.file_path").alias("key"))
                .agg(F.count(F.lit(1)).alias("scanned_rows")))
-    checks = bronze.verify_pages(spark, manifest_df)
+    checks = None
+    for batch, key in manifests.items():
+        seen = bronze.verify_pages(spark, bronze.read_manifest(spark, key)).withColumn("batch", F.lit(batch))
+        checks = seen if checks is None else checks.unionByName(seen)
     return (checks.join(scanned, "key", "left")
-            .select(F.regexp_extract("key", r"/page=(\d+)/", 1).alias("page"), "rows",
+            .select("batch", F.regexp_extract("key", r"/page=(\d+)/", 1).alias("page"), "rows",
                     F.coalesce("scanned_rows", F.lit(0)).alias("scanned_rows"),
-                    "present", "bytes_ok", "sha256_ok", "manifest_consistent"))
+                    "listed", "present", "bytes_ok", "sha256_ok", "manifest_consistent"))
+
+
+def _faulty_storage(spark, sf_dir) -> tuple[str, dict[str, str]]:
+    """The landed pages copied with faults, and two manifests that list them as they were landed."""
+    landing = bronze_landing(spark, sf_dir)
+    root, meta = scratch_dir(spark, "faulty-storage"), scratch_dir(spark, "faulty-storage-lists")
+    faults.write_faulty_storage(bronze.whole_pages(spark, _pages_root(landing)), root)
+    there = bronze.page_files(spark, root).select(F.col("key").alias("found"), F.col("page").alias("_page"))
+    listed = bronze.listed_pages(spark, bronze.read_manifest(spark, landing["manifest_key"])).withColumn("_page", F.regexp_extract("key", r"/page=(\d+)/", 1))
+    lost = F.concat(F.lit(f"{root}/page="), F.col("_page"), F.lit("/lost.txt"))
+    listed.join(there, "_page", "left").select(
+        F.coalesce("found", lost).alias("key"), "rows", "bytes", "sha256").write.parquet(f"{meta}/pages")
+    document = {**documents.load_json(spark, landing["manifest_key"]), "pages_root": root, "pages_table": f"{meta}/pages"}
+    manifests = {}
+    for batch, more in (("faulty", 0), ("wrong_total", 1)):
+        manifests[batch] = f"{meta}/{batch}.json"
+        documents.save_json(spark, manifests[batch], {**document, "rows_downloaded": document["rows_downloaded"] + more})
+    return root, manifests
 
 
 # ---- Publication, history, KPI and operations over the pipeline-built lake -------------------

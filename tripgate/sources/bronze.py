@@ -261,7 +261,7 @@ def _page_reader(reader, paths):
     return reader, paths
 
 
-def _whole_pages(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+def whole_pages(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """``key, page, bytes, content`` of every file of a batch folder, or of an explicit list of files."""
     reader, paths = _page_reader(spark.read.format("binaryFile"), paths)
     return reader.load(paths).select(
@@ -270,7 +270,7 @@ def _whole_pages(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 def page_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """S5 observation in one read of each file: ``key, page, bytes, sha256``."""
-    return _whole_pages(spark, paths).select("key", "page", "bytes", F.sha2(F.col("content"), 256).alias("sha256"))
+    return whole_pages(spark, paths).select("key", "page", "bytes", F.sha2(F.col("content"), 256).alias("sha256"))
 
 
 # ---- S10: page validation --------------------------------------------------------------------
@@ -288,7 +288,7 @@ def page_audit(spark: SparkSession, prefix: str) -> DataFrame:
     if not holds(spark, prefix, PAGE_SUFFIXES):
         raise ValueError(f"No CSV pages under {prefix}")
     text = csv_pages.text_of(F.col("content"))
-    read = _whole_pages(spark, prefix).select(
+    read = whole_pages(spark, prefix).select(
         "key", "page", "bytes", F.sha2(F.col("content"), 256).alias("sha256"),
         header_ok(csv_pages.header_fields(text)).alias("header_ok"), csv_pages.record_counts(text).alias("seen"))
     return read.select("key", "page", "bytes", "sha256", "header_ok",
