@@ -1,5 +1,7 @@
 """Nothing is cut silently: page labels, row caps, empty history."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,9 +37,42 @@ def test_a_retry_without_rejects_clears_the_batch(spark, scratch):
     publish.append_history(rows, cfg, "quality_reasons", "b1")
     publish.append_history(rows.withColumn("batch_id", F.lit("b2")), cfg, "quality_reasons", "b2")
     publish.append_history(rows.limit(0), cfg, "quality_reasons", "b1")
-    stored = spark.read.parquet(f"{cfg.quality_root()}/quality_reasons")
-    assert {r.batch_id for r in stored.collect()} == {"b2"}
-    assert documents.holds(spark, f"{cfg.quality_root()}/quality_reasons/batch_id=b1", ".parquet")
+    assert {r.batch_id for r in publish.read_history(spark, cfg, "quality_reasons").collect()} == {"b2"}
+    assert publish.drop_superseded(spark, cfg, "quality_reasons") == 1
+    assert publish.drop_superseded(spark, cfg, "quality_reasons") == 0
+    assert publish.read_history(spark, cfg, "quality_reasons").count() == 2
+
+
+def test_a_retry_that_dies_half_way_keeps_the_old_rows(spark, scratch):
+    cfg = PipelineConfig(root=scratch)
+    schema = "batch_id string, reject_reason string, reject_count long"
+    rows = spark.createDataFrame([("b1", f"r{i}", i) for i in range(40)], schema).repartition(8)
+    publish.append_history(rows, cfg, "quality_reasons", "b1")
+    dies = rows.withColumn("reject_count", F.when(F.col("reject_reason") == "r39", F.raise_error(F.lit("executor gone")).cast("long")).otherwise(F.lit(7)))
+    with pytest.raises(Exception, match="executor gone"):
+        publish.append_history(dies, cfg, "quality_reasons", "b1")
+    read = lambda: sorted(r.reject_count for r in publish.read_history(spark, cfg, "quality_reasons").collect())
+    assert read() == list(range(40))
+    # written whole, but its commit never happens
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(documents, "append", lambda *_: (_ for _ in ()).throw(OSError("storage went away")))
+        with pytest.raises(OSError):
+            publish.append_history(rows.limit(3), cfg, "quality_reasons", "b1")
+    assert read() == list(range(40))
+    publish.append_history(rows.limit(3), cfg, "quality_reasons", "b1")
+    assert len(read()) == 3
+
+
+def test_numbered_log_has_one_writer_for_each_number(spark, scratch):
+    log = f"{scratch}/log"
+    assert documents.latest(spark, log) == (0, None)
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: documents.commit_after(spark, log, 0, {"by": i}), range(16)))
+    assert won.count(True) == 1 and documents.latest(spark, log) == (1, {"by": won.index(True)})
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda i: documents.append(spark, log, {"by": i}), range(16)))
+    assert sorted(numbers) == list(range(2, 18))
+    assert documents.children(spark, log) == [f"{n:010d}.json" for n in range(1, 18)]
 
 
 def test_a_capped_batch_needs_leave(spark, scratch):

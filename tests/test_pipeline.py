@@ -113,10 +113,49 @@ def test_failure_during_publish_leaves_previous_live(spark, lake, monkeypatch):
     monkeypatch.setattr(pub.schemas, "read", real)
     assert calls["n"] == 1
     assert pub.current_publication(spark, c)["batch_id"] == "w2"
-    assert not documents.exists(spark, f"{c.published_root()}/daily_revenue/batch_id=w1")
+    versions = documents.children(spark, f"{c.published_root()}/daily_revenue")
+    assert [v for v in versions if v.startswith("publication=w2-")] and len([v for v in versions if v.startswith("publication=w1-")]) == 1
     assert pub.read_published(spark, c, "daily_revenue").count() > 0
 
 
+def published(spark, c):
+    return {name: documents.children(spark, f"{c.published_root()}/{name}") for name in ("daily_revenue", "top_pickup_zones")}
+
+
+def test_of_two_publishers_one_learns_of_the_other(spark, lake, monkeypatch):
+    """w1 begins, w2's retry (another batch by then) is published before w1 adds its marker."""
+    c = cfg(lake["root"], "2024-01-01", "2024-01-16")
+    w1, w2 = lake["w1"], lake["w2"]
+    before, versions, real, nested = pub.current_publication(spark, c), published(spark, c), schemas.read, []
+
+    def meanwhile(spark_, path, schema):
+        if "_gold_candidates/top_pickup_zones" in path and not nested:
+            nested.append(documents.append(spark_, c.publication_log(), {**before, "published_at_utc": "meanwhile"}))
+        return real(spark_, path, schema)
+
+    monkeypatch.setattr(pub.schemas, "read", meanwhile)
+    with pytest.raises(pub.PublicationConflict, match="Batch w2 was published while batch w1"):
+        pub.publish(spark, c, w1["candidate"], w1["gate"], clock=clock)
+    assert nested and pub.current_publication(spark, c)["published_at_utc"] == "meanwhile"
+    assert published(spark, c) == versions
+    # the same batch published twice at once: one version, both callers get it
+    nested.clear()
+    done = []
+
+    def twice(spark_, path, schema):
+        if "_gold_candidates/top_pickup_zones" in path and not nested:
+            nested.append(1)
+            done.append(pub.publish(spark_, c, w1["candidate"], w1["gate"], clock=clock))
+        return real(spark_, path, schema)
+
+    monkeypatch.setattr(pub.schemas, "read", twice)
+    assert pub.publish(spark, c, w1["candidate"], w1["gate"], clock=clock) == done[0] == pub.current_publication(spark, c)
+    assert sum(len(v) for v in published(spark, c).values()) == sum(len(v) for v in versions.values()) + 2
+    monkeypatch.setattr(pub.schemas, "read", real)
+    pub.publish(spark, cfg(lake["root"], "2024-01-16", "2024-01-31"), w2["candidate"], w2["gate"], clock=clock)
+    assert pub.current_publication(spark, c)["batch_id"] == "w2"
+
+
 def test_kpi_script_and_views(spark, lake):
     c = cfg(lake["root"], "2024-01-16", "2024-01-31")
     frames = kpi.run_script(spark, c)

@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripgate.config import PipelineConfig
 from tripgate.operators.gold import GOLD_TABLES
-from tripgate.plans.publish import QUALITY_TABLES, read_published
+from tripgate.plans.publish import QUALITY_TABLES, read_history, read_published
 from tripgate.session import zoned_session
-from tripgate.sources import schemas
 
 # The KPIs are the Gold tables in order; their columns are fixed values of ``schemas.GOLD``.
 KPI_SQL = {
@@ -44,7 +43,7 @@ def split_script(text: str) -> list[str]:
 
 
 def read_quality(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
-    return schemas.read(spark, f"{cfg.quality_root()}/{table}", schemas.HISTORY[table])
+    return read_history(spark, cfg, table)
 
 
 def register_views(spark: SparkSession, cfg: PipelineConfig) -> SparkSession:
