@@ -57,7 +57,7 @@ def trip_rules(limits: TripLimits = TripLimits()) -> list[Rule]:
         miles > F.lit(float(limits.max_trip_miles)),
         duration > F.lit(float(limits.max_trip_duration_seconds)),
         total > F.lit(float(limits.max_trip_total_usd)),
-        ~F.coalesce(area.isin(list(range(PICKUP_AREA_MIN, PICKUP_AREA_MAX + 1))), yes),  # present, outside
+        ~F.coalesce(area.between(PICKUP_AREA_MIN, PICKUP_AREA_MAX), yes),  # present, outside
     ]
     return [Rule(code, pred) for code, pred in zip(REASON_CODES, predicates)]
 

@@ -23,7 +23,7 @@ from tripgate.plans.lake import LAKE_CLOCK, demo_lake, event_days
 from tripgate.plans.pipeline import ingest
 from tripgate.plans.publish import read_published, verify_publication
 from tripgate.plans.scenarios import with_scenarios
-from tripgate.session import scratch_dir, zoned_session
+from tripgate.session import footer_session, scratch_dir, zoned_session
 from tripgate.sources import bronze, documents, faults
 from tripgate.sources.adapters import TRIP_ADAPTER_COLUMNS, raw_trips, read_table
 
@@ -99,10 +99,6 @@ def gold_top_pickup_zones(spark, sf_dir):
     return gold.top_zones(_silver(spark, sf_dir).clean)
 
 
-def dim_date(spark, sf_dir):
-    return gold.dim_date(gold.daily_revenue(_silver(spark, sf_dir).clean))
-
-
 # ---- Gate and quality history (one batch per event day) -------------------------------
 
 def gate_metrics(spark, sf_dir):
@@ -148,7 +144,6 @@ SILVER_GOLD_QUERIES: dict[str, Query] = {
     "gate_evaluate": gate_evaluate,
     "quality_batch": quality_batch,
     "quality_reasons": quality_reasons,
-    "dim_date": dim_date,
 }
 
 
@@ -278,6 +273,12 @@ def publish_roundtrip(spark, sf_dir):
     return read_published(spark, cfg, "daily_revenue")
 
 
+def dim_date(spark, sf_dir):
+    """Over the published daily table, whose first and last day stand in its footers."""
+    cfg = demo_lake(spark, sf_dir)
+    return gold.dim_date(read_published(footer_session(spark, cfg.time_zone), cfg, "daily_revenue"))
+
+
 def quality_history(spark, sf_dir):
     spark = zoned_session(spark)
     return kpi.read_quality(spark, demo_lake(spark, sf_dir), "quality_reasons").select(
@@ -303,6 +304,7 @@ BRONZE_QUERIES: dict[str, Query] = {
 
 LAKE_QUERIES: dict[str, Query] = {
     "publish_roundtrip": publish_roundtrip,
+    "dim_date": dim_date,
     "quality_history": quality_history,
     **{name: _kpi(name) for name in ("kpi_daily_revenue", "kpi_daily_metrics", "kpi_top_zones",
                                      "ops_rejects", "ops_rejects_by_batch", "ops_gate_history",

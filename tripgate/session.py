@@ -44,6 +44,19 @@ def zoned_session(spark: SparkSession, time_zone: str = DEFAULT_TIME_ZONE) -> Sp
     return child
 
 
+def footer_session(spark: SparkSession, time_zone: str = DEFAULT_TIME_ZONE) -> SparkSession:
+    """A zone-pinned child session whose Parquet reads answer min, max and count from file footers.
+
+    Spark pushes aggregates down for version 2 sources only, so Parquet is read as one here.
+    """
+    child = zoned_session(spark, time_zone).newSession()
+    for key, value in {**PIPELINE_CONF, "spark.sql.session.timeZone": time_zone, "spark.sql.parquet.aggregatePushdown": "true"}.items():
+        child.conf.set(key, value)
+    known = "spark.sql.sources.useV1SourceList"
+    child.conf.set(known, ",".join(name for name in spark.conf.get(known).split(",") if name.strip() != "parquet"))
+    return child
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
