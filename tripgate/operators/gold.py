@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The zone label for a missing pickup area and the top-k size.
@@ -86,15 +86,15 @@ def dim_date(daily: DataFrame) -> DataFrame:
     )
 
 
-def candidate_rollup(clean: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One pass over Silver at (date, zone) grain: every Gold candidate is a re-aggregate.
+def candidate_rollup(clean: DataFrame, by: Sequence[str] = (), counted: str | Column = "trip_id") -> DataFrame:
+    """One pass over Silver at (date, zone) grain: every Gold candidate is a re-aggregate. ``n`` counts ``counted``.
 
     The result has at most days x zones rows per batch, whatever the Silver size, and
     carries the exact decimal revenue plus the sums and counts behind each average.
     """
     zone = F.coalesce(F.col("pickup_community_area").cast("string"), F.lit(UNKNOWN_ZONE))
     return clean.groupBy(*by, "trip_date", zone.alias("pickup_zone")).agg(
-        F.count("trip_id").alias("n"),
+        F.count(counted).alias("n"),
         F.sum("trip_total_usd").alias("revenue"),
         F.sum("duration_seconds").alias("duration_sum"),
         F.count("duration_seconds").alias("duration_n"),

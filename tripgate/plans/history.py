@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from tripgate.config import GatePolicy, TripLimits
 from tripgate.operators import gold, quality, silver
 from tripgate.session import materialize, zoned_session
-from tripgate.functions.rules import DUPLICATE_REASON
 from tripgate.sources.adapters import TRIP_ADAPTER_COLUMNS, read_table
 
 BY = ("batch_id",)
@@ -64,39 +63,29 @@ def batch_history(spark: SparkSession, sf_dir: str, limits: TripLimits = TripLim
                   policy: GatePolicy = HISTORY_POLICY, now: datetime = HISTORY_NOW) -> BatchHistory:
     """Silver, Gold, metrics and the gate for every batch in one plan.
 
-    Two aggregates carry all the work: rows per (batch, reason) over the classified rows
-    (raw, invalid and valid counts and the reason breakdown), and one (batch, date, zone)
-    rollup of the deduplicated rows (clean counts, Silver totals, all Gold tables). The
-    rollup holds at most batches x days x zones rows; it is written once to the shared
-    checkpoint folder so its five consumers do not each re-run the dedup.
-    Duplicates per batch are the valid rows the dedup did not keep.
+    One pass over the batches carries all the work: every row with its disposition, rolled up by
+    (batch, disposition, reason) and, for the clean rows, also by (date, zone). The rollup holds at
+    most batches x (days x zones + reasons) rows; it is written once to the shared checkpoint
+    folder and everything else derives from it.
     """
     s = zoned_session(spark)
     result = silver.refine(batched_raw(s, sf_dir), limits, by=BY)
-    by_reason = result.classified.groupBy(*BY, "reject_reason").agg(F.count(F.lit(1)).alias("n"))
-    rollup = materialize(gold.candidate_rollup(result.clean, by=BY), "rollup")
+    kinds = materialize(gold.candidate_rollup(
+        result.versions.withColumn("trip_date", F.when(F.col("disposition") == silver.CLEAN, F.col("trip_date")))
+        .withColumn("pickup_community_area", F.when(F.col("disposition") == silver.CLEAN, F.col("pickup_community_area"))),
+        by=(*BY, "disposition", "reject_reason"), counted=F.lit(1)), "rollup")
+    kind = F.col("disposition")
+    rollup = kinds.where(kind == silver.CLEAN).drop("disposition", "reject_reason")
     tables = gold.tables_from_rollup(rollup, by=BY)
-    reason = F.col("reject_reason")
-    counts = by_reason.groupBy(*BY).agg(
-        F.sum("n").alias("raw_rows"),
-        F.coalesce(F.sum(F.when(reason != "", F.col("n"))), F.lit(0)).alias("rejected_rows"),
-        F.coalesce(F.sum(F.when(reason == "", F.col("n"))), F.lit(0)).alias("_valid_rows"),
-    )
-    kept = rollup.groupBy(*BY).agg(F.sum("n").alias("clean_rows"))
-    metrics = counts.join(kept, list(BY), "left").select(
-        *BY, "raw_rows",
-        F.coalesce("clean_rows", F.lit(0)).alias("clean_rows"),
-        "rejected_rows",
-        (F.col("_valid_rows") - F.coalesce("clean_rows", F.lit(0))).alias("duplicate_valid_rows"),
-    )
+    of = lambda name: F.coalesce(F.sum(F.when(kind == name, F.col("n"))), F.lit(0))
+    metrics = kinds.groupBy(*BY).agg(
+        F.sum("n").alias("raw_rows"), of(silver.CLEAN).alias("clean_rows"), of(silver.INVALID).alias("rejected_rows"),
+        of(silver.DUPLICATE).alias("duplicate_valid_rows"))
     validation = quality.validation_metrics(
         rollup, tables["daily_revenue"], tables["daily_trip_metrics"], tables["top_pickup_zones"], by=BY,
         silver_rows=F.col("n"), silver_revenue=F.col("revenue"))
     manifest = batch_manifests(s, sf_dir)
     inputs = quality.gate_input(metrics, validation, manifest)
     gated = quality.evaluate_gate(inputs, policy, now)
-    dup_reasons = metrics.filter(F.col("duplicate_valid_rows") > 0).select(
-        *BY, F.lit(DUPLICATE_REASON).alias("reject_reason"), F.col("duplicate_valid_rows").alias("reject_count"))
-    reasons = (by_reason.filter(reason != "").select(*BY, "reject_reason", F.col("n").alias("reject_count"))
-               .unionByName(dup_reasons))
+    reasons = kinds.where(kind != silver.CLEAN).groupBy(*BY, "reject_reason").agg(F.sum("n").alias("reject_count"))
     return BatchHistory(result, tables, metrics, validation, manifest, inputs, gated, reasons)
