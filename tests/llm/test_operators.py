@@ -73,6 +73,39 @@ def test_jaccard_equals_brute_force(spark, corpus):
             assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), want[r.doc_id])
 
 
+def postings_met(spark, monkeypatch, docs):
+    """The postings whose documents meet in the last join, and the pairs and cells that came of them."""
+    seen = {}
+    real = jaccard.meetings
+
+    def watched(rows, percent):
+        out = real(rows, percent)
+        seen.update(postings=rows.count(), cells=jaccard.open_cells(rows, percent).count(), pairs=out.agg(F.sum("found")).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(jaccard, "meetings", watched)
+    got = jaccard.jaccard_components(docs, long=20).collect()
+    monkeypatch.undo()
+    return seen, got
+
+
+@pytest.mark.parametrize("own", [(18, 18), (5, 40)])
+def test_template_documents_meet_no_more_than_they_must(spark, monkeypatch, own):
+    """Documents that share a passage without being near copies: join rows don't grow with the square of their number."""
+    rng = random.Random(8)
+    shared = [f"s{i}" for i in range(100)]
+    rows = [(i, " ".join(shared + [f"o{i}x{k}" for k in range(rng.randint(*own))]), "a") for i in range(400)]
+    seen = {}
+    for n in (100, 200, 400):
+        seen[n], got = postings_met(spark, monkeypatch, docs_of(spark, rows[:n]))
+        sets = [sets_of(t) for _, t, _ in rows[:n]]
+        links = [(a, b) for a in range(n) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+        want = reached(range(n), links)
+        assert {r.doc_id: r.component_id for r in got} == want
+    assert seen[400]["pairs"] <= 4 * max(seen[200]["pairs"], 50) / 2 + 100 and seen[400]["pairs"] <= 400 * 4
+    assert seen[400]["cells"] <= 4 * 400
+
+
 def test_jaccard_of_an_empty_table(spark):
     assert jaccard.jaccard_components(docs_of(spark, [])).collect() == []
 

@@ -11,8 +11,11 @@ set in the other.
 The order puts shingles with overly long lists last, so that lines and passages shared by
 many documents aren't merged at all unless a document has little else. Groups of copies
 are kept from squaring: equal sets are one class; each list first links its members to its
-smallest one only (verified), and later only members of different components meet. Thus all
-links between components are found, while links within one needn't be listed.
+most typical one only (verified), and later only members of different components meet. Thus all
+links between components are found, while links within one needn't be listed. Whether a common shingle
+can be a pair's first one depends on sizes and places alone, so that is decided for cells of
+equal size and place before any two documents meet: a passage that many documents share makes no pairs
+of documents that couldn't link.
 
 Full shingle sets are not stored or shuffled; they are made again from the texts of the documents that
 are verified. Sides of joins are broadcast only under a counted size bound.
@@ -42,6 +45,8 @@ PERCENT = 80
 #: Shingles of more sets than this come last in the order.
 LONG = 80
 MOST_LONG = 4_000_000
+#: Documents of a shingle that are verified together, on each side.
+BLOCK_SIDE = 200
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -148,14 +153,16 @@ def signatures(docs: DataFrame, percent: int = PERCENT, last: np.ndarray | None
 def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity; ``pairs`` also has ``h``, a shingle they share.
 
-    Texts go to where their pairs are: the pairs that share h form a square that is cut into blocks of some
+    Texts go to where their pairs are: the pairs that share h form a rectangle that is cut into blocks of some
     hundred documents a side, and each block gets the text of each of its documents once. Partitions are read as
     streams that hold the sets of one block side at a time.
     """
     pairs = materialize(pairs.groupBy("a", "b").agg(F.min("h").alias("h")), "pairs")
-    square = pairs.groupBy("h").agg((F.floor(F.sqrt(F.count(F.lit(1))) / 400) + 1).cast("int").alias("g")).where("g > 1")
-    placed = pairs.join(square, "h", "left").withColumn("g", F.coalesce("g", F.lit(1))).withColumn(
-        "block", F.pmod(F.xxhash64("a"), F.col("g")) * F.col("g") + F.pmod(F.xxhash64("b"), F.col("g")))
+    # sides of more than one block; the documents of a side are counted, however few are on the other
+    wide = [pairs.select("h", x).distinct().groupBy("h").agg((F.floor(F.count(F.lit(1)) / BLOCK_SIDE) + 1).cast("int").alias(f"g_{x}")).where(f"g_{x} > 1")
+            for x in "ab"]
+    placed = pairs.join(wide[0], "h", "left").join(wide[1], "h", "left").fillna(1, ["g_a", "g_b"]).withColumn(
+        "block", F.pmod(F.xxhash64("a"), F.col("g_a")) * F.col("g_b") + F.pmod(F.xxhash64("b"), F.col("g_b")))
     placed = materialize(placed.groupBy("h", "block", "b").agg(F.collect_list("a").alias("with")), "pair-blocks")
     size = placed.agg(F.coalesce(F.sum(F.size("with") * 8 + 40), F.lit(0))).first()[0]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -221,6 +228,39 @@ def _sides(df: DataFrame, side: str) -> DataFrame:
     return df.select("h", *[F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "h"])
 
 
+def open_cells(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(h, n_a, pos_a, n_b, pos_b): cells of a list, in order, between which a first common shingle can link two components."""
+    cells = rows.groupBy("h", "n", "pos").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    one_component = (F.col("low_a") == F.col("high_a")) & (F.col("low_b") == F.col("high_b")) & (F.col("low_a") == F.col("low_b"))
+    in_order = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("pos_a") <= F.col("pos_b")))
+    return (_sides(cells, "a").join(_sides(cells, "b"), "h").where(in_order & _sizes(percent) & _first(percent) & ~one_component)
+            .select("h", "n_a", "pos_a", "n_b", "pos_b"))
+
+
+def meetings(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs of different components that share a shingle early enough in both sets to be linked.
+
+    ``rows(h, cid, n, pos, end, comp)`` are postings. What decides whether a common shingle can be a pair's first one is
+    size and place alone, so the cells (n, pos) of a list meet first, then the components in two
+    cells that pass, then their documents: documents that share a passage without being able to link, and those of
+    one component, never meet. Returns a, b, n, end of both, a common shingle h, ``found`` (common shingles
+    that can be first) and ``later`` (at most so many more lie behind them in the short lists).
+    """
+    same_cell = (F.col("n_a") == F.col("n_b")) & (F.col("pos_a") == F.col("pos_b"))
+    comps = rows.select("h", "n", "pos", "comp").distinct()
+    met = (open_cells(rows, percent).join(_sides(comps, "a"), ["h", "n_a", "pos_a"]).join(_sides(comps, "b"), ["h", "n_b", "pos_b"])
+           .where((F.col("comp_a") != F.col("comp_b")) & (~same_cell | (F.col("comp_a") < F.col("comp_b")))))
+    pairs = (met.join(_sides(rows, "a"), ["h", "n_a", "pos_a", "comp_a"]).join(_sides(rows, "b"), ["h", "n_b", "pos_b", "comp_b"])
+             .where("cid_a <> cid_b"))
+    ordered = F.col("cid_a") < F.col("cid_b")
+    pick = lambda c, x, y: F.when(ordered, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}"))
+    turned = pairs.select("h", *[pick(c, *sides).alias(name) for c, first, second in (("cid", "a", "b"), ("n", "n_a", "n_b"), ("end", "end_a", "end_b"), ("pos", "pos_a", "pos_b"))
+                                 for name, sides in ((first, "ab"), (second, "ba"))])
+    left = lambda x: F.col(f"n_{x}") - F.ceil(F.col(f"n_{x}") * percent / 100) - F.max(f"pos_{x}")
+    return turned.groupBy("a", "b", "n_a", "n_b", "end_a", "end_b").agg(
+        F.count(F.lit(1)).alias("found"), F.min("h").alias("h"), F.least(left("a"), left("b")).alias("later"))
+
+
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, long: int = LONG) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row for each row of ``docs``."""
     ship(docs.sparkSession)
@@ -255,11 +295,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, long: int = LONG
     members = with_component(lists)
     several = materialize(members.select("h", "comp").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"), "jaccard-mixed")
     rows = materialize(members.join(small(several, several.count(), 16), "h", "left_semi"), "jaccard-met")
-    met = (_sides(rows, "a").join(_sides(rows, "b"), "h")
-           .where((F.col("cid_a") < F.col("cid_b")) & (F.col("comp_a") != F.col("comp_b")) & _sizes(percent))
-           .groupBy(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"), "n_a", "n_b", "end_a", "end_b")
-           .agg(F.count(F.lit(1)).alias("found"), F.min("h").alias("h"), F.max(_first(percent)).alias("first"))
-           .where(F.col("first") & _possible(F.col("found"), percent)))
+    met = meetings(rows, percent).where(_possible(F.col("found") + F.col("later"), percent))
     more = materialize(verify(met, docs, percent), "jaccard-links")
     every = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
     every = materialize(every, "jaccard-components")
