@@ -7,8 +7,12 @@ vocabulary entry that ends there and fits the last token before it. One table th
 exact count at every prefix of a word; summed over words it has the count at every prefix
 of a text, which answers truncation and budget questions without encoding again.
 
+Beginnings that words share are kept, up to ``SHARED`` symbols; beyond that a word's table is
+its own, so memory grows with the length of the longest word and not with its square.
+
 Defined cases: null and empty texts have 0 tokens; the vocabulary's special strings inside
-a text count one each, as the library's default has it; repeated rows are counted each.
+a text count one each, as the library's default has it; repeated rows are counted each; words
+of any length are counted whole.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from tripgate.llm.common import ship
 
 END = "</w>"
 LIMIT = 2048
+#: Symbols up to which beginnings are kept for other words, and characters up to which words are.
+SHARED = 32
 _NEVER = 1 << 60
 _COUNTERS: dict[int, PrefixCounter] = {}
 
@@ -61,9 +67,11 @@ class _Known(dict):
         self.compute = compute
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 700_000:
-            self.clear()
-        got = self[word] = self.compute(word)
+        got = self.compute(word)
+        if len(word) <= SHARED:
+            if len(self) > 700_000:
+                self.clear()
+            self[word] = got
         return got
 
 
@@ -161,10 +169,12 @@ class PrefixCounter:
             if ends or i == len(s):
                 out.append(count[self._last(s, i, last, self.ending)[0]] + 1)
             if i < len(s):
-                got = front.get(start := s[:i])  # words share beginnings
+                got = front.get(s[:i]) if i <= SHARED else None  # words share beginnings
                 if got is None:
                     j, token = self._last(s, i, last, self.inner)
-                    got = front[start] = token, count[j] + 1
+                    got = token, count[j] + 1
+                    if i <= SHARED:
+                        front[s[:i]] = got
                 last.append(got[0])
                 count.append(got[1])
         return out
@@ -189,7 +199,7 @@ class PrefixCounter:
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        if self.cut is None or "<" not in text:
+        if self.cut is None or not self.cut.search(text):
             return self._sum(text)
         return sum(1 if special else self._sum(s) for _, s, special in self._segments(text) if s)
 
