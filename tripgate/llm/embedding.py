@@ -13,9 +13,10 @@ near copies don't leave a task as pairs. If x visits the cell of y but not the o
 round, the task in y's cell counts the link for both; so each link counts once on each side.
 
 The codebooks and the number of visits come from a bounded sample (``SAMPLE`` vectors, by
-hashed content); every vector is filed and searched. Defined cases: null vectors, zero vectors, null or non-finite
-components, another length than the most common one, and null ids link with nothing (a null id has no
-component); a vector repeated under the same id is several vectors that link with each other.
+hashed content); every vector is filed and searched. Vectors of each length have an index of their own, and a
+cell's number says whose it is. Defined cases: null vectors, zero vectors, null or non-finite
+components and null ids link with nothing (a null id has no component); vectors link with those of their own
+length only; a vector repeated under the same id is several vectors that link with each other.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,10 @@ RECALL = 0.98
 SAMPLE = 20_000
 PROBES = 1_000
 BLOCK = 1_024
+#: Bits of a cell's number within its index; the vectors' length stands above them.
+CELL_BITS = 40
+#: Distances that are held at once while the number of visits is fitted.
+_GRID = 1 << 24
 
 
 def _codebook(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -83,8 +89,10 @@ class Index:
         ranks = []
         for p, q in ((x, y), (y, x)):
             a, b = self.distances(p)
-            grid = (a[:, :, None] + b[:, None, :]).reshape(len(p), -1)
-            ranks.append((grid < grid[np.arange(len(p)), self.cells(q)][:, None]).sum(1))
+            goal = self.cells(q)
+            limit = a[np.arange(len(p)), goal // self.k] + b[np.arange(len(p)), goal % self.k]
+            step = max(1, _GRID // self.k ** 2)
+            ranks.append(np.concatenate([(a[i:i + step, :, None] + b[i:i + step, None, :] < limit[i:i + step, None, None]).sum((1, 2)) for i in range(0, len(p), step)]))
         return min(self.k ** 2 - 1, int(np.quantile(np.minimum(*ranks), recall)) + 1)
 
     def visited(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,6 +117,26 @@ class Index:
         return ((h[0] - self.books[0][cell // self.k]) ** 2).sum(1) + ((h[1] - self.books[1][cell % self.k]) ** 2).sum(1)
 
 
+class Indexes:
+    """An index for each length of vectors, by the numbers of its cells."""
+
+    def __init__(self, samples: dict[int, np.ndarray], rows: dict[int, int], cosine: float = COSINE, recall: float = RECALL):
+        self.of = {d: Index(samples.get(d, np.zeros((0, d))), n, cosine, recall) for d, n in rows.items()}
+
+    def parts(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, positions, normalized matrix) of the vectors of each length."""
+        lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+        for d in np.unique(lengths):
+            at = np.flatnonzero(lengths == d)
+            yield int(d), at, _matrix(column.take(pa.array(at)))
+
+    def cells(self, column: pa.Array) -> np.ndarray:
+        out = np.zeros(len(column), np.int64)
+        for d, at, x in self.parts(column):
+            out[at] = self.of[d].cells(x) + (d << CELL_BITS)
+        return out
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """Normalized rows in double precision."""
     x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
@@ -130,21 +158,22 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     ship(spark)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
     good = rows.where(F.col("vec_id").isNotNull() & _good(F.col("embedding")))
-    sizes = good.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    size = sizes["d"] if sizes else 2
-    good = good.where(F.size("embedding") == size)
     classes = materialize(good.groupBy(*_identity(F.col("embedding"))).agg(
         F.min("vec_id").alias("cid"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding")), "vectors")
-    n = classes.count()
-    share = min(1.0, SAMPLE / max(1, n))
+    of_length = {r["d"]: r["n"] for r in classes.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(of_length.values())
     # a bounded sample: its size doesn't grow with the table
-    sample = classes.where(F.pmod(F.xxhash64("k1", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20))).select("embedding").toArrow().column(0).combine_chunks()
-    index = spark.sparkContext.broadcast(Index(_matrix(sample) if len(sample) else np.zeros((0, size)), n, cosine, recall))
+    each = max(1, SAMPLE // max(1, len(of_length)))
+    shares = F.create_map(*[F.lit(x) for d, rows_of in of_length.items() for x in (d, min(1 << 20, -(-each * (1 << 20) // rows_of)))]) if of_length else F.lit(None)
+    in_sample = F.pmod(F.xxhash64("k1", F.lit("sample")), F.lit(1 << 20)) < (shares[F.size("embedding")] if of_length else F.lit(0))
+    picked = classes.where(in_sample).select("embedding").toArrow().column(0).combine_chunks()
+    samples = {d: x for d, _, x in Indexes({}, {}).parts(picked)} if len(picked) else {}
+    index = spark.sparkContext.broadcast(Indexes(samples, of_length, cosine, recall))
 
     def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if len(b):
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(index.value.cells(_matrix(b.column("embedding"))))], [*b.schema.names, "cell"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(index.value.cells(b.column("embedding")))], [*b.schema.names, "cell"])
 
     members = materialize(classes.select("cid", "copies", "embedding").mapInArrow(filed, "cid long, copies long, embedding array<float>, cell long"), "vector-cells")
     # cells in blocks of bounded size
@@ -156,10 +185,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
         for b in batches:
             for i in range(0, len(b), 1024):
                 part = b.slice(i, 1024)
-                cells, _ = index.value.visited(_matrix(part.column("embedding")))
-                at = pa.array(np.repeat(np.arange(len(part)), cells.shape[1]))
-                yield pa.RecordBatch.from_arrays([part.column(c).take(at) for c in ("cid", "copies", "embedding", "cell")] + [pa.array(cells.ravel())],
-                                                 ["cid", "copies", "embedding", "own", "cell"])
+                for d, of, x in index.value.parts(part.column("embedding")):
+                    cells = index.value.of[d].visited(x)[0] + (d << CELL_BITS)
+                    at = pa.array(np.repeat(of, cells.shape[1]))
+                    yield pa.RecordBatch.from_arrays([part.column(c).take(at) for c in ("cid", "copies", "embedding", "cell")] + [pa.array(cells.ravel())],
+                                                     ["cid", "copies", "embedding", "own", "cell"])
 
     visits = members.mapInArrow(searched, "cid long, copies long, embedding array<float>, own long, cell long").join(small(blocks, n_blocks, 24), "cell")
     visits = visits.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -177,19 +207,20 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
         for b in batches:
             cell, block, side = (b.column(c).to_numpy() for c in ("cell", "block", "side"))
             cuts = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (block[1:] != block[:-1]) | (side[1:] != side[:-1]), [True]]))
-            x = _matrix(b.column("embedding"))
-            cid, copies, own = (b.column(c).to_numpy() for c in ("cid", "copies", "own"))
+            cid, copies = (b.column(c).to_numpy() for c in ("cid", "copies"))
+            own = b.column("own").to_numpy() & ((1 << CELL_BITS) - 1)
             for i, j in zip(cuts, cuts[1:], strict=False):
                 if (cell[i], block[i]) != key:
                     if held is not None and held.links:
                         yield result(held)
-                    key, held = (cell[i], block[i]), _Found(index.value)
+                    key, held = (cell[i], block[i]), _Found(index.value.of[int(cell[i]) >> CELL_BITS])
+                x = _matrix(b.column("embedding").slice(i, j - i))
                 if side[i] == 0:
-                    held.add(x[i:j], cid[i:j], copies[i:j], cell[i])
+                    held.add(x, cid[i:j], copies[i:j], cell[i] & ((1 << CELL_BITS) - 1))
                 else:
                     for k in range(i, j, BLOCK):
                         at = slice(k, min(j, k + BLOCK))
-                        held.visit(x[at], cid[at], copies[at], own[at])
+                        held.visit(x[k - i:k - i + BLOCK], cid[at], copies[at], own[at])
         if held is not None and held.links:
             yield result(held)
 
@@ -200,7 +231,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
               .join(joined.withColumnRenamed("id", "cid"), "cid", "left")
               .select(F.col("k1").alias("_1"), F.col("k2").alias("_2"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                       F.coalesce("component_id", "cid").alias("component_id")))
-    mark = F.col("vec_id").isNotNull() & _good(F.col("embedding")) & (F.size("embedding") == size)
+    mark = F.col("vec_id").isNotNull() & _good(F.col("embedding"))
     keyed = rows.select("vec_id", mark.alias("good"), *_identity(F.col("embedding")))
     return (keyed.join(small(result, n, 40), (F.col("k1") == F.col("_1")) & (F.col("k2") == F.col("_2")) & F.col("good"), "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
