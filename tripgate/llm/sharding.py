@@ -6,9 +6,14 @@ indexed by the first bits of the key; a bucket over the byte limit splits on its
 and all others stay whole, so each shard is named by its own prefix (its local depth).
 
 The directory is built from byte sums of fine prefixes, not from records: all prefixes of
-all depths are summed at once, and a prefix fits when its sum does. A cell that is
+all depths are summed at once, and a prefix is a bucket when it fits and the prefix above, which is the sum of two
+siblings, doesn't. A bucket takes up all directory entries that begin with its bits. A cell that is
 oversized even at the finest depth of a level is taken up by the next, deeper level.
-Only DataFrame functions run, and nothing but level sizes reaches the driver.
+Only DataFrame functions run, and nothing but level sizes reaches the driver. No key has more
+than two rows to itself but the sums, which are added up before they are shuffled.
+
+Up to 40 bits a key is a function of the id alone. Records that need more are written once with the
+numbers that their last bits come from, so no later scan can deal them anew.
 
 Defined cases: null and empty texts weigh 0 bytes and are placed; a null id is one more id;
 repeated rows are placed each (they part on the last 20 bits if need be); a single record
@@ -34,15 +39,19 @@ def _bits(hex_text: Column, first: int, digits: int) -> Column:
 
 
 def hashed(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Adds ``_hi`` (40 bits of the id), ``_lo`` (20 bits of id and place) and ``n_bytes``."""
+    """Adds ``_hi`` (40 bits of the id) and ``n_bytes``."""
     key = F.coalesce(F.col(id_column).cast("string"), F.lit("null"))
-    place = F.md5(F.concat_ws(":", key, F.monotonically_increasing_id()).cast("binary"))
     return docs.withColumns({
         "_hi": _bits(F.md5(key.cast("binary")), 1, ID_BITS // 4),
-        "_lo": _bits(place, 1, (KEY_BITS - ID_BITS) // 4),
         "n_bytes": F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long")})
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Adds ``_lo``, 20 bits of the id and the row's place, written once."""
+    place = F.md5(F.concat_ws(":", "_hi", F.monotonically_increasing_id()).cast("binary"))
+    return materialize(rows.withColumn("_lo", _bits(place, 1, (KEY_BITS - ID_BITS) // 4)), "shard-repeated-ids")
+
+
 def prefix(depth: int) -> Column:
     """The first ``depth`` bits of the key as a number."""
     if depth <= ID_BITS:
@@ -51,17 +60,24 @@ def prefix(depth: int) -> Column:
 
 
 def _level(cells: DataFrame, finest: int, coarsest: int, limit: int) -> DataFrame:
-    """Directory rows (cell, depth, shard_bytes) of one level; depth is null where even the cell is oversized.
+    """Directory entries (cell, depth, shard_bytes) of one level; depth is null where even the cell is oversized.
 
-    ``cells`` has (cell, bytes, n): sums and records of the prefixes of ``finest`` bits.
+    ``cells`` has (cell, bytes, n): sums and records of the prefixes of ``finest`` bits. Whatever
+    is above ``coarsest`` is known to be oversized.
     """
-    up = cells.select("cell", F.explode(F.sequence(F.lit(coarsest), F.lit(finest))).alias("depth"), "bytes", "n")
-    up = up.withColumn("bucket", F.expr(f"shiftright(cell, {finest} - depth)"))
-    sums = (up.groupBy("depth", "bucket").agg(F.sum("bytes").alias("shard_bytes"), F.sum("n").alias("records"))
-            .where((F.col("shard_bytes") <= limit) | (F.col("records") == 1)).drop("records"))
-    fits = up.join(sums, ["depth", "bucket"]).groupBy("cell").agg(F.min(F.struct("depth", "shard_bytes")).alias("b"))
-    return cells.join(fits, "cell", "left").select(
-        "cell", F.col("b.depth").alias("depth"), F.coalesce("b.shard_bytes", "bytes").alias("shard_bytes"))
+    up = cells.select(F.explode(F.sequence(F.lit(coarsest), F.lit(finest))).alias("depth"), "cell", "bytes", "n")
+    sums = up.groupBy("depth", F.expr(f"shiftright(cell, {finest} - depth)").alias("bucket")).agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
+    fits = lambda c: (c["bytes"] <= limit) | (c["n"] == 1)
+    siblings = sums.groupBy("depth", F.shiftright("bucket", 1).alias("above")).agg(
+        F.collect_list(F.struct("bucket", "bytes", "n")).alias("children"), F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
+    above_is_over = (F.col("depth") == coarsest) | ~fits({"bytes": F.col("bytes"), "n": F.col("n")})
+    judged = siblings.where(above_is_over).select("depth", F.explode("children").alias("c"))
+    first = F.expr(f"shiftleft(c.bucket, {finest} - depth)")
+    entries = judged.where(fits(F.col("c"))).select(
+        F.explode(F.sequence(first, first + F.expr(f"shiftleft(1L, {finest} - depth) - 1"))).alias("cell"), "depth", F.col("c.bytes").alias("shard_bytes"))
+    over = judged.where((F.col("depth") == finest) & ~fits(F.col("c"))).select(
+        F.col("c.bucket").alias("cell"), F.lit(None).cast("int").alias("depth"), F.col("c.bytes").alias("shard_bytes"))
+    return entries.unionByName(over)
 
 
 def shard(docs: DataFrame, limit: int = SHARD_BYTES, id_column: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
@@ -72,18 +88,15 @@ def shard(docs: DataFrame, limit: int = SHARD_BYTES, id_column: str = "doc_id",
     """
     added = ("n_bytes", "shard", "depth", "shard_bytes")
     kept = [c for c in (keep or [id_column]) if c not in added]
+    rows = hashed(docs, id_column).select(*[F.col(f"`{c}`") for c in kept], "n_bytes", "_hi")
     if keep is None:
-        rows = materialize(hashed(docs, id_column).select(*kept, "n_bytes", "_hi", "_lo"), "shard-keys")
-    else:
-        rows = hashed(docs, id_column).select(*[F.col(f"`{c}`") for c in kept], "n_bytes", "_hi", "_lo")
-    keys = rows if keep is None else rows.select("n_bytes", "_hi", "_lo")
-    total = keys.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+        rows = materialize(rows, "shard-keys")
+    total = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     finest = min(ID_BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + _FINER)
     coarsest, waiting, parts = 0, rows, []
     while True:
         at = prefix(finest)
-        source = waiting.select("n_bytes", "_hi", "_lo")
-        cells = source.groupBy(at.alias("cell")).agg(F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("n"))
+        cells = waiting.groupBy(at.alias("cell")).agg(F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("n"))
         directory = materialize(_level(cells, finest, coarsest, limit), "shard-directory")
         size, over = directory.agg(F.count(F.lit(1)), F.count_if(F.col("depth").isNull())).first()
         last = finest >= KEY_BITS
@@ -97,7 +110,9 @@ def shard(docs: DataFrame, limit: int = SHARD_BYTES, id_column: str = "doc_id",
             break
         deep = directory.where(F.col("depth").isNull()).select("cell")
         waiting = waiting.withColumn("cell", at).join(small(deep, over, 16), "cell", "left_semi").drop("cell")
-        coarsest, finest = finest + 1, min(KEY_BITS, finest + 8)
+        if finest == ID_BITS:
+            waiting = _numbered(waiting)
+        coarsest, finest = finest + 1, min(ID_BITS if finest < ID_BITS else KEY_BITS, finest + 8)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
