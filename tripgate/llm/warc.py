@@ -52,10 +52,11 @@ def chunked(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def identified(pages: DataFrame, id_column: str, url_column: str, payload_column: str) -> DataFrame:
-    """(rid, id, url, payload): ``rid`` is the row's place in the table, the same whenever the same files are read."""
-    return pages.select(
+    """(rid, id, url, payload), written once: ``rid`` numbers the rows, and every later pass finds the same numbers,
+    whatever executors and splits it gets."""
+    return materialize(pages.select(
         F.monotonically_increasing_id().alias("rid"), F.col(id_column).cast("long").alias("id"), F.col(url_column).cast("string").alias("url"),
-        F.encode(F.coalesce(F.col(payload_column).cast("string"), F.lit("")), "UTF-8").alias("payload"))
+        F.encode(F.coalesce(F.col(payload_column).cast("string"), F.lit("")), "UTF-8").alias("payload")), "warc-rows")
 
 
 def base32(digest: bytes) -> str:
