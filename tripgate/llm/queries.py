@@ -65,7 +65,7 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind: str) -> Column:
         return F.size(kind).cast("long").alias(f"n_{kind}")
 
-    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
     base = secret_scan.spans_text(*secret_scan.KINDS)
     return found.select("doc_id", *[count(k) for k in secret_scan.KINDS], F.sha2(base.cast("binary"), 256).alias("base_sha256"),
                         secret_scan.spans_text(*secret_scan.KINDS, "random").alias("spans"))

@@ -2,15 +2,21 @@
 
 Base spans are pattern matches, leftmost and not overlapping for each kind. Beyond them, each long run of
 encoding characters that no base span touches is a candidate. Its encoding (hex, base32,
-base62, base64) is inferred from its characters, then:
-
-* a chi-squared test of its symbols against a uniform alphabet, a runs test about the middle
-  of the alphabet, and a serial-correlation test must not reject a random string;
-* the evidence against ordinary text is the chance that ordinary text switches between
-  lower case, upper case, digits and marks as often over that length (a Chernoff bound);
-* over the corpus, a Benjamini-Hochberg step within each band of lengths holds the false
-  discoveries to a share of ``FALSE_SHARE``. The step needs only counts by band and
-  evidence bin (at most ``BANDS`` x ``BINS`` rows), so it is a grouped count, not a sort.
+base62, base64) is inferred from its characters, and two hypotheses are tested of it:
+
+* that it is a random string over its alphabet, by a battery of three tests: chi-squared uniformity of the
+  symbols, runs about the middle of the alphabet, and serial correlation. The chi-squared statistic of short
+  tokens over large alphabets is far from its limit, so its null has the exact mean, variance and
+  skewness for the token's length (it counts pairs of equal symbols). The battery's p is three times the least p;
+* that it is ordinary text, by the chance that text switches between lower case, upper case, digits and marks as
+  often over that length (a Chernoff bound).
+
+Over the corpus, within each band of lengths, a Benjamini-Hochberg step over the battery's p finds the tokens that
+are not random, which leaves out true secrets at a share of ``FALSE_SHARE`` among those at most; and another over the second p
+finds those that are not text, ordinary tokens among them at most at that share. A secret is a
+token that is not text and could be random. The steps need only counts by band and evidence bin (at most
+``BANDS`` x ``BINS`` rows each), so they are grouped counts, not sorts. Texts are scanned once; what was found is
+written and read for counting and for judging.
 
 Only DataFrame functions run. Positions are code points of the whole text.
 Defined cases: null and empty texts have no spans; rows are independent, so repeated rows
@@ -24,6 +30,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripgate.llm.common import materialize
+
 # Fixed values of the contract.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
@@ -34,7 +42,7 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 SWITCH_RATE = 0.12
 FALSE_SHARE = 0.01
 BANDS, BINS, BIN_WIDTH = 8, 400, 0.25
-Z_LIMIT = 3.29
+TESTS = 3
 #: Alphabets in order of value.
 ALPHABETS = {
     "hex": "0123456789abcdef",
@@ -72,8 +80,29 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
             .withColumn("_hex", _matches(F.col("_text"), HEX)))
 
 
+def _tail(z: Column) -> Column:
+    """Chance of a normal value beyond z, from above; within 3 % for z >= 0."""
+    above = F.exp(-z * z / 2) / (1.64 * F.abs(z) + F.sqrt(0.76 * z * z + 4))
+    return F.when(z < 0, 1 - above).otherwise(above)
+
+
+def _collisions_z(c: Column, n: Column, a: Column) -> Column:
+    """How far a count of pairs of equal symbols lies above that of random strings of n over a symbols, as a normal value.
+
+    Mean, variance and third moment are exact for each length; the Pearson III law with these moments is
+    turned into a normal one by Wilson and Hilferty's cube root. Chi-squared is 2 a / n times the count, plus a constant.
+    """
+    p = 1 / a
+    pairs, triples = n * (n - 1) / 2, n * (n - 1) * (n - 2) / 6
+    mean, var = pairs * p, pairs * p * (1 - p)
+    third = pairs * p * (1 - p) * (1 - 2 * p) + 6 * triples * p * p * (1 - p)
+    shape = 4 * F.pow(var, F.lit(3)) / (third * third)
+    value = F.greatest(1 + (c - 0.5 - mean) / F.sqrt(var * shape), F.lit(1e-9))
+    return 3 * F.sqrt(shape) * (F.pow(value, F.lit(1 / 3)) - 1 + 1 / (9 * shape))
+
+
 def _battery(t: Column) -> Column:
-    """(encoding, length band, evidence bin, whether random strings look so) of one token."""
+    """(encoding, length band, evidence bins against randomness and against text) of one token."""
     body = F.regexp_replace(t, "=+$", "")
     n = F.length(body).cast("double")
     encoding = (F.when(body.rlike("^[0-9a-f]+$") | body.rlike("^[0-9A-F]+$"), "hex")
@@ -92,10 +121,8 @@ def _battery(t: Column) -> Column:
 
     def judged(x: Column) -> Column:
         v, s, n, a = x["v"], x["s"], x["n"], x["a"]
-        squares = total(F.array_distinct(s), lambda c: F.pow(n - F.length(F.replace(x["p"], c, F.lit(""))), F.lit(2)))
-        chi = a / n * squares - n
-        # Wilson-Hilferty: the cube root of chi-squared over its degrees of freedom is nearly normal
-        z_chi = (F.pow(chi / (a - 1), F.lit(1 / 3)) - (1 - 2 / (9 * (a - 1)))) / F.sqrt(2 / (9 * (a - 1)))
+        collisions = total(F.array_distinct(s), lambda c: (n - F.length(F.replace(x["p"], c, F.lit("")))) * (n - F.length(F.replace(x["p"], c, F.lit(""))) - 1) / 2)
+        p_chi = _tail(_collisions_z(collisions, n, a))
         middle = (a - 1) / 2
         after = F.slice(v, F.lit(2), F.size(v))
         pairs = F.zip_with(F.slice(v, F.lit(1), F.size(v) - 1), after, lambda p, q: F.struct(p.alias("p"), q.alias("q")))
@@ -103,11 +130,12 @@ def _battery(t: Column) -> Column:
         runs = 1 + total(pairs, lambda y: ((y["p"] > middle) != (y["q"] > middle)).cast("double"))
         twice = 2 * high * (n - high)
         spread = twice * (twice - n) / (n * n * (n - 1))
-        z_runs = F.when(spread > 0, (runs - twice / n - 1) / F.sqrt(spread)).otherwise(F.lit(99.0))
+        z_runs = F.when(spread > 0, F.greatest(F.abs(runs - twice / n - 1) - 0.5, zero) / F.sqrt(spread)).otherwise(F.lit(99.0))
         mean = total(v, lambda y: y) / n
         var = total(v, lambda y: F.pow(y - mean, F.lit(2)))
         serial = F.when(var > 0, total(pairs, lambda y: (y["p"] - mean) * (y["q"] - mean)) / var).otherwise(F.lit(1.0))
-        z_serial = (serial + 1 / n) * F.sqrt(n)
+        z_serial = F.abs(serial + 1 / n) * F.sqrt(n)
+        p_random = F.least(TESTS * F.least(p_chi, 2 * _tail(z_runs), 2 * _tail(z_serial)), F.lit(1.0))
         kind = F.translate(F.regexp_replace(F.regexp_replace(F.regexp_replace(x["p"], "[0-9]", "0"), "[a-z]", "l"), "[A-Z]", "u"),
                            "+/", "mm")
         kinds = F.split(kind, "")
@@ -118,8 +146,8 @@ def _battery(t: Column) -> Column:
         return F.struct(
             x["e"].alias("encoding"),
             F.least(F.floor(n / 16).cast("int"), F.lit(BANDS - 1)).alias("band"),
-            F.least(F.floor(F.coalesce(bound, zero) / BIN_WIDTH).cast("int"), F.lit(BINS - 1)).alias("bin"),
-            ((z_chi < Z_LIMIT) & (F.abs(z_runs) < Z_LIMIT) & (F.abs(z_serial) < Z_LIMIT)).alias("random"))
+            F.least(F.floor(-F.log(F.greatest(p_random, F.lit(1e-300))) / BIN_WIDTH).cast("int"), F.lit(BINS - 1)).alias("unlike_random"),
+            F.least(F.floor(F.coalesce(bound, zero) / BIN_WIDTH).cast("int"), F.lit(BINS - 1)).alias("unlike_text"))
 
     return F.transform(F.array(state), judged)[0]
 
@@ -132,34 +160,48 @@ def _candidates(doc: DataFrame) -> Column:
     return F.transform(free, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _battery(s["text"]).alias("t")))
 
 
-def thresholds(scanned: DataFrame, false_share: float = FALSE_SHARE) -> dict[int, int]:
-    """For each length band the least evidence bin that is a discovery; counts cover every candidate."""
-    tests = scanned.select(F.explode(F.col("_free")).alias("c")).select("c.t.band", "c.t.bin", "c.t.random")
-    counts = tests.groupBy("band", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("random").cast("int")).alias("found")).collect()
+def _steps(counts: list[tuple[int, int, int]], false_share: float) -> dict[int, int]:
+    """Benjamini-Hochberg by band: the least bin whose tokens are discoveries, from (band, bin, tokens)."""
     out: dict[int, int] = {}
-    for band in {r["band"] for r in counts}:
-        rows = sorted((r["bin"], r["n"], r["found"]) for r in counts if r["band"] == band)
-        tested, rank = sum(n for _, n, _ in rows), 0
-        for at, _, found in reversed(rows):
-            rank += found
-            if rank and math.exp(-at * BIN_WIDTH) <= false_share * rank / tested:
+    for band in {b for b, _, _ in counts}:
+        rows = sorted(((at, n) for b, at, n in counts if b == band), reverse=True)
+        tested, rank = sum(n for _, n in rows), 0
+        for at, n in rows:
+            rank += n
+            if math.exp(-at * BIN_WIDTH) <= false_share * rank / tested:
                 out[band] = at
     return out
 
 
-def scan_secrets(docs: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
-    """``docs`` with ``assign``, ``access``, ``hex`` (base spans) and ``random`` (added spans), whole texts."""
+def thresholds(scanned: DataFrame, false_share: float = FALSE_SHARE) -> tuple[dict[int, int], dict[int, int]]:
+    """For each length band the least bins of tokens that are not random, and of tokens that aren't text; counts cover every candidate."""
+    tests = scanned.select(F.explode("_free").alias("c")).select("c.t.band", "c.t.unlike_random", "c.t.unlike_text")
+    counts = tests.groupBy("band", "unlike_random", "unlike_text").agg(F.count(F.lit(1)).alias("n")).collect()
+    return (_steps(_summed(counts, "unlike_random"), false_share), _steps(_summed(counts, "unlike_text"), false_share))
+
+
+def _summed(counts: list, kind: str) -> list[tuple[int, int, int]]:
+    out: dict[tuple[int, int], int] = {}
+    for r in counts:
+        out[r["band"], r[kind]] = out.get((r["band"], r[kind]), 0) + r["n"]
+    return [(band, at, n) for (band, at), n in out.items()]
+
+
+def _at_least(least: dict[int, int], test: Column, kind: str) -> Column:
+    limit = F.create_map(*[F.lit(x) for kv in sorted(least.items()) for x in kv]) if least else F.lit(None).cast("map<int,int>")
+    return test[kind] >= F.coalesce(F.try_element_at(limit, test["band"]), F.lit(BINS))
+
+
+def scan_secrets(docs: DataFrame, false_share: float = FALSE_SHARE, keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` of ``docs`` (default: all) with ``assign``, ``access``, ``hex`` (base spans) and ``random`` (added spans), whole texts."""
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in (*KINDS, "random")]
     scanned = with_base_spans(docs)
     scanned = scanned.withColumn("_free", _candidates(scanned))
-    least = thresholds(scanned, false_share)
-    if least:
-        limit = F.create_map(*[F.lit(x) for kv in sorted(least.items()) for x in kv])
-        hit = F.filter("_free", lambda c: c["t"]["random"] & (c["t"]["bin"] >= F.coalesce(F.try_element_at(limit, c["t"]["band"]), F.lit(BINS))))
-        extra = F.transform(hit, lambda c: F.struct(c["start"], c["end"]))
-    else:
-        extra = F.array().cast("array<struct<start:int,end:int>>")
-    return scanned.withColumns({"assign": F.col("_assign"), "access": F.col("_access"), "hex": F.col("_hex"), "random": extra}
-                               ).drop("_assign", "_access", "_hex", "_free", "_text")
+    scanned = materialize(scanned.select(*[F.col(f"`{c}`") for c in kept], "_assign", "_access", "_hex", "_free"), "secret-candidates")
+    not_random, not_text = thresholds(scanned, false_share)
+    hit = F.filter("_free", lambda c: _at_least(not_text, c["t"], "unlike_text") & ~_at_least(not_random, c["t"], "unlike_random"))
+    extra = F.transform(hit, lambda c: F.struct(c["start"], c["end"]))
+    return scanned.select(*[F.col(f"`{c}`") for c in kept], F.col("_assign").alias("assign"), F.col("_access").alias("access"), F.col("_hex").alias("hex"), extra.alias("random"))
 
 
 def _numbered(kind: str, no: int) -> Column:
