@@ -187,6 +187,22 @@ def test_embeddings_equal_brute_force(spark):
     assert by[None].component_id is None and not by[None].kept
 
 
+def test_embeddings_of_other_lengths_link_with_their_own(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, [float(c) for c in rng.normal(size=3)]) for i in range(6)] + [(20, [1.0, 0.3]), (21, [1.0, 0.3]), (22, [2.0, 0.61]), (23, [-1.0, 0.0]), (30, [2.0]), (31, [5.0]), (32, [-5.0])]
+    base = rng.normal(size=(20, 12))
+    rows += [(100 + i, [float(c) for c in base[i % 20] + rng.normal(size=12) * 0.1]) for i in range(120)]
+    rows += [(300, [float("nan"), 1.0]), (301, [0.0, 0.0]), (302, None), (303, []), (None, [1.0, 0.3])]
+    got = {r.vec_id: r for r in embedding.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    good = [(i, np.array(v, np.float32).astype(float)) for i, v in rows[:-5]]
+    links = [(a, b) for a, x in good for b, y in good if a < b and len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.9]
+    want = reached([i for i, _ in good], links)
+    count = Counter(i for pair in links for i in pair)
+    assert {i: (got[i].n_links, got[i].component_id) for i, _ in good} == {i: (count[i], want[i]) for i, _ in good}
+    assert got[20].n_links == 2 and got[30].component_id == 30 and got[31].component_id == 30
+    assert all(got[i].n_links == 0 and got[i].component_id == i for i in (300, 301, 302, 303)) and got[None].component_id is None
+
+
 def test_embeddings_of_an_empty_table(spark):
     assert embedding.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
@@ -238,6 +254,53 @@ def test_decontamination_equals_brute_force_over_all_starts(spark):
     assert {(r.doc_id, r.item_id): (pytest.approx(r.similarity), r.window_start) for r in got} == want
 
 
+def test_fingerprints_and_similarities_by_hand(spark):
+    rng = random.Random(21)
+    lists = [[rng.choice([rng.getrandbits(64) - (1 << 63), 5, -7]) for _ in range(n)] for n in (1, 2, 3, 40, 333, 70_000)] + [[-1] * 40_000, [1 << 62] * 3]
+    df = spark.createDataFrame([(i, x, lists[(i + 1) % 5][:50]) for i, x in enumerate(lists)], "i int, a array<bigint>, b array<bigint>")
+    for r in df.select("i", "b", decontam.simhash(F.col("a")).alias("print"), decontam.similarity(F.slice("a", 1, 60), F.col("b")).alias("s")).collect():
+        x = lists[r.i]
+        votes = [sum(h >> k & 1 for h in x) for k in range(64)]
+        want = sum(1 << k for k in range(64) if 2 * votes[k] > len(x))
+        assert r.print % (1 << 64) == want
+        one, two = Counter(x[:60]), Counter(r.b)
+        assert r.s == pytest.approx((one & two).total() / (one | two).total())
+
+
+def test_blocks_find_every_fingerprint_within_the_radius(spark):
+    """Each pair within the radius comes once; the index alone, without shingles to guide it."""
+    rng = random.Random(22)
+    prints = [rng.getrandbits(64) for _ in range(12)]
+    asked = []
+    for k, n in enumerate((0, 1, 4, 5, 12, 19, 19, 19, 19, 19, 20, 24)):
+        flipped = prints[k]
+        for bit in (rng.sample(range(64), n) if k != 8 else range(19)):  # all in the lowest blocks
+            flipped ^= 1 << bit
+        asked.append(flipped)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    items = spark.createDataFrame([(i, signed(p)) for i, p in enumerate(prints)], "item_id int, item_print bigint").selectExpr(
+        "*", "array(1L) AS item", "1 AS least", "1 AS most")
+    probes = spark.createDataFrame([(i, signed(p)) for i, p in enumerate(asked)], "q int, print bigint").select("*", F.explode(decontam._keys(F.col("print"))).alias("k")).select("q", "print", "k.*")
+    difference = F.col("print").bitwiseXOR(F.col("item_print"))
+    met = decontam._filed(items, decontam.RADIUS).join(probes, ["block", "value"]).where(decontam._first_block(difference, decontam.RADIUS) == F.col("block"))
+    got = Counter((r.q, r.item_id) for r in met.select("q", "item_id").collect())
+    assert set(got.values()) == {1}
+    assert {(q, i) for q, a in enumerate(asked) for i, p in enumerate(prints) if (a ^ p).bit_count() <= decontam.RADIUS} <= set(got)
+    assert {(k, k) for k in range(10)} <= set(got)
+
+
+def test_a_window_meets_all_items_of_its_width(spark):
+    rng = random.Random(23)
+    one = [f"w{i}" for i in range(40)]
+    two = list(one)
+    two[20] = "other"
+    other = [f"x{i}" for i in range(40)]
+    docs = docs_of(spark, [(1, " ".join(["a", "b"] + one + ["c"] * 9), "s"), (2, " ".join(one[:34]), "s"), (3, " ".join(rng.choices(one, k=60)), "s")])
+    items = spark.createDataFrame([(0, " ".join(one)), (1, " ".join(two)), (2, " ".join(other)), (3, " ".join(one[:34]))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.contamination(docs, items).collect()}
+    assert got == {(1, 0): 1.0, (1, 3): 1.0, (2, 0): pytest.approx(30 / 36), (2, 3): 1.0}
+
+
 def test_shards_fit_and_follow_the_rule(spark, corpus):
     got = sharding.shard(docs_of(spark, corpus), limit=4000).collect()
     assert len(got) == len(corpus)
@@ -356,6 +419,75 @@ def test_feistel_is_a_permutation(spark):
     assert out.distinct().count() == 300 and out.where("o[0] >= 5 or o[1] >= 60").count() == 0
 
 
+def test_token_counts_of_very_long_words(spark):
+    """Memory must grow with the longest word, not with its square."""
+    import resource
+
+    from tokenizers import Tokenizer
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=100_000)), "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(20_000)),
+             "short words <|endoftext|> and " + "z" * 30_000]
+    path = queries.vocabulary()
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    counter = tokens.PrefixCounter(open(path, encoding="utf-8").read())
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert [counter.count(t) for t in texts] == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400 << 10  # kilobytes
+    assert max(map(len, counter.front)) <= tokens.SHARED >= max(map(len, counter.known), default=0)
+
+
+def plain_ftrl(inputs, labels, epochs, alpha, beta, l1, l2):
+    """FTRL-proximal as published, one coordinate at a time."""
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        shrink = 0.0 if i == toxicity.DIMENSIONS else l1
+        return 0.0 if abs(z[i]) <= shrink else -(z[i] - math.copysign(shrink, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(epochs):
+        for row in order.permutation(len(inputs)):
+            w = {i: weight(i) for i in inputs[row]}
+            p = 1 / (1 + math.exp(-max(-35, min(35, sum(w.values())))))
+            g = p - labels[row]
+            for i in inputs[row]:
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_toxicity_weights_equal_plain_ftrl(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(9)
+    coords = [np.unique(rng.integers(0, 60, rng.integers(1, 15))).astype(np.int32) for _ in range(150)]
+    labels = [float((c < 6).any()) for c in coords]
+    frame = pd.DataFrame({"ord": range(150), "label": labels, "coords": coords})
+    settings = {"alpha": 0.2, "beta": 1.0, "l1": 0.7, "l2": 0.05}
+    got = toxicity._fitted(3, settings)(frame).set_index("coord")["weight"].to_dict()
+    met = Counter(int(i) for c in coords for i in c)
+    inputs = [[int(i) for i in c if met[int(i)] >= toxicity.LEAST_DOCS] + [toxicity.DIMENSIONS] for c in coords]
+    want = plain_ftrl(inputs, labels, 3, **settings)
+    assert {i for i, w in want.items() if w} - {toxicity.DIMENSIONS} == set(got) - {toxicity.DIMENSIONS}
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in got) and 5 < len(got) < 60
+
+
+def test_toxicity_sample_is_bounded_in_bytes(spark, monkeypatch):
+    docs = docs_of(spark, [(i, ("vile " if i % 2 else "kind ") + "word " * 400, "s") for i in range(300)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    sizes = []
+    monkeypatch.setattr(toxicity, "_featurized", toxicity._featurized)
+    for limit in (96 << 20, 100_000):
+        monkeypatch.setattr(toxicity, "TRAIN_BYTES", limit)
+        sizes.append(len(toxicity.train(docs, labels)))
+    assert sizes[0] >= sizes[1] > 0
+    last = toxicity.score(docs, toxicity.train(docs, labels)).where(toxicity.held_out(F.col("doc_id"))).collect()
+    assert sum((r.score > 0.5) == bool(r.doc_id % 2) for r in last) / len(last) > 0.9
+
+
 def test_toxicity_learns_and_holds_out(spark):
     rng = random.Random(2)
     vocab = [f"n{i}" for i in range(300)]
@@ -400,6 +532,91 @@ def test_secret_spans_equal_the_patterns(spark):
         assert r.s == ",".join(s for *_, s in spans)
 
 
+def plain_tail(z):
+    above = math.exp(-z * z / 2) / (1.64 * abs(z) + math.sqrt(0.76 * z * z + 4))
+    return 1 - above if z < 0 else above
+
+
+def plain_battery(token):
+    """(encoding, p of a random string, p of ordinary text) of one token."""
+    body = token.rstrip("=")
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", body):
+        encoding, body = "hex", body.lower()
+    elif re.fullmatch("[A-Z2-7]+", body):
+        encoding = "base32"
+    else:
+        encoding, body = ("base62", body) if body.isalnum() else ("base64", body.replace("-", "+").replace("_", "/"))
+    alphabet = secret_scan.ALPHABETS[encoding]
+    n, a, v = len(body), len(alphabet), [alphabet.index(c) for c in body]
+    pairs, p = n * (n - 1) / 2, 1 / a
+    equal = sum(x == y for i, x in enumerate(v) for y in v[:i])
+    var = pairs * p * (1 - p)
+    third = pairs * p * (1 - p) * (1 - 2 * p) + n * (n - 1) * (n - 2) * p * p * (1 - p)
+    shape = 4 * var ** 3 / third ** 2
+    z_chi = 3 * math.sqrt(shape) * (max(1 + (equal - 0.5 - pairs * p) / math.sqrt(var * shape), 1e-9) ** (1 / 3) - 1 + 1 / (9 * shape))
+    high = [x > (a - 1) / 2 for x in v]
+    h = sum(high)
+    runs = 1 + sum(x != y for x, y in zip(high, high[1:]))
+    twice = 2 * h * (n - h)
+    spread = twice * (twice - n) / (n * n * (n - 1))
+    z_runs = max(abs(runs - twice / n - 1) - 0.5, 0) / math.sqrt(spread) if spread > 0 else 99.0
+    mean = sum(v) / n
+    total = sum((x - mean) ** 2 for x in v)
+    z_serial = abs((sum((x - mean) * (y - mean) for x, y in zip(v, v[1:])) / total if total else 1.0) + 1 / n) * math.sqrt(n)
+    p_random = min(1.0, 3 * min(plain_tail(z_chi), 2 * plain_tail(z_runs), 2 * plain_tail(z_serial)))
+    kinds = ["0" if c.isdigit() else "l" if c.islower() else "u" if c.isupper() else "m" for c in body]
+    share, usual = min(sum(x != y for x, y in zip(kinds, kinds[1:])) / (n - 1), 1 - 1e-9), secret_scan.SWITCH_RATE
+    bound = (n - 1) * (share * math.log(share / usual) + (1 - share) * math.log((1 - share) / (1 - usual))) if share > usual else 0.0
+    return encoding, p_random, bound
+
+
+def plain_added_spans(texts, q):
+    """Candidates of all texts, judged by two Benjamini-Hochberg steps over sorted lists."""
+    tokens = []
+    for d, text in enumerate(texts):
+        base = [m.span() for k, (p, ok) in BASE.items() for m in p.finditer(text) if ok(m)]
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", text):
+            if not any(a < m.end() and m.start() < b for a, b in base):
+                _, p, bound = plain_battery(m.group())
+                steps = lambda x: min(int(max(x, 0) // secret_scan.BIN_WIDTH), secret_scan.BINS - 1) * secret_scan.BIN_WIDTH
+                tokens.append((d, m.span(), min(len(m.group().rstrip("=")) // 16, secret_scan.BANDS - 1), steps(-math.log(max(p, 1e-300))), steps(bound)))
+    out = set()
+    for band in {t[2] for t in tokens}:
+        of_band = [t for t in tokens if t[2] == band]
+
+        def found(at):
+            ranked = sorted((t[at] for t in of_band), reverse=True)
+            least = [e for i, e in enumerate(ranked) if math.exp(-e) <= q * (i + 1 + sum(x == e for x in ranked[i + 1:])) / len(ranked)]
+            return {t[:2] for t in of_band if least and t[at] >= min(least)}
+
+        out |= found(4) - found(3)
+    return out
+
+
+def test_added_spans_equal_two_plain_steps(spark):
+    rng = random.Random(14)
+    b64 = secret_scan.ALPHABETS["base64"]
+    texts = []
+    for _ in range(300):
+        parts = ["".join(rng.choices("abcdefghij", k=rng.randrange(20, 60))), "some_ordinary_name_of_thing", "CamelCaseWordsInARowAgain" * rng.randrange(1, 4),
+                 "".join(rng.choices(b64, k=rng.randrange(20, 130))), "".join(rng.choices("0123456789ABCDEF", k=rng.choice([20, 32, 64]))), "path/to/some/file-of-2024/x1",
+                 "aB3" * rng.randrange(7, 30), b64[:rng.randrange(20, 64)], "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=40)) + "==", "-" * 30, "A1" * 12]
+        texts.append(" ".join(rng.sample(parts, rng.randrange(6))))
+    got = secret_scan.scan_secrets(docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)]), keep=["doc_id"]).select("doc_id", "random").collect()
+    want = plain_added_spans(texts, secret_scan.FALSE_SHARE)
+    assert {(r.doc_id, (x.start, x.end)) for r in got for x in r.random} == want and len(want) > 100
+
+
+def test_battery_is_true_to_length(spark):
+    """Random strings of every length and alphabet fall below a level about as often as the level says."""
+    rng = random.Random(15)
+    for name, alphabet in secret_scan.ALPHABETS.items():
+        for n in (20, 28, 48, 120):
+            p = [plain_battery("".join(rng.choices(alphabet, k=n)))[1] for _ in range(600)]
+            for level in (0.05, 0.01):
+                assert sum(x <= level for x in p) / len(p) <= 1.6 * level + 0.008, (name, n, level)
+
+
 def test_battery_adds_random_strings_only(spark):
     rng = random.Random(9)
     alphabet = secret_scan.ALPHABETS["base64"]
