@@ -150,12 +150,12 @@ def signatures(docs: DataFrame, percent: int = PERCENT, last: np.ndarray | None
         signed, "doc_id long, n int, k1 long, k2 long, short array<long>, late boolean")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the similarity; ``pairs`` also has ``h``, a shingle they share.
+def _in_blocks(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows (h, block, side, the columns of ``docs``, with): ``docs`` go to where their pairs (a, b, h) are.
 
-    Texts go to where their pairs are: the pairs that share h form a rectangle that is cut into blocks of some
-    hundred documents a side, and each block gets the text of each of its documents once. Partitions are read as
-    streams that hold the sets of one block side at a time.
+    The pairs that share h form a rectangle that is cut into blocks of some hundred documents a side, and
+    each block gets each of its documents once: those of side 0 first, then those of side 1 ``with`` the
+    ids they are to be held against.
     """
     pairs = materialize(pairs.groupBy("a", "b").agg(F.min("h").alias("h")), "pairs")
     # sides of more than one block; the documents of a side are counted, however few are on the other
@@ -165,45 +165,88 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFra
         "block", F.pmod(F.xxhash64("a"), F.col("g_a")) * F.col("g_b") + F.pmod(F.xxhash64("b"), F.col("g_b")))
     placed = materialize(placed.groupBy("h", "block", "b").agg(F.collect_list("a").alias("with")), "pair-blocks")
     size = placed.agg(F.coalesce(F.sum(F.size("with") * 8 + 40), F.lit(0))).first()[0]
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     firsts = placed.select("h", "block", F.explode("with").alias("doc_id")).distinct()
-    rows = texts.join(small(firsts, size, 1), "doc_id").select("h", "block", F.lit(0).alias("side"), "doc_id", "text", F.lit(None).cast("array<bigint>").alias("with"))
-    rows = rows.unionByName(texts.join(small(placed, size, 1), F.col("doc_id") == F.col("b")).select("h", "block", F.lit(1).alias("side"), "doc_id", "text", "with"))
-    rows = rows.repartition("h", "block").sortWithinPartitions("h", "block", "side")
+    own = [F.col(c) for c in docs.columns]
+    rows = docs.join(small(firsts, size, 1), "doc_id").select("h", "block", F.lit(0).alias("side"), *own, F.lit(None).cast("array<bigint>").alias("with"))
+    rows = rows.unionByName(docs.join(small(placed, size, 1), F.col("doc_id") == F.col("b")).select("h", "block", F.lit(1).alias("side"), *own, "with"))
+    return rows.repartition("h", "block").sortWithinPartitions("h", "block", "side")
+
+
+def _held_against(rows: DataFrame, entries, decide) -> DataFrame:
+    """The pairs (a, b, h) that ``decide(entries of some a, entry of b)`` accepts; ``entries`` makes them from a batch.
+
+    Partitions are read as streams that hold the entries of one block side at a time.
+    """
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, {}
         for batch in batches:
             for i, j in _batches(batch):
                 part = batch.slice(i, j - i)
-                out_a, out_b = [], []
+                out = [], [], []
                 columns = [part.column(c).to_pylist() for c in ("h", "block", "side", "doc_id", "with")]
-                for h, block, side, doc, others, s in zip(*columns, shingle_sets(part.column("text")), strict=True):
+                for h, block, side, doc, others, s in zip(*columns, entries(part), strict=True):
                     if (h, block) != key:
                         key, held = (h, block), {}
                     if not side:
                         held.setdefault(doc, []).append(s)  # more than one only where an id repeats
                         continue
                     of = [(a, x) for a in others for x in held.get(a, ())]
-                    for (a, _), yes in zip(of, linked([x for _, x in of], s, percent), strict=True):
+                    for (a, _), yes in zip(of, decide([x for _, x in of], s), strict=True):
                         if yes:
-                            out_a.append(a)
-                            out_b.append(doc)
-                yield pa.RecordBatch.from_arrays([pa.array(out_a, type=pa.int64()), pa.array(out_b, type=pa.int64())], ["a", "b"])
+                            for column, value in zip(out, (a, doc, h), strict=True):
+                                column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in out], ["a", "b", "h"])
 
-    return rows.mapInArrow(probed, "a long, b long").distinct()
+    return rows.mapInArrow(probed, "a long, b long, h long")
 
 
-def linked(xs: list[np.ndarray], y: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Which of the sorted sets reach the similarity with another, by binary probes of their shingles in it."""
+def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) whose whole sets reach the similarity; ``pairs`` also has ``h``, a shingle they share."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = _held_against(_in_blocks(pairs, texts), lambda part: shingle_sets(part.column("text")), lambda xs, y: linked(xs, y, percent))
+    return found.select("a", "b").distinct()
+
+
+def promising(pairs: DataFrame, signs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b, h) that their short lists don't rule out: common shingles are counted, and the long lists could add the rest.
+
+    Short lists are about a fifth of the sets, so this spares most of the texts their way.
+    """
+
+    def entries(part: pa.RecordBatch) -> list[tuple]:
+        short = part.column("short")
+        ends = short.offsets.to_numpy()
+        every = short.values.to_numpy(zero_copy_only=False)
+        return [(np.sort(every[i:j]), n, (late, int(every[j - 1]))) for i, j, n, late in zip(
+            ends[:-1], ends[1:], part.column("n").to_pylist(), part.column("late").to_pylist(), strict=True)]
+
+    def possible(xs: list[tuple], y: tuple) -> list[bool]:
+        out = []
+        for shared, (_, n, end) in zip(common([x[0] for x in xs], y[0]), xs, strict=True):
+            rest = -(-(n if end <= y[2] else y[1]) * percent // 100) - 1
+            out.append((100 + percent) * (int(shared) + rest) >= percent * (n + y[1]))
+        return out
+
+    return _held_against(_in_blocks(pairs, signs.select("doc_id", "n", "short", "late")), entries, possible)
+
+
+def common(xs: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """How many values of each sorted set another has, by binary probes."""
     size = np.fromiter(map(len, xs), dtype=np.int64, count=len(xs))
     if not len(y) or not size.sum():
-        return np.zeros(len(xs), dtype=bool)
+        return np.zeros(len(xs), dtype=np.int64)
     every = np.concatenate(xs)
     hit = y[np.minimum(np.searchsorted(y, every), len(y) - 1)] == every
     ends = np.cumsum(size)
     sums = np.concatenate([[0], np.cumsum(hit)])
-    both = sums[ends] - sums[ends - size]
+    return sums[ends] - sums[ends - size]
+
+
+def linked(xs: list[np.ndarray], y: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Which of the sorted sets reach the similarity with another."""
+    size = np.fromiter(map(len, xs), dtype=np.int64, count=len(xs))
+    both = common(xs, y)
     return (size > 0) & (100 * both >= percent * (size + len(y) - both))
 
 
@@ -295,7 +338,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, long: int = LONG
     members = with_component(lists)
     several = materialize(members.select("h", "comp").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"), "jaccard-mixed")
     rows = materialize(members.join(small(several, several.count(), 16), "h", "left_semi"), "jaccard-met")
-    met = meetings(rows, percent).where(_possible(F.col("found") + F.col("later"), percent))
+    met = promising(meetings(rows, percent).where(_possible(F.col("found") + F.col("later"), percent)), own, percent)
     more = materialize(verify(met, docs, percent), "jaccard-links")
     every = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
     every = materialize(every, "jaccard-components")
