@@ -4,10 +4,13 @@ Words are runs of ASCII letters and digits, in either case, and of characters be
 Features of a text are the distinct hashed words, their beginnings of three to five
 bytes (languages that inflect), neighbouring word pairs and pairs with one word between,
 over its whole length; features met in fewer than ``LEAST_DOCS`` training rows teach nothing. Training visits a bounded sample of labelled rows in one task
-(``train_rows``; one pass after another in a fixed order), with a learning rate for each
+(``TRAIN_ROWS`` rows and ``TRAIN_BYTES`` of text at most; one pass after another in a fixed order), with a learning rate for each
 coordinate and L1 sparsity, so that what is sent to the executors is a short list of
 non-zero weights. Scoring reads every text once, on all executors.
 
+Passes, rate and L1 were chosen by ``tests/llm/choose_toxicity.py`` among rows that may teach: those with
+crc32 mod 3 = 0 learn, those with 2 judge. Held-out rows have no part in it.
+
 Defined cases: a null or empty text has the score of the bias alone; without training rows
 of both classes every score is 0; several label rows of one id count as their largest
 label; null labels and null ids teach nothing; repeated documents are scored each.
@@ -23,13 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripgate.llm.common import ship
+from tripgate.llm.common import materialize, ship
 from tripgate.llm.wordhash import LETTERS, word_hashes
 
 DIMENSIONS = 1 << 20
 TRAIN_ROWS = 20_000
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 4.0, 0.05
+TRAIN_BYTES = 96 << 20
+EPOCHS = 2
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.05
 THRESHOLD = 0.7
 LEAST_DOCS = 4
 BEGINNINGS = (3, 4, 5)
@@ -96,13 +100,13 @@ class Ftrl:
         self.n[at] = grown
 
 
-def _fitted(epochs: int):
+def _fitted(epochs: int, settings: dict[str, float]):
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["ord", "label"], kind="stable")
         labels = rows["label"].to_numpy(dtype=float)
         if len(set(labels)) < 2:
             return pd.DataFrame({"coord": pd.Series(dtype="int64"), "weight": pd.Series(dtype="float64")})
-        model = Ftrl()
+        model = Ftrl(**settings)
         met = np.bincount(np.concatenate([*rows["coords"], np.zeros(0, dtype=np.int32)]), minlength=DIMENSIONS + 1)
         inputs = [np.append(np.asarray(c, dtype=np.int64)[met[c] >= LEAST_DOCS], DIMENSIONS) for c in rows["coords"]]
         order = np.random.default_rng(7)
@@ -123,11 +127,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epochs: int = EPOCHS) -> dict[int, float]:
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epochs: int = EPOCHS, **settings: float) -> dict[int, float]:
     """Non-zero weights learned from at most about ``train_rows`` labelled, not held-out rows.
 
-    The sample is the rows whose hashed id falls in the share that gives that many. The
-    result has at most ``DIMENSIONS`` + 1 entries, whatever the corpus.
+    The sample is the rows whose hashed id falls in the share that gives that many; if their texts
+    exceed ``TRAIN_BYTES``, a smaller share. The result has at most ``DIMENSIONS`` + 1 entries,
+    whatever the corpus. ``settings`` are those of ``Ftrl``.
     """
     ship(docs.sparkSession)
     known = (labels.select(F.col("doc_id").alias("doc_id"), F.col("toxic").cast("double").alias("label"))
@@ -136,9 +141,12 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epoc
              .withColumn("ord", F.xxhash64("doc_id", F.lit("toxicity"))))
     share = min(1.0, train_rows / max(1, known.count()))
     known = known.where(F.pmod("ord", F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("ord", "label", "text")
+    rows = materialize(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known), "doc_id").select("ord", "label", "text"), "toxicity-sample")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > TRAIN_BYTES:
+        rows = rows.where(F.pmod("ord", F.lit(1 << 20)) < int(share * TRAIN_BYTES / size * (1 << 20)))
     rows = rows.mapInArrow(_featurized, "model int, ord long, label double, coords array<int>")
-    fitted = rows.groupBy("model").applyInPandas(_fitted(epochs), "coord long, weight double")
+    fitted = rows.groupBy("model").applyInPandas(_fitted(epochs, settings), "coord long, weight double")
     return {r["coord"]: r["weight"] for r in fitted.collect()}
 
 
