@@ -1,7 +1,12 @@
-"""A training corpus from raw documents: toxicity, near duplicates, benchmark leaks, mixing, shards."""
+"""A training corpus from raw documents: toxicity, near duplicates, benchmark leaks, mixing, shards.
+
+Columns beyond those of ``documents`` go through every stage untouched, whatever their names; only the
+last stage's own (n_bytes, shard, depth, shard_bytes) replace columns of these names. An empty table stays empty.
+"""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,11 +18,33 @@ from tripgate.llm.common import BLANKS, WORD, materialize, small, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+OWN_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def shielded(stage: Stage) -> Stage:
+    """``stage`` with all further columns packed away, so that their names can't meet those that it uses."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        extra = [c for c in docs.columns if c not in OWN_COLUMNS]
+        if not extra:
+            return stage(spark, docs, sf_dir)
+        own = [c for c in docs.columns if c in OWN_COLUMNS]
+        held = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(extra)])
+        out = stage(spark, docs.select(*own, held.alias("held_columns")), sf_dir)
+        added = [c for c in out.columns if c not in (*own, "held_columns")]
+        back = {c: F.col(f"held_columns.c{i}") for i, c in enumerate(extra)}
+        return out.select(*[back[c].alias(c) if c in back else F.col(c) for c in docs.columns if c not in added], *added)
+
+    return run_stage
+
+
 def keyed(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with ``_row``, a number of its own for each row, written once so that all reads see the same numbers."""
     return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), name)
 
 
+@shielded
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; it learns from the labelled ones of this stage's input."""
     weights = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -25,6 +52,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 0").select(*docs.columns)
 
 
+@shielded
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows linked by 5-word shingles at 0.8 the one with the smallest id stays, null ids last; then the first row.
 
@@ -45,6 +73,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return rows.join(small(gone, gone.count(), 16), "_row", "left_anti").select(*docs.columns)
 
 
+@shielded
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text holds a benchmark item go, whatever their id."""
     gone = materialize(decontam.contaminated_texts(docs, table(spark, sf_dir, "benchmark")), "contaminated")
@@ -62,6 +91,7 @@ def _cut(text: Column, size: Column, runs: Column) -> Column:
     return F.when(F.forall(runs, is_all), F.transform(runs, lambda r: text)).otherwise(cut)
 
 
+@shielded
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of each document: a row for every unbroken run of words of each pass, with that text.
 
@@ -94,6 +124,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return taken.withColumn("text", F.col("_piece")).select(*docs.columns)
 
 
+@shielded
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row with its shard."""
     return sharding.shard(docs, keep=docs.columns)
