@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF_SMALL
@@ -70,3 +71,33 @@ def test_stages_judge_rows_and_not_ids(spark):
     assert sorted(map(key, kept)) == sorted(map(key, [(1, a), (None, b), (None, None)]))
     found = decontam.contamination(docs, spark.read.parquet(known)).collect()
     assert {r.doc_id for r in found} == {None, 1}
+
+
+ODD = ("_row", "_of", "_group", "_key", "key", "h", "n", "_size", "_runs", "_piece", "_text", "score", "predicted", "label", "ord", "model", "cell", "_hi", "held_columns", "shard")
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(120).select(
+        "doc_id", *[F.concat(F.lit(f"{c}:"), F.col("doc_id")).alias(c) for c in ODD], "text", "lang", "source", "n_chars")
+    kept = spark.createDataFrame(docs.collect(), docs.schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, kept, SF_SMALL)
+        last = name == "sharding"
+        assert out.columns[:len(docs.columns) - last] == [c for c in docs.columns if not (last and c == "shard")], name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}:{r.doc_id}" for r in rows for c in ODD if not (last and c == "shard")), name
+        kept = spark.createDataFrame(rows, out.schema)
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    con = duck(SF_SMALL)
+    for table in ("documents", "labels", "benchmark"):
+        con.sql(f"SELECT * FROM {table} LIMIT 0").write_parquet(f"{tmp_path}/{table}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and {"doc_id", "text", "shard"} <= set(out.columns)
+    # documents without labels and items: nothing is toxic, nothing leaks
+    (tmp_path / "some").mkdir()
+    con.sql("SELECT * FROM documents LIMIT 40").write_parquet(f"{tmp_path}/some/documents.parquet")
+    for table in ("labels", "benchmark"):
+        con.sql(f"SELECT * FROM {table} LIMIT 0").write_parquet(f"{tmp_path}/some/{table}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/some").count() > 0
