@@ -5,6 +5,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
+from tripgate import session
 from tripgate.config import PipelineConfig
 from tripgate.plans import pipeline, publish
 from tripgate.session import checkpoint_dir
@@ -103,3 +104,12 @@ def test_source_columns_go_through_in_the_pipeline_zone(spark, scratch):
     assert info["rows_downloaded"] == 2
     assert [(r.trip_id, r.seen, r.remark) for r in landed] == [
         ("mid", "2023-01-01T06:00:00.000", "note, quoted"), ("late", "2023-01-01T23:30:00.000", "note, quoted")]
+
+
+def test_scratch_folders_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(session, "_SCRATCH", {})
+    kept = session.materialize(spark.range(5), "kept")
+    folder = kept.inputFiles()[0].rpartition("/")[0]
+    assert documents.holds(spark, folder, ".parquet")
+    assert session.drop_scratch(spark) == 1 and session.drop_scratch(spark) == 0
+    assert not documents.exists(spark, folder)

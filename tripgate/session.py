@@ -77,9 +77,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Scratch folders of each application, for ``drop_scratch``.
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared checkpoint location."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/tripgate-{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tripgate-{label}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders of this application; how many. Frames that read them are gone with them."""
+    jvm, removed = spark.sparkContext._jvm, 0
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        removed += folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return removed
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
