@@ -44,6 +44,24 @@ def test_runs_publish_and_verify(spark, lake):
     assert silver["raw_rows"] == silver["clean_rows"] + silver["rejected_rows"] + silver["duplicate_valid_rows"]
 
 
+def test_gold_candidates_are_single_files(spark, lake):
+    """K3: one Parquet file a table, in the batch's private area."""
+    prefix = lake["w2"]["candidate"]["candidate_prefix"]
+    for name in ("daily_revenue", "daily_trip_metrics", "top_pickup_zones"):
+        assert len([n for n in documents.children(spark, f"{prefix}/{name}") if n.endswith(".parquet")]) == 1
+
+
+def test_silver_is_one_folder_for_each_disposition(spark, lake):
+    silver = lake["w2"]["silver"]
+    folders = [n for n in documents.children(spark, silver["rejected_key"]) if n.startswith("disposition=")]
+    assert folders == ["disposition=clean", "disposition=duplicate", "disposition=invalid"]
+    assert schemas.read(spark, silver["silver_key"], schemas.SILVER).count() == silver["clean_rows"]
+    rejected = pipeline.rejected_records(spark, silver["rejected_key"], "w2")
+    assert rejected.count() == silver["rejected_rows"] + silver["duplicate_valid_rows"]
+    scan = rejected._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in scan and "disposition" in scan.split("PartitionFilters", 1)[1][:200]
+
+
 def test_snapshot_semantics(spark, lake):
     c = cfg(lake["root"], "2024-01-16", "2024-01-31")
     days = [r.trip_date for r in pub.read_published(spark, c, "daily_revenue").collect()]
