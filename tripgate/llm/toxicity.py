@@ -21,13 +21,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgate.llm.common import materialize, ship
-from tripgate.llm.wordhash import LETTERS, word_hashes
+from tripgate.llm.wordhash import LETTERS, stretches, word_hashes
 
 DIMENSIONS = 1 << 20
 TRAIN_ROWS = 20_000
@@ -61,21 +60,15 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(coords)
 
 
-def _slices(texts: pa.Array, rows: int = 256) -> Iterator[tuple[int, int]]:
-    return ((i, min(i + rows, len(texts))) for i in range(0, len(texts), rows))
-
-
 def _featurized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts, out = b.column("text"), []
-        for i, j in _slices(texts):
+        for i, j in stretches(texts):
             row, coord = features(texts.slice(i, j - i))
             key = np.unique(row * DIMENSIONS + coord)
             cut = np.searchsorted(key, np.arange(j - i + 1) * DIMENSIONS)
             out += [(key[cut[k]:cut[k + 1]] % DIMENSIONS).astype(np.int32) for k in range(j - i)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.zeros(len(texts), dtype=np.int32)), b.column("ord"), b.column("label"), pa.array(out, type=pa.list_(pa.int32()))],
-            ["model", "ord", "label", "coords"])
+        yield pa.RecordBatch.from_arrays([b.column("ord"), b.column("label"), pa.array(out, type=pa.list_(pa.int32()))], ["ord", "label", "coords"])
 
 
 class Ftrl:
@@ -100,26 +93,39 @@ class Ftrl:
         self.n[at] = grown
 
 
-def _fitted(epochs: int, settings: dict[str, float]):
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["ord", "label"], kind="stable")
-        labels = rows["label"].to_numpy(dtype=float)
-        if len(set(labels)) < 2:
-            return pd.DataFrame({"coord": pd.Series(dtype="int64"), "weight": pd.Series(dtype="float64")})
-        model = Ftrl(**settings)
-        met = np.bincount(np.concatenate([*rows["coords"], np.zeros(0, dtype=np.int32)]), minlength=DIMENSIONS + 1)
-        inputs = [np.append(np.asarray(c, dtype=np.int64)[met[c] >= LEAST_DOCS], DIMENSIONS) for c in rows["coords"]]
-        order = np.random.default_rng(7)
-        for _ in range(epochs):
-            for i in order.permutation(len(inputs)):
-                model.learn(inputs[i], labels[i])
-        every = np.arange(DIMENSIONS + 1)
-        w = model.weights(every)
-        kept = np.flatnonzero(w)
-        kept = np.union1d(kept, [DIMENSIONS])
-        return pd.DataFrame({"coord": kept, "weight": w[kept]})
-
-    return fit
+def fitted(coords: np.ndarray, lengths: np.ndarray, ords: np.ndarray, labels: np.ndarray, epochs: int, **settings: float) -> dict[int, float]:
+    """Weights from rows given as one array of coordinates and each row's number of them; rows are visited in an order of their own.
+
+    Nothing without rows of both classes.
+    """
+    if len(set(labels.tolist())) < 2:
+        return {}
+    met = np.bincount(coords, minlength=DIMENSIONS + 1) >= LEAST_DOCS
+    kept = met[coords]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    sums = np.concatenate([[0], np.cumsum(kept)])
+    coords, cuts = coords[kept], sums[ends]
+    model = Ftrl(**settings)
+    rows, order = np.lexsort((labels, ords)), np.random.default_rng(7)
+    for _ in range(epochs):
+        for i in rows[order.permutation(len(rows))]:
+            model.learn(np.append(coords[cuts[i]:cuts[i + 1]], DIMENSIONS), labels[i])
+    w = model.weights(np.arange(DIMENSIONS + 1))
+    return {int(i): float(w[i]) for i in np.union1d(np.flatnonzero(w), [DIMENSIONS])}
+
+
+def _trained(epochs: int, settings: dict[str, float]):
+    def train_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for b in batches:
+            c = b.column("coords")
+            parts.append((c.flatten().to_numpy().astype(np.int32), np.diff(c.offsets.to_numpy()).astype(np.int64), b.column("ord").to_numpy(), b.column("label").to_numpy()))
+        whole = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        del parts
+        weights = fitted(*whole, epochs, **settings)
+        yield pa.RecordBatch.from_arrays([pa.array(list(weights), pa.int64()), pa.array(list(weights.values()), pa.float64())], ["coord", "weight"])
+
+    return train_all
 
 
 def held_out(doc_id: Column) -> Column:
@@ -145,9 +151,10 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epoc
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if size > TRAIN_BYTES:
         rows = rows.where(F.pmod("ord", F.lit(1 << 20)) < int(share * TRAIN_BYTES / size * (1 << 20)))
-    rows = rows.mapInArrow(_featurized, "model int, ord long, label double, coords array<int>")
-    fitted = rows.groupBy("model").applyInPandas(_fitted(epochs, settings), "coord long, weight double")
-    return {r["coord"]: r["weight"] for r in fitted.collect()}
+    rows = rows.mapInArrow(_featurized, "ord long, label double, coords array<int>")
+    # one task, whose rows and bytes are bounded
+    weights = rows.repartition(1).mapInArrow(_trained(epochs, settings), "coord long, weight double")
+    return {r["coord"]: r["weight"] for r in weights.collect()}
 
 
 def score(docs: DataFrame, weights: dict[int, float], threshold: float = THRESHOLD, keep_text: bool = False) -> DataFrame:
@@ -166,7 +173,7 @@ def score(docs: DataFrame, weights: dict[int, float], threshold: float = THRESHO
         for b in batches:
             texts = b.column(text)
             total = np.full(len(texts), dense[DIMENSIONS])
-            for i, j in _slices(texts):
+            for i, j in stretches(texts):
                 row, coord = features(texts.slice(i, j - i))
                 hit = dense[coord] != 0
                 key = np.unique(row[hit] * DIMENSIONS + coord[hit])

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: The base's inverse modulo 2^64.
@@ -85,6 +86,19 @@ def word_hashes(texts: pa.Array, word: np.ndarray = NOT_BLANK, beginnings: tuple
     return count, np.concatenate(parts)
 
 
+def stretches(texts: pa.Array, rows: int = 256, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Cuts of a string array into runs of at most ``rows`` texts and ``size`` bytes (or a single text), so that
+    what is made of a run has a bound."""
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(lengths)
+    i = 0
+    while i < len(texts):
+        before = ends[i] - lengths[i]
+        j = max(i + 1, min(i + rows, int(np.searchsorted(ends, before + size, side="right"))))
+        yield i, j
+        i = j
+
+
 def _pieces(data: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, int]]:
     """Cuts of about a megabyte that part no word; they may part texts."""
     a, stop = int(offsets[0]), int(offsets[-1])
