@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tripgate.llm.common import materialize, ship, small
 from tripgate.llm.components import components
-from tripgate.llm.wordhash import mixed, word_hashes
+from tripgate.llm.wordhash import mixed, stretches, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
@@ -103,14 +103,14 @@ def frequent(docs: DataFrame, least: int, most: int = MOST_LONG) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(h[n > 2]), pa.array(n[n > 2].astype(np.int64))], ["h", "n"])
 
         for b in batches:
-            for i, j in _batches(b):
+            for i, j in stretches(b.column("text")):
                 for s in shingle_sets(b.column("text").slice(i, j - i)):
                     key = xxhash.xxh3_64_intdigest(s.tobytes())
                     if key not in met:
                         met.add(key)
                         held.append(s)
                         size += len(s)
-                if size > 4_000_000:
+                if size > 2_000_000:
                     yield report()
                     held, size, met = [], 0, set()
         yield report()
@@ -129,7 +129,7 @@ def signatures(docs: DataFrame, percent: int = PERCENT, last: np.ndarray | None
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         long = late.value
         for b in batches:
-            for i, j in _batches(b):
+            for i, j in stretches(b.column("text")):
                 sets = shingle_sets(b.column("text").slice(i, j - i))
                 keys = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
                 short, marks = [], []
@@ -181,7 +181,7 @@ def _held_against(rows: DataFrame, entries, decide) -> DataFrame:
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, {}
         for batch in batches:
-            for i, j in _batches(batch):
+            for i, j in stretches(batch.column("text")) if "text" in batch.schema.names else _batches(batch):
                 part = batch.slice(i, j - i)
                 out = [], [], []
                 columns = [part.column(c).to_pylist() for c in ("h", "block", "side", "doc_id", "with")]
