@@ -106,6 +106,20 @@ def test_template_documents_meet_no_more_than_they_must(spark, monkeypatch, own)
     assert seen[400]["cells"] <= 4 * 400
 
 
+def test_stretches_are_bounded_and_whole():
+    import pyarrow as pa
+
+    from tripgate.llm.wordhash import stretches
+
+    texts = pa.array(["a" * n if n is not None else None for n in (0, 5, None, 30, 200, 0, 1, 1, 1, 99, 2)] + ["é"] * 600)
+    cuts = list(stretches(texts, rows=100, size=50))
+    assert cuts[0][0] == 0 and cuts[-1][1] == len(texts) and all(a[1] == b[0] for a, b in zip(cuts, cuts[1:]))
+    for i, j in cuts:
+        size = sum(len((t or "").encode()) for t in texts.slice(i, j - i).to_pylist())
+        assert 0 < j - i <= 100 and (size <= 50 or j == i + 1)
+    assert list(stretches(texts.slice(3, 4), size=40)) == [(0, 1), (1, 2), (2, 4)] and list(stretches(pa.array([], pa.string()))) == []
+
+
 def test_jaccard_of_an_empty_table(spark):
     assert jaccard.jaccard_components(docs_of(spark, [])).collect() == []
 
@@ -459,15 +473,12 @@ def plain_ftrl(inputs, labels, epochs, alpha, beta, l1, l2):
     return {i: weight(i) for i in z}
 
 
-def test_toxicity_weights_equal_plain_ftrl(spark):
-    import pandas as pd
-
+def test_toxicity_weights_equal_plain_ftrl():
     rng = np.random.default_rng(9)
     coords = [np.unique(rng.integers(0, 60, rng.integers(1, 15))).astype(np.int32) for _ in range(150)]
-    labels = [float((c < 6).any()) for c in coords]
-    frame = pd.DataFrame({"ord": range(150), "label": labels, "coords": coords})
+    labels = np.array([float((c < 6).any()) for c in coords])
     settings = {"alpha": 0.2, "beta": 1.0, "l1": 0.7, "l2": 0.05}
-    got = toxicity._fitted(3, settings)(frame).set_index("coord")["weight"].to_dict()
+    got = toxicity.fitted(np.concatenate(coords), np.array([len(c) for c in coords]), np.arange(150), labels, 3, **settings)
     met = Counter(int(i) for c in coords for i in c)
     inputs = [[int(i) for i in c if met[int(i)] >= toxicity.LEAST_DOCS] + [toxicity.DIMENSIONS] for c in coords]
     want = plain_ftrl(inputs, labels, 3, **settings)
@@ -479,7 +490,6 @@ def test_toxicity_sample_is_bounded_in_bytes(spark, monkeypatch):
     docs = docs_of(spark, [(i, ("vile " if i % 2 else "kind ") + "word " * 400, "s") for i in range(300)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
     sizes = []
-    monkeypatch.setattr(toxicity, "_featurized", toxicity._featurized)
     for limit in (96 << 20, 100_000):
         monkeypatch.setattr(toxicity, "TRAIN_BYTES", limit)
         sizes.append(len(toxicity.train(docs, labels)))
