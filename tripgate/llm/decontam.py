@@ -105,7 +105,7 @@ def _filed(items: DataFrame, radius: int) -> DataFrame:
     near = radius // BLOCKS
     masks = F.filter(F.sequence(F.lit(0), F.lit((1 << BLOCK_BITS) - 1)), lambda m: F.bit_count(m) <= near)
     own = items.select("*", F.explode(_keys(F.col("item_print"))).alias("k"))
-    return own.select("item_id", "item", "item_print", "least", "most", F.col("k.block"), F.explode(F.transform(masks, lambda m: F.col("k.value").bitwiseXOR(m))).alias("value"))
+    return own.select("item_id", "item_print", "least", "most", F.col("k.block"), F.explode(F.transform(masks, lambda m: F.col("k.value").bitwiseXOR(m))).alias("value"))
 
 
 def text_key(text: Column) -> Column:
@@ -151,18 +151,20 @@ def _windows(docs: DataFrame, benchmark: DataFrame, least: float, radius: int) -
     touched = docs.select("doc_id", "text", text_key(F.col("text")).alias("key")).join(small(keys, count, 48), "key", "left_semi")
     windows = (touched.select("doc_id", "key", shingles(F.col("text")).alias("all")).join(starts, "key")
                .select("doc_id", "key", "whole", "start", "width", F.slice("all", F.col("start") + 1, F.col("width")).alias("window")))
-    windows = materialize(windows.withColumn("print", simhash(F.col("window"))), "decontam-windows")
-    room = windows.agg(F.sum(8 * F.size("window") + 150)).first()[0] or 0
-    probes = windows.select("*", F.explode(_keys(F.col("print"))).alias("k")).select("*", "k.block", "k.value").drop("k")
+    windows = materialize(windows.withColumns({"print": simhash(F.col("window")), "w": F.monotonically_increasing_id()}), "decontam-windows")
+    asked = windows.select("w", "print", "width", "whole", F.explode(_keys(F.col("print"))).alias("k")).select("w", "print", "width", "whole", "k.block", "k.value")
+    probes = small(asked, BLOCKS * windows.count(), 64)
     # an item is met by windows of its own width, and by texts that are shorter as a whole
     reach = items.withColumns({"most": F.size("item"), "least": F.ceil(F.size("item") * least - 1e-9).cast("int")})
+    filed = _filed(reach, radius).hint("merge")  # Spark takes it for as small as the items; it only yields to probes that are broadcast
     difference = F.col("print").bitwiseXOR(F.col("item_print"))
-    near = (_filed(reach, radius).join(small(probes, BLOCKS, room), ["block", "value"])
+    near = (filed.join(probes, ["block", "value"])
             .where((F.col("width") == F.col("most")) | (F.col("whole") & F.col("width").between(F.col("least"), F.col("most"))))
             .where(F.bit_count(difference) <= radius)
             # of the blocks that agree so far only the first reports the pair
             .where(_first_block(difference, radius) == F.col("block")))
-    met = near.select("doc_id", "key", "item_id", "item", "start", "window", "width", "most")
+    near = materialize(near.select("w", "item_id", "item_print"), "decontam-candidates")
+    met = near.join(windows.select("w", "doc_id", "key", "start", "window"), "w").join(items.select("item_id", "item", "item_print"), ["item_id", "item_print"])
     return met.withColumn("similarity", similarity(F.col("window"), F.col("item"))).where(F.col("similarity") >= least)
 
 
