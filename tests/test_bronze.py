@@ -2,6 +2,7 @@
 
 import csv
 import io
+import json
 import random
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tripgate.config import PipelineConfig
 from tripgate.functions.parsing import RAW_COLUMNS
 from tripgate.plans.pipeline import build_silver, check_bronze, ingest
+from tripgate.session import zoned_session
 from tripgate.sources import bronze, csv_pages, documents
 
 PAGE_COLUMNS = ("trip_id", "trip_start_timestamp", "trip_total", "trip_seconds")
@@ -320,3 +322,31 @@ def test_ranges_past_the_cap_are_not_shuffled(spark):
 def test_source_columns_may_not_clash(spark):
     with pytest.raises(ValueError, match="page_row"):
         bronze.bounded_extract(source(spark, 3).withColumn("page_row", F.lit(1)), cfg_for(""))
+
+
+def test_a_range_holds_a_bounded_number_of_pages(spark, monkeypatch):
+    monkeypatch.setattr(bronze, "RANGE_PAGES", 4)
+    cfg = cfg_for("", page_size=25)
+    few, lots = (bronze.bounded_extract(many(spark, n), cfg) for n in (1_000, 4_000))
+    assert [df.rdd.getNumPartitions() for df in (few, lots)] == [10, 40]
+    rows = lots.orderBy("_rn").collect()
+    assert [(r._rn, r.event_id, r.page, r.page_row) for r in rows] == [(i + 1, i, i // 25, i % 25) for i in range(4_000)]
+
+
+def test_a_range_is_found_without_a_struct_for_each_step(spark):
+    borders = [{"k": k} for k in range(0, 70, 2)]
+    place = bronze._range_of(json.dumps(borders), "struct<k:int>", F.struct(F.col("id").cast("int").alias("k")))
+    assert [r[0] for r in spark.range(-3, 75).select(place).collect()] == [sum(b["k"] <= i for b in borders) for i in range(-3, 75)]
+    plan = spark.range(9).select(place)._jdf.queryExecution().optimizedPlan().toString()
+    assert "struct(lo" not in plan and "from_json" not in plan
+
+
+def test_page_folders_are_listed_by_a_bounded_number_of_tasks(spark, scratch):
+    zoned = zoned_session(spark)
+    spark.range(130).selectExpr("id", "id AS page").write.partitionBy("page").parquet(scratch)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    assert len(zoned.read.option("recursiveFileLookup", "true").format("binaryFile").load(scratch).inputFiles()) >= 130
+    seen = spark.sparkContext.statusTracker()
+    stages = [seen.getStageInfo(i) for j in seen.getJobIdsForGroup("listing") for i in seen.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and max(s.numTasks for s in stages) <= 96
