@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -486,6 +487,27 @@ def test_toxicity_weights_equal_plain_ftrl():
     assert all(abs(got[i] - want[i]) < 1e-9 for i in got) and 5 < len(got) < 60
 
 
+def test_training_needs_little_memory_beside_its_coordinates():
+    coords = np.tile(np.arange(1 << 19, dtype=np.int32), 48)  # 96 MB
+    tracemalloc.start()
+    try:
+        assert toxicity.fitted(coords, np.full(48, 1 << 19), np.arange(48), np.arange(48) % 2.0, 1)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 150 << 20
+
+
+def test_parts_of_rows_teach_what_all_rows_at_once_teach():
+    rng = np.random.default_rng(9)
+    coords = [np.unique(rng.integers(0, 60, 12)).astype(np.int32) for _ in range(90)]
+    labels = np.array([float((c < 6).any()) for c in coords])
+    lengths = np.array([len(c) for c in coords])
+    parts = [(np.concatenate(coords[a:a + 40]), lengths[a:a + 40]) for a in range(0, 90, 40)]
+    want = toxicity.fitted(np.concatenate(coords), lengths, np.arange(90), labels, 2, l1=0.5)
+    assert want and toxicity.fitted_parts(parts, np.arange(90), labels, 2, l1=0.5) == want
+
+
 def test_toxicity_sample_is_bounded_in_bytes(spark, monkeypatch):
     docs = docs_of(spark, [(i, ("vile " if i % 2 else "kind ") + "word " * 400, "s") for i in range(300)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")

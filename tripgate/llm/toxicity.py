@@ -62,13 +62,13 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _featurized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts, out = b.column("text"), []
+        texts = b.column("text")
         for i, j in stretches(texts):
             row, coord = features(texts.slice(i, j - i))
             key = np.unique(row * DIMENSIONS + coord)
             cut = np.searchsorted(key, np.arange(j - i + 1) * DIMENSIONS)
-            out += [(key[cut[k]:cut[k + 1]] % DIMENSIONS).astype(np.int32) for k in range(j - i)]
-        yield pa.RecordBatch.from_arrays([b.column("ord"), b.column("label"), pa.array(out, type=pa.list_(pa.int32()))], ["ord", "label", "coords"])
+            coords = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array((key % DIMENSIONS).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column("ord").slice(i, j - i), b.column("label").slice(i, j - i), coords], ["ord", "label", "coords"])
 
 
 class Ftrl:
@@ -93,36 +93,49 @@ class Ftrl:
         self.n[at] = grown
 
 
-def fitted(coords: np.ndarray, lengths: np.ndarray, ords: np.ndarray, labels: np.ndarray, epochs: int, **settings: float) -> dict[int, float]:
-    """Weights from rows given as one array of coordinates and each row's number of them; rows are visited in an order of their own.
+def _slices(coords: np.ndarray, size: int = 1 << 20) -> Iterator[np.ndarray]:
+    return (coords[a:a + size] for a in range(0, len(coords), size))
+
+
+def fitted_parts(parts: list[tuple[np.ndarray, np.ndarray]], ords: np.ndarray, labels: np.ndarray, epochs: int, **settings: float) -> dict[int, float]:
+    """Weights from rows given as parts (coordinates of its rows, each row's number of them); rows are visited in an order of their own.
 
-    Nothing without rows of both classes.
+    Nothing without rows of both classes. Beside the parts, which are read where they lie, memory doesn't grow with their coordinates.
     """
     if len(set(labels.tolist())) < 2:
         return {}
-    met = np.bincount(coords, minlength=DIMENSIONS + 1) >= LEAST_DOCS
-    kept = met[coords]
-    ends = np.concatenate([[0], np.cumsum(lengths)])
-    sums = np.concatenate([[0], np.cumsum(kept)])
-    coords, cuts = coords[kept], sums[ends]
+    met = np.zeros(DIMENSIONS + 1, dtype=np.int64)
+    for coords, _ in parts:
+        for some in _slices(coords):
+            met += np.bincount(some, minlength=len(met))
+    met = met >= LEAST_DOCS
+    part = np.repeat(np.arange(len(parts)), [len(lengths) for _, lengths in parts])
+    ends = np.concatenate([np.cumsum(lengths) for _, lengths in parts])  # inside the row's part
+    begins = ends - np.concatenate([lengths for _, lengths in parts])
     model = Ftrl(**settings)
     rows, order = np.lexsort((labels, ords)), np.random.default_rng(7)
     for _ in range(epochs):
         for i in rows[order.permutation(len(rows))]:
-            model.learn(np.append(coords[cuts[i]:cuts[i + 1]], DIMENSIONS), labels[i])
+            at = parts[part[i]][0][begins[i]:ends[i]]
+            model.learn(np.append(at[met[at]], DIMENSIONS), labels[i])
     w = model.weights(np.arange(DIMENSIONS + 1))
     return {int(i): float(w[i]) for i in np.union1d(np.flatnonzero(w), [DIMENSIONS])}
 
 
+def fitted(coords: np.ndarray, lengths: np.ndarray, ords: np.ndarray, labels: np.ndarray, epochs: int, **settings: float) -> dict[int, float]:
+    """``fitted_parts`` of a single part."""
+    return fitted_parts([(coords, lengths)], ords, labels, epochs, **settings)
+
+
 def _trained(epochs: int, settings: dict[str, float]):
     def train_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        parts, ords, labels = [], [np.zeros(0, np.int64)], [np.zeros(0)]
         for b in batches:
             c = b.column("coords")
-            parts.append((c.flatten().to_numpy().astype(np.int32), np.diff(c.offsets.to_numpy()).astype(np.int64), b.column("ord").to_numpy(), b.column("label").to_numpy()))
-        whole = [np.concatenate(x) for x in zip(*parts, strict=True)]
-        del parts
-        weights = fitted(*whole, epochs, **settings)
+            parts.append((c.flatten().to_numpy(), np.diff(c.offsets.to_numpy()).astype(np.int64)))  # views of what arrived
+            ords.append(b.column("ord").to_numpy())
+            labels.append(b.column("label").to_numpy())
+        weights = fitted_parts(parts, np.concatenate(ords), np.concatenate(labels), epochs, **settings)
         yield pa.RecordBatch.from_arrays([pa.array(list(weights), pa.int64()), pa.array(list(weights.values()), pa.float64())], ["coord", "weight"])
 
     return train_all
