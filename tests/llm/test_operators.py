@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripgate.llm import decontam, embedding, jaccard, mixing, pii, queries, secret_scan, sharding, tokens, toxicity, warc
+from tripgate.llm.common import prefix_sums
 from tripgate.llm.components import components
 from tripgate.llm.wordhash import LETTERS, word_hashes
 
@@ -173,6 +174,40 @@ def test_mix_texts_hold_the_words_taken(spark, corpus):
     assert sum(r.n_words for r in texts) == sum(r.taken for r in plan.taken().collect())
 
 
+def broadcast_rows(df):
+    """Rows that each broadcast of the plan that ran has sent."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "BroadcastExchangeExec":
+            found.append(node.metrics().apply("numOutputRows").value())
+        inner = {"AdaptiveSparkPlanExec": "executedPlan", "ReusedExchangeExec": "child"}.get(name, "plan" if name.endswith("QueryStageExec") else None)
+        children = node.children()
+        todo += [getattr(node, inner)()] if inner else [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_mix_sends_only_sources_through_the_driver(spark):
+    # 20,000 words in blocks of 4; the counts that stand for the slots are a few kilobytes, far below Spark's threshold
+    docs = docs_of(spark, [(i, " ".join(["w"] * 500), f"s{i % 3}") for i in range(40)])
+    plan = mixing.plan_mix(docs, block_words=4, shard_slots=64)
+    taken = plan.taken()
+    assert sum(r.taken for r in taken.collect()) == 30_000
+    assert plan.slots.count() >= 7500 and max(broadcast_rows(taken)) <= 3
+
+
+def test_prefix_sums_broadcast_nothing(spark):
+    def many(batches):
+        for b in batches:
+            yield b.loc[b.index.repeat(100)].reset_index(drop=True)
+
+    rows = spark.range(200).mapInPandas(many, "id long").selectExpr("id % 2 AS g", "id % 5 AS b", "id", "1L AS n")
+    sums = prefix_sums(rows, "g", "b", [F.col("id")], "n", "before")
+    assert sorted(r.before for r in sums.collect() if r.g == 1) == list(range(10_000))
+    assert broadcast_rows(sums) == []
+
+
 def test_permutation_is_one():
     for n in (1, 2, 7, 64, 1000):
         assert sorted(mixing.permuted(np.arange(n), np.full(n, n), np.full(n, 9, dtype=np.uint64)).tolist()) == list(range(n))

@@ -42,6 +42,15 @@ def small(df: DataFrame, rows: int, bytes_a_row: int) -> DataFrame:
     return F.broadcast(df) if rows * bytes_a_row <= BROADCAST_BYTES else df
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` marked so that neither it nor what it is joined with is sent through the driver.
+
+    Spark estimates the rows of generators and Python functions from the bytes of the files below them, so
+    a few kilobytes of compressed counts can stand for millions of rows.
+    """
+    return df.hint("merge")
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that their Python finds it."""
     sc = spark.sparkContext
@@ -74,7 +83,7 @@ def prefix_sums(df: DataFrame, group: str, bucket: str, order: list[Column], val
     inside = Window.partitionBy(group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         df.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .join(offsets, [group, bucket])
+        .join(shuffled(offsets), [group, bucket])  # by the keys of the window, so ``df`` isn't moved again
         .withColumn(out, (F.col("_inside") + F.col("_offset")).cast("long"))
         .drop("_inside", "_offset")
     )

@@ -12,7 +12,8 @@ come twice. Slots then join blocks by (source, block).
 Sizes are sums over all documents. Only one number for each source reaches the driver
 (the mixing recipe is per source); streams, blocks and slots stay on the executors. A hot
 source is one of many (source, bucket) groups when sizes are summed, and its blocks are
-keys of their own when joined.
+keys of their own when joined. Joins with the numbers of sources send those numbers; no
+other side is sent through the driver, whatever Spark estimates it at.
 
 Defined cases: null and empty texts have size 0 and are taken 0 times; null sources are one
 source, last in order; a null id is an id like others; repeated rows are documents each,
@@ -31,10 +32,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripgate.llm.common import materialize, prefix_sums, root_buckets, ship, word_count, words
+from tripgate.llm.common import BROADCAST_BYTES, materialize, prefix_sums, root_buckets, ship, shuffled, word_count, words
 
 BLOCK_WORDS = 256
 SHARD_SLOTS = 1024
+#: Slots that a task makes, about.
+TASK_SLOTS = 1 << 18
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2.0
 SEED = 20240
@@ -76,7 +79,7 @@ class Mix:
                  .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / size), ends)))
                  .withColumn("_first", F.greatest(F.lit(0).cast("long"), F.col("block") * size - F.col("start")))
                  .withColumn("_last", F.least(F.col("size"), (F.col("block") + 1) * size - F.col("start"))))
-        joined = parts.join(self.slots, ["source_no", "block"])
+        joined = parts.join(shuffled(self.slots), ["source_no", "block"])
         # a cut slot ends before the block does
         stop = F.least(F.col("_last"), F.col("block") * size + F.col("words") - F.col("start"))
         return (joined.withColumn("n_words", stop - F.col("_first")).where("n_words > 0")
@@ -87,7 +90,7 @@ class Mix:
         sums = self.pieces().groupBy("source_no", "start").agg(F.sum("n_words").cast("long").alias("taken"))
         # documents of size 0 share the place of the next one, and take nothing
         return self.documents.join(
-            sums.withColumnRenamed("source_no", "_s").withColumnRenamed("start", "_t"),
+            shuffled(sums.withColumnRenamed("source_no", "_s").withColumnRenamed("start", "_t")),
             (F.col("source_no") == F.col("_s")) & (F.col("start") == F.col("_t")) & (F.col("size") > 0), "left",
         ).drop("_s", "_t").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
@@ -138,6 +141,11 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     sizes, rows = [r["n"] for r in found], sum(r["docs"] for r in found)
     goals = targets(sizes, [weights[i % len(weights)] for i in range(len(found))], share, most)
+    bytes_of_sources = sum(128 + 4 * len(r["source"] or "") for r in found)
+
+    def of_sources(df: DataFrame) -> DataFrame:
+        """``df``, which has a row for each source, marked for broadcast if the sources fit the bound."""
+        return F.broadcast(df) if bytes_of_sources <= BROADCAST_BYTES else shuffled(df)
 
     # slots of each source: whole passes over its blocks, then as many blocks of one more pass as the rest needs
     blocks = [ceil(n / block_words) for n in sizes]
@@ -151,7 +159,7 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
             zip(found, sizes, goals, blocks, quota, passes, over, strict=True))],
         "source_no long, source string, source_size long, target double, n_blocks long, quota long, passes long, extra long")
     bucket = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(root_buckets(rows)))
-    documents = (sized.join(plan.select("source_no", F.col("source").alias("_source"), "source_size", "target"),
+    documents = (sized.join(of_sources(plan.select("source_no", F.col("source").alias("_source"), "source_size", "target")),
                             F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("_bucket", bucket))
     order = [F.xxhash64("doc_id", F.lit(seed + 1)), F.col("doc_id"), F.col("size"),
              *[F.col(f"_keep_{c}") for c in kept if docs.schema[c].dataType.simpleString() in ("int", "bigint", "string")]]
@@ -188,13 +196,15 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     short = (balance.where("gap > 0").select(F.col("source_no").alias("to_source"), F.col("quota"), "short_at", "gap")
              .withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("gap") - 1)))
              .select("to_source", (F.col("short_at") + F.col("k")).alias("moved"), (F.col("quota") - F.col("gap") + F.col("k")).alias("to_index")))
-    slots = (draws.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-             .select("shard", (F.col("first") + F.col("k")).alias("slot"), "source_no", (F.col("before") + F.col("k")).alias("index"))
-             .join(balance.select("source_no", "quota", "over_at"), "source_no"))
+    # the counts are few bytes for many slots, so the work is dealt by slots
+    dealt = draws.repartition(max(1, ceil(n_slots / TASK_SLOTS)), "shard")
+    slots = (dealt.join(of_sources(balance.select("source_no", "quota", "over_at")), "source_no")
+             .withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+             .select("shard", (F.col("first") + F.col("k")).alias("slot"), "source_no", (F.col("before") + F.col("k")).alias("index"), "quota", "over_at"))
     stay = slots.where("index < quota").select("shard", "slot", "source_no", "index")
     moved = (slots.where("index >= quota").select("shard", "slot", (F.col("over_at") + F.col("index") - F.col("quota")).alias("moved"))
-             .join(short, "moved").select("shard", "slot", F.col("to_source").alias("source_no"), F.col("to_index").alias("index")))
-    slots = stay.unionByName(moved).join(plan.select("source_no", "source_size", "n_blocks", "passes", "extra"), "source_no")
+             .join(shuffled(short), "moved").select("shard", "slot", F.col("to_source").alias("source_no"), F.col("to_index").alias("index")))
+    slots = stay.unionByName(moved).join(of_sources(plan.select("source_no", "source_size", "n_blocks", "passes", "extra")), "source_no")
 
     def mapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
