@@ -197,6 +197,17 @@ def test_mix_sends_only_sources_through_the_driver(spark):
     assert plan.slots.count() >= 7500 and max(broadcast_rows(taken)) <= 3
 
 
+def test_mix_is_the_same_if_the_sources_are_beyond_the_bound(spark, corpus, monkeypatch):
+    def taken():
+        df = mixing.plan_mix(docs_of(spark, corpus), block_words=16, shard_slots=32).taken()
+        return sorted((r.doc_id or -1, r.source or "", r.size, r.target, r.taken) for r in df.collect()), broadcast_rows(df)
+
+    sent, n = taken()
+    assert n
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", 0)
+    assert taken() == (sent, [])
+
+
 def test_prefix_sums_broadcast_nothing(spark):
     def many(batches):
         for b in batches:
